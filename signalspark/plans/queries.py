@@ -1,0 +1,460 @@
+"""Registered queries over the test tables, each with a DuckDB oracle.
+
+Every query reads whole tables from ``sf_dir`` (or data Spark derives from
+them) and returns a flat, aliased DataFrame: MAP/STRUCT results are taken
+apart, timestamps are TIMESTAMP_NTZ, and load-time columns are left out,
+so that the oracle comparison is exact.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from signalspark.functions.codecs import as_text, decode_json, encode_concat, encode_json
+from signalspark.functions.columns import col_
+from signalspark.functions.indicator import generation_indicator
+from signalspark.functions.maps import signal_value
+from signalspark.functions.timeparse import parse_signal_ts
+from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
+from signalspark.operators.mapping import rename_by_mapping
+from signalspark.operators.signals import normalize_signals, unpack_signals, unpivot_signals
+from signalspark.plans.derived import signal_frame, turbine_readings, write_csv
+from signalspark.plans.jobs import echo_job, run_pipeline
+from signalspark.schemas import (
+    DATE_TIME,
+    NARROW_SCHEMA,
+    NESTED_PAYLOAD_DDL,
+    POWER,
+    SIGNAL_KEYS,
+    TURBINE_SCHEMA,
+    WINDOW_AVERAGE_NAMES,
+)
+from signalspark.session import scratch_dir
+from signalspark.sources.files import csv_stream, line_stream, read_signals
+from signalspark.sources.mapping import mapping_from_json, mapping_from_rows
+from signalspark.streaming.options import StreamOptions
+from signalspark.streaming.runner import run_stream
+from signalspark.streaming.sinks import echo_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# The lookup key with the missing degree sign, as the
+# original hourly report spelled it.
+MISSPELT_DIRECTION_KEY = "Wind Direction ()"
+# Thresholds for banding lineitem prices (same four labels).
+PRICE_THRESHOLDS = (20000, 60000, 100000)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turbine_readings(_table(spark, sf_dir, "events"))
+
+
+def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signal_frame(_readings(spark, sf_dir))
+
+
+def _ntz(c: Column | str) -> Column:
+    return (col_(c) if isinstance(c, str) else c).cast("timestamp_ntz")
+
+
+def _flat_window(df: DataFrame, window_col: str = "hour") -> DataFrame:
+    rest = [col_(c) for c in df.columns if c != window_col]
+    return df.select(
+        _ntz(F.col(f"{window_col}.start")).alias("hour_start"),
+        _ntz(F.col(f"{window_col}.end")).alias("hour_end"),
+        *rest,
+    )
+
+
+# ------------------------------------------------------------- report queries
+def datapoints_per_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datapoints_per_day(_signals(spark, sf_dir), by="date")
+
+
+def datapoints_per_day_trunc_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = datapoints_per_day(_signals(spark, sf_dir), by="trunc")
+    return d.select(_ntz("date").alias("date"), "datapoints_per_day")
+
+
+def _hourly_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hourly_averages(_signals(spark, sf_dir), "trunc")
+    return h.withColumn("signal_hour", _ntz("signal_hour"))
+
+
+def hourly_avg_trunc_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hourly_trunc(spark, sf_dir)
+
+
+def hourly_avg_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_window(hourly_averages(_signals(spark, sf_dir), "window"))
+
+
+def _nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sig = _signals(spark, sf_dir)
+    return sig.select(F.to_json(F.struct("signal_date", "signal_ts", "signals")).alias("value"))
+
+
+def hourly_avg_text_map_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_json(_nested_messages(spark, sf_dir), NESTED_PAYLOAD_DDL, keep=())
+    h = hourly_averages(decoded, "trunc", cast=True)
+    return h.withColumn("signal_hour", _ntz("signal_hour"))
+
+
+def indicator_per_reading_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sig = add_indicator(_signals(spark, sf_dir), signal_value(POWER))
+    return sig.select(
+        "signal_date",
+        _ntz("signal_ts").alias("signal_ts"),
+        signal_value(POWER).alias("active_power"),
+        "generation_indicator",
+    )
+
+
+def indicator_per_hour_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_indicator(_hourly_trunc(spark, sf_dir), "avg_LV_ActivePower")
+
+
+def indicator_lineitem_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    return add_indicator(li, "l_extendedprice", thresholds=PRICE_THRESHOLDS)
+
+
+def map_missing_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hourly_averages(
+        _signals(spark, sf_dir), "trunc", keys=[MISSPELT_DIRECTION_KEY], names={MISSPELT_DIRECTION_KEY: "avg_Wind_Direction"}
+    )
+    return h.withColumn("signal_hour", _ntz("signal_hour"))
+
+
+# ------------------------------------------------------------ mapping queries
+def _long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sig = _signals(spark, sf_dir).select(_ntz("signal_ts").alias("signal_ts"), "signals")
+    return unpack_signals(sig, keep=["signal_ts"])
+
+
+def mapping_join_fanout_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename_by_mapping(_long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="keep")
+
+
+def mapping_join_dedupe_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename_by_mapping(_long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+
+
+def mapping_literal_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ind = indicator_per_hour_q(spark, sf_dir)
+    return rename_by_mapping(ind, mapping_from_rows(spark), "generation_indicator", replace=True)
+
+
+def signal_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = hourly_averages(_signals(spark, sf_dir), "trunc", names={k: k for k in SIGNAL_KEYS})
+    wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
+    long = unpivot_signals(wide, ["signal_hour"], SIGNAL_KEYS, "sig_name", "average")
+    return rename_by_mapping(long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+
+
+# -------------------------------------------------------------- codec queries
+def _messages(df: DataFrame) -> DataFrame:
+    """As a topic holds them: key and value BINARY."""
+    cols = [F.col(c).cast("binary").alias(c) for c in ("key", "value") if c in df.columns]
+    return df.select(*cols)
+
+
+def json_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    text = as_text(_messages(encode_json(li, "l_orderkey")))
+    return decode_json(text, li.schema)
+
+
+def json_narrow_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem")
+    text = as_text(_messages(encode_json(li, "l_orderkey")))
+    return decode_json(text, "l_orderkey BIGINT, l_extendedprice DOUBLE")
+
+
+def json_malformed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = _table(spark, sf_dir, "nation")
+    return decode_json(encode_concat(nation, "n_nationkey"), nation.schema)
+
+
+def concat_payload_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_concat(_table(spark, sf_dir, "nation"), "n_nationkey")
+
+
+def concat_indicator_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = encode_concat(_readings(spark, sf_dir), DATE_TIME)
+    rows = normalize_signals(decode_json(messages, TURBINE_SCHEMA), with_load_time=False)
+    rows = add_indicator(rows, signal_value(POWER))
+    return rows.select(_ntz("signal_ts").alias("signal_ts"), "generation_indicator")
+
+
+def nested_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_json(_nested_messages(spark, sf_dir), NESTED_PAYLOAD_DDL, keep=())
+    return decoded.select(
+        "signal_date",
+        _ntz("signal_ts").alias("signal_ts"),
+        signal_value(POWER, cast=True).alias("active_power"),
+    )
+
+
+def parse_signal_ts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _readings(spark, sf_dir)
+    return r.select(col_(DATE_TIME), _ntz(parse_signal_ts(col_(DATE_TIME))).alias("signal_ts"))
+
+
+# ---------------------------------------------------------- streaming queries
+def csv_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> CSV files -> CSV file stream -> Parquet sink -> batch read."""
+    work = scratch_dir(spark, "csv_ingest")
+    customer = _table(spark, sf_dir, "customer")
+    write_csv(customer, f"{work}/in")
+    stream = csv_stream(spark, f"{work}/in", schema=customer.schema)
+    opts = StreamOptions(f"{work}/checkpoints", available_now=True).child("csv-ingest")
+    run_stream(opts.start(stream.writeStream.format("parquet").option("path", f"{work}/out")))
+    return spark.read.schema(customer.schema).parquet(f"{work}/out")
+
+
+def line_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> header-less CSV lines -> line stream -> Parquet sink."""
+    work = scratch_dir(spark, "line_stream")
+    write_csv(_table(spark, sf_dir, "nation"), f"{work}/in", header=False)
+    opts = StreamOptions(f"{work}/checkpoints", available_now=True).child("lines")
+    run_stream(echo_stream(line_stream(spark, f"{work}/in"), opts, sink="parquet", path=f"{work}/out"))
+    return spark.read.schema("value STRING").parquet(f"{work}/out")
+
+
+def _pipeline_table(spark: SparkSession, sf_dir: str, name: str, payload: str) -> str:
+    work = scratch_dir(spark, name)
+    write_csv(_readings(spark, sf_dir), f"{work}/csv")
+    return run_pipeline(spark, f"{work}/csv", work, payload=payload)
+
+
+def stream_end_to_end_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV stream -> JSON topic -> signal table -> hourly window report."""
+    table = read_signals(spark, _pipeline_table(spark, sf_dir, "end_to_end", "json"))
+    return _flat_window(hourly_averages(table, "window"))
+
+
+def stream_nested_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV stream -> nested-JSON topic -> signal table -> datapoints per day."""
+    table = read_signals(spark, _pipeline_table(spark, sf_dir, "nested_ingest", "nested"))
+    return datapoints_per_day(table, by="date")
+
+
+def stream_narrow_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV stream -> JSON topic -> narrow decode echoed to a Parquet sink."""
+    work = scratch_dir(spark, "narrow_echo")
+    write_csv(_readings(spark, sf_dir), f"{work}/csv")
+    from signalspark.plans.jobs import produce_job
+
+    topic_path = f"{work}/topic"
+    run_stream(produce_job(spark, f"{work}/csv", "signals", f"{work}/checkpoints", topic_path, available_now=True))
+    run_stream(
+        echo_job(
+            spark,
+            "signals",
+            f"{work}/checkpoints",
+            topic_path,
+            schema=NARROW_SCHEMA,
+            sink="parquet",
+            path=f"{work}/out",
+            available_now=True,
+        )
+    )
+    return spark.read.schema(NARROW_SCHEMA).parquet(f"{work}/out")
+
+
+QUERIES: dict[str, Query] = {
+    "datapoints_per_day": datapoints_per_day_q,
+    "datapoints_per_day_trunc": datapoints_per_day_trunc_q,
+    "hourly_avg_trunc": hourly_avg_trunc_q,
+    "hourly_avg_window": hourly_avg_window_q,
+    "hourly_avg_text_map": hourly_avg_text_map_q,
+    "indicator_per_reading": indicator_per_reading_q,
+    "indicator_per_hour": indicator_per_hour_q,
+    "indicator_lineitem": indicator_lineitem_q,
+    "map_missing_key": map_missing_key_q,
+    "mapping_join_fanout": mapping_join_fanout_q,
+    "mapping_join_dedupe": mapping_join_dedupe_q,
+    "mapping_literal_join": mapping_literal_join_q,
+    "signal_rename": signal_rename_q,
+    "json_envelope": json_envelope_q,
+    "json_narrow_decode": json_narrow_decode_q,
+    "json_malformed": json_malformed_q,
+    "concat_payload": concat_payload_q,
+    "concat_indicator": concat_indicator_q,
+    "nested_decode": nested_decode_q,
+    "parse_signal_ts": parse_signal_ts_q,
+    "csv_ingest": csv_ingest_q,
+    "line_stream": line_stream_q,
+    "stream_end_to_end": stream_end_to_end_q,
+    "stream_nested_ingest": stream_nested_ingest_q,
+    "stream_narrow_echo": stream_narrow_echo_q,
+}
+
+
+# ------------------------------------------------------------- DuckDB oracles
+_READINGS = """readings AS (
+  SELECT strftime(ts, '%d %m %Y %H:%M') AS "Date/Time",
+         CASE WHEN event_type = 'error' THEN NULL
+              ELSE CAST(floor(value * 10 + 0.5) AS DOUBLE) END AS "LV ActivePower (kW)",
+         CAST(json_extract(props, '$.k') AS DOUBLE) AS "Wind Speed (m/s)",
+         CAST(user_id AS DOUBLE) AS "Theoretical_Power_Curve (KWh)",
+         CAST(event_id % 360 AS DOUBLE) AS "Wind Direction (°)"
+  FROM events)"""
+
+_SIG = (
+    "WITH "
+    + _READINGS
+    + """,
+sig AS (
+  SELECT CAST(strptime("Date/Time", '%d %m %Y %H:%M') AS DATE) AS signal_date,
+         strptime("Date/Time", '%d %m %Y %H:%M') AS signal_ts,
+         "LV ActivePower (kW)" AS p, "Wind Speed (m/s)" AS w,
+         "Theoretical_Power_Curve (KWh)" AS t, "Wind Direction (°)" AS d
+  FROM readings)
+"""
+)
+
+_HOURLY = (
+    _SIG
+    + """, hourly AS (
+  SELECT date_trunc('hour', signal_ts) AS signal_hour,
+         avg(p) AS avg_LV_ActivePower, avg(w) AS avg_Wind_Speed,
+         avg(t) AS avg_Theoretical_Power_Curve, avg(d) AS avg_Wind_Direction
+  FROM sig GROUP BY 1)
+"""
+)
+
+_LONG = """long AS (
+  SELECT signal_ts, 'LV ActivePower (kW)' AS sig_name, p AS sig_value FROM sig
+  UNION ALL SELECT signal_ts, 'Wind Speed (m/s)', w FROM sig
+  UNION ALL SELECT signal_ts, 'Theoretical_Power_Curve (KWh)', t FROM sig
+  UNION ALL SELECT signal_ts, 'Wind Direction (°)', d FROM sig)
+"""
+
+_MAPPING_JSON = """mapping(sig_name, sig_mapping_name) AS (VALUES
+  ('LV ActivePower (kW)', 'active_power_average'),
+  ('Wind Speed (m/s)', 'wind_speed_average'),
+  ('Theoretical_Power_Curve (KWh)', 'theo_power_curve_average'),
+  ('Theoretical_Power_Curve (KWh)', 'theo_power_curve_average'),
+  ('Wind Direction (°)', 'wind_direction_average'))
+"""
+
+_MAPPING_ROWS = """mapping(sig_name, sig_mapping_name) AS (VALUES
+  ('LV ActivePower (kW)', 'active_power_average'),
+  ('Wind Speed (m/s)', 'wind_speed_average'),
+  ('Theoretical_Power_Curve (KWh)', 'theo_power_curve_avg'),
+  (' Wind Direction', 'wind_direction_average'))
+"""
+
+_BAND = """CASE WHEN {c} < 200 THEN 'Low' WHEN {c} < 600 THEN 'Medium'
+            WHEN {c} < 1000 THEN 'High' ELSE 'Exceptional' END"""
+
+_WINDOW = """SELECT date_trunc('hour', signal_ts) AS hour_start,
+       date_trunc('hour', signal_ts) + INTERVAL 1 HOUR AS hour_end,
+       avg(p) AS average_LV_ActivePower, avg(w) AS average_Wind_Speed,
+       avg(t) AS average_Theoretical_Power_Curve, avg(d) AS average_Wind_Direction
+FROM sig WHERE signal_ts IS NOT NULL GROUP BY 1, 2"""
+
+_DATAPOINTS = "SELECT signal_date, count(DISTINCT signal_ts) AS datapoints_per_day FROM sig GROUP BY signal_date"
+
+ORACLES: dict[str, str] = {
+    "datapoints_per_day": _SIG + _DATAPOINTS,
+    "datapoints_per_day_trunc": _SIG
+    + "SELECT CAST(date_trunc('day', signal_ts) AS TIMESTAMP) AS date, "
+    "count(DISTINCT signal_ts) AS datapoints_per_day FROM sig GROUP BY 1",
+    "hourly_avg_trunc": _HOURLY + "SELECT * FROM hourly",
+    "hourly_avg_window": _SIG + _WINDOW,
+    "hourly_avg_text_map": _HOURLY + "SELECT * FROM hourly",
+    "indicator_per_reading": _SIG
+    + "SELECT signal_date, signal_ts, p AS active_power, "
+    + _BAND.format(c="p")
+    + " AS generation_indicator FROM sig",
+    "indicator_per_hour": _HOURLY + "SELECT *, " + _BAND.format(c="avg_LV_ActivePower") + " AS generation_indicator FROM hourly",
+    "indicator_lineitem": "SELECT *, CASE WHEN l_extendedprice < 20000 THEN 'Low' "
+    "WHEN l_extendedprice < 60000 THEN 'Medium' WHEN l_extendedprice < 100000 THEN 'High' "
+    "ELSE 'Exceptional' END AS generation_indicator FROM lineitem",
+    "map_missing_key": _SIG
+    + "SELECT date_trunc('hour', signal_ts) AS signal_hour, CAST(NULL AS DOUBLE) AS avg_Wind_Direction "
+    "FROM sig GROUP BY 1",
+    "mapping_join_fanout": _SIG
+    + ", "
+    + _LONG
+    + ", "
+    + _MAPPING_JSON
+    + "SELECT l.signal_ts, l.sig_name, l.sig_value, m.sig_mapping_name "
+    "FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name",
+    "mapping_join_dedupe": _SIG
+    + ", "
+    + _LONG
+    + ", "
+    + _MAPPING_JSON
+    + "SELECT l.signal_ts, l.sig_name, l.sig_value, m.sig_mapping_name "
+    "FROM long l LEFT JOIN (SELECT DISTINCT * FROM mapping) m ON l.sig_name = m.sig_name",
+    "mapping_literal_join": _HOURLY
+    + ", "
+    + _MAPPING_ROWS
+    + ", ind AS (SELECT *, "
+    + _BAND.format(c="avg_LV_ActivePower")
+    + " AS generation_indicator FROM hourly) "
+    "SELECT i.signal_hour, i.avg_LV_ActivePower, i.avg_Wind_Speed, i.avg_Theoretical_Power_Curve, "
+    "i.avg_Wind_Direction, m.sig_mapping_name AS generation_indicator "
+    "FROM ind i LEFT JOIN mapping m ON i.generation_indicator = m.sig_name",
+    "signal_rename": _HOURLY
+    + ", "
+    + _MAPPING_JSON
+    + """, long AS (
+  SELECT signal_hour, 'LV ActivePower (kW)' AS sig_name, avg_LV_ActivePower AS average FROM hourly
+  UNION ALL SELECT signal_hour, 'Wind Speed (m/s)', avg_Wind_Speed FROM hourly
+  UNION ALL SELECT signal_hour, 'Theoretical_Power_Curve (KWh)', avg_Theoretical_Power_Curve FROM hourly
+  UNION ALL SELECT signal_hour, 'Wind Direction (°)', avg_Wind_Direction FROM hourly)
+SELECT l.signal_hour, l.sig_name, l.average, m.sig_mapping_name
+FROM long l LEFT JOIN (SELECT DISTINCT * FROM mapping) m ON l.sig_name = m.sig_name""",
+    "json_envelope": "SELECT CAST(l_orderkey AS VARCHAR) AS key, * FROM lineitem",
+    "json_narrow_decode": "SELECT CAST(l_orderkey AS VARCHAR) AS key, l_orderkey, l_extendedprice FROM lineitem",
+    "json_malformed": """WITH m AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS key,
+         CAST(n_nationkey AS VARCHAR) || n_name || CAST(n_regionkey AS VARCHAR) AS value FROM nation)
+SELECT key,
+       CASE WHEN json_valid(value) THEN CAST(json_extract(value, '$.n_nationkey') AS INTEGER) END AS n_nationkey,
+       CASE WHEN json_valid(value) THEN json_extract_string(value, '$.n_name') END AS n_name,
+       CASE WHEN json_valid(value) THEN CAST(json_extract(value, '$.n_regionkey') AS INTEGER) END AS n_regionkey
+FROM m""",
+    "concat_payload": "SELECT CAST(n_nationkey AS VARCHAR) AS key, "
+    "CAST(n_nationkey AS VARCHAR) || n_name || CAST(n_regionkey AS VARCHAR) AS value FROM nation",
+    "concat_indicator": _SIG + "SELECT signal_ts, 'Exceptional' AS generation_indicator FROM sig",
+    "nested_decode": _SIG + "SELECT signal_date, signal_ts, p AS active_power FROM sig",
+    "parse_signal_ts": "WITH "
+    + _READINGS
+    + """ SELECT "Date/Time", strptime("Date/Time", '%d %m %Y %H:%M') AS signal_ts FROM readings""",
+    "csv_ingest": "SELECT * FROM customer",
+    "line_stream": "SELECT CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',' || CAST(n_regionkey AS VARCHAR) "
+    "AS value FROM nation",
+    "stream_end_to_end": _SIG + _WINDOW,
+    "stream_nested_ingest": _SIG + _DATAPOINTS,
+    "stream_narrow_echo": "WITH "
+    + _READINGS
+    + """ SELECT "LV ActivePower (kW)", "Wind Speed (m/s)", "Theoretical_Power_Curve (KWh)",
+       "Wind Direction (°)" FROM readings""",
+}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings -> hourly averages -> indicator -> signals renamed through the mapping."""
+    sig = _signals(spark, sf_dir)
+    wide = hourly_averages(sig, "trunc", names={k: k for k in SIGNAL_KEYS})
+    wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
+    wide = wide.withColumn("generation_indicator", generation_indicator(col_(POWER)))
+    long = unpivot_signals(wide.select("signal_hour", "generation_indicator", *[col_(k) for k in SIGNAL_KEYS]),
+                           ["signal_hour", "generation_indicator"], SIGNAL_KEYS, "sig_name", "average")
+    return rename_by_mapping(long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+
+
+__all__ = ["ORACLES", "QUERIES", "WINDOW_AVERAGE_NAMES", "flagship"]

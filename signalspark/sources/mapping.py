@@ -1,0 +1,24 @@
+"""The small signal-name mapping, from a JSON document or from literal rows."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from signalspark.schemas import MAPPING_DDL, MAPPING_JSON, MAPPING_JSON_DDL, MAPPING_ROWS
+
+
+def mapping_from_json(spark: SparkSession, document: str = MAPPING_JSON) -> DataFrame:
+    """One row per element of a JSON array of ``{sig_name, sig_mapping_name}``.
+
+    Duplicates in the document are kept (see ``rename_by_mapping``).
+    """
+    doc = spark.createDataFrame([(document,)], "doc STRING")
+    return doc.select(F.inline(F.from_json("doc", MAPPING_JSON_DDL))).select("sig_name", "sig_mapping_name")
+
+
+def mapping_from_rows(spark: SparkSession, rows: Iterable[tuple[str, str]] = MAPPING_ROWS) -> DataFrame:
+    """The mapping from literal ``(sig_name, sig_mapping_name)`` pairs."""
+    return spark.createDataFrame(list(rows), MAPPING_DDL)

@@ -1,0 +1,97 @@
+"""Streaming sinks: the message log, the signal table, an echo."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from signalspark.sources.topic import kafka_sink_options
+from signalspark.streaming.options import StreamOptions
+
+DEFAULT_TOPIC_PARTITIONS = 8
+
+
+def write_topic(
+    df: DataFrame,
+    topic: str,
+    options: StreamOptions,
+    backend: str = "file",
+    path: str | None = None,
+    bootstrap_servers: str | None = None,
+    num_partitions: int = DEFAULT_TOPIC_PARTITIONS,
+) -> StreamingQuery:
+    """Publish ``key`` (optional) and ``value`` rows to ``topic``.
+
+    Raises at once when there is no ``value`` column, rather than when the
+    first micro-batch fails.  The file back end writes Spark's Kafka source
+    columns; ``partition`` is a hash of the key (of the value for NULL keys).
+    """
+    if "value" not in df.columns:
+        raise ValueError("a topic sink needs a 'value' column (and optionally 'key')")
+    has_key = "key" in df.columns
+    key = F.col("key") if has_key else F.lit(None).cast("string")
+    if backend == "kafka":
+        if not bootstrap_servers:
+            raise ValueError("the kafka back end needs bootstrap_servers")
+        cols = (["key"] if has_key else []) + ["value"]
+        writer = df.select(*cols).writeStream.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic))
+        return options.start(writer)
+    if backend != "file":
+        raise ValueError("backend must be 'file' or 'kafka'")
+    if not path:
+        raise ValueError("the file back end needs a path")
+    records = df.select(
+        key.cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.col("value").cast("string"))), F.lit(num_partitions))
+        .cast("int")
+        .alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    return options.start(records.writeStream.format("parquet").option("path", path))
+
+
+def append_signals(
+    df: DataFrame,
+    path: str,
+    options: StreamOptions,
+    table_format: str = "parquet",
+    partition_by: Sequence[str] | None = ("signal_date",),
+) -> StreamingQuery:
+    """Append signal rows to a table folder (exactly-once via the sink's log).
+
+    Partitioning by ``signal_date`` lets later reads prune whole days.
+    """
+    writer = df.writeStream.format(table_format)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return options.start(writer.option("path", path))
+
+
+def echo_stream(
+    df: DataFrame,
+    options: StreamOptions,
+    sink: str = "console",
+    truncate: bool = False,
+    num_rows: int = 20,
+    path: str | None = None,
+) -> StreamingQuery:
+    """Show each micro-batch: ``console`` (untruncated by default), ``memory``
+    (for tests; needs ``options.query_name``) or a file format with ``path``."""
+    writer = df.writeStream.format(sink)
+    if sink == "console":
+        writer = writer.option("truncate", str(truncate).lower()).option("numRows", num_rows)
+    elif sink == "memory":
+        if not options.query_name:
+            raise ValueError("a memory sink needs options.query_name")
+    elif path:
+        writer = writer.option("path", path)
+    else:
+        raise ValueError(f"sink {sink!r} needs a path")
+    return options.start(writer)
