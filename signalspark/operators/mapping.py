@@ -28,12 +28,17 @@ def bounded_count(df: DataFrame, bound: int) -> int:
 
 
 def dedupe_mapping(mapping: DataFrame, key: str = "sig_name", name: str = "sig_mapping_name") -> DataFrame:
-    """Drop exact duplicate pairs; two different names for one key is an error."""
-    pairs = mapping.select(col_(key), col_(name)).dropDuplicates()
-    clash = pairs.groupBy(col_(key)).count().where(F.col("count") > 1).limit(1).count()
-    if clash:
-        raise ValueError(f"mapping gives more than one {name!r} for some {key!r}")
-    return pairs
+    """One row per key: exact duplicate pairs collapse; two different names
+    for one key fail the query that uses the mapping (checked lazily, inside
+    that query, so no separate job runs)."""
+    is_null = F.max(col_(name).isNull().cast("int"))
+    grouped = mapping.groupBy(col_(key)).agg(
+        F.max(col_(name)).alias(name), (F.count_distinct(col_(name)) + is_null).alias("__names")
+    )
+    clash = F.raise_error(F.lit(f"mapping gives more than one {name!r} for some {key!r}"))
+    return grouped.select(
+        col_(key), F.when(F.col("__names") > 1, clash).otherwise(col_(name)).cast("string").alias(name)
+    )
 
 
 def _atomic(df: DataFrame) -> list[str]:
@@ -52,6 +57,7 @@ def rename_by_mapping(
     replace: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     salt_buckets: int = SALT_BUCKETS,
+    mapping_rows: int | None = None,
 ) -> DataFrame:
     """``df LEFT JOIN mapping ON df[key_col] = mapping[mapping_key]``.
 
@@ -59,6 +65,9 @@ def rename_by_mapping(
     ``'keep'`` lets a repeated mapping key multiply the matching rows,
     ``'dedupe'`` removes exact duplicates first (conflicts raise).
     ``replace=True`` drops ``key_col`` and renames ``name_col`` to it.
+    ``mapping_rows`` is a known upper bound of the mapping's rows (e.g. the
+    length of a literal document); without it the bound is checked with a
+    small ``limit(n + 1).count()`` job.
     """
     if on_duplicate == "dedupe":
         mapping = dedupe_mapping(mapping, mapping_key, name_col)
@@ -68,7 +77,8 @@ def rename_by_mapping(
     if name_col in df.columns:
         raise ValueError(f"{name_col!r} already is a column of the input")
 
-    if bounded_count(right, broadcast_max_rows) <= broadcast_max_rows:
+    rows = mapping_rows if mapping_rows is not None else bounded_count(right, broadcast_max_rows)
+    if rows <= broadcast_max_rows:
         joined = df.join(F.broadcast(right), col_(key_col) == F.col(_KEY), how).drop(_KEY)
     else:
         atomic = _atomic(df)

@@ -15,7 +15,7 @@ are exact whatever order a cluster adds them in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalspark.operators.signals import normalize_signals
@@ -29,22 +29,44 @@ from signalspark.schemas import (
 )
 
 
-def turbine_readings(events: DataFrame) -> DataFrame:
+def _signal_values() -> dict[str, Column]:
     power = F.floor(F.col("value") * 10 + 0.5).cast("double")
-    return events.select(
-        F.date_format("ts", DATE_TIME_PATTERN).alias(DATE_TIME),
-        F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(power).alias(POWER),
-        F.from_json("props", "k DOUBLE")["k"].alias(WIND_SPEED),
-        F.col("user_id").cast("double").alias(THEORETICAL_POWER),
-        (F.col("event_id") % 360).cast("double").alias(WIND_DIRECTION),
-    )
+    return {
+        POWER: F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(power),
+        WIND_SPEED: F.from_json("props", "k DOUBLE")["k"],
+        THEORETICAL_POWER: F.col("user_id").cast("double"),
+        WIND_DIRECTION: (F.col("event_id") % 360).cast("double"),
+    }
+
+
+def turbine_readings(events: DataFrame) -> DataFrame:
+    """Readings as the CSV files hold them: ``Date/Time`` text and four DOUBLEs."""
+    values = [v.alias(k) for k, v in _signal_values().items()]
+    return events.select(F.date_format("ts", DATE_TIME_PATTERN).alias(DATE_TIME), *values)
 
 
 def signal_frame(readings: DataFrame, with_load_time: bool = False) -> DataFrame:
-    """Batch form of the stored signal table, straight from readings."""
+    """The stored signal table from readings, by the ingest's own normalisation."""
     return normalize_signals(readings, key_col=DATE_TIME, with_load_time=with_load_time)
 
 
+def signal_table(events: DataFrame) -> DataFrame:
+    """The stored signal table as ingest leaves it, derived in one projection.
+
+    Equal to ``signal_frame(turbine_readings(events))`` (the key text holds
+    minutes, so the parsed timestamp is ``ts`` truncated to the minute) but
+    without formatting and parsing text per row: this is what the reports
+    read, as they would read the already ingested table.
+    """
+    ts = F.date_trunc("minute", F.col("ts")).cast("timestamp")
+    pairs = []
+    for k, v in _signal_values().items():
+        pairs += [F.lit(k), v]
+    return events.select(
+        F.to_date(ts).alias("signal_date"), ts.alias("signal_ts"), F.create_map(*pairs).alias("signals")
+    )
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> str:
     """Write ``df`` as CSV files (one per partition) for the file streams to pick up."""
     df.write.mode("errorifexists").option("header", header).option("sep", sep).csv(path)

@@ -23,7 +23,7 @@ from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.signals import normalize_nested, normalize_signals, unpivot_signals
 from signalspark.schemas import DATE_TIME, NESTED_PAYLOAD_DDL, POWER, SIGNAL_KEYS, TURBINE_SCHEMA
 from signalspark.sources.files import csv_stream, read_signals
-from signalspark.sources.mapping import mapping_from_json
+from signalspark.sources.mapping import mapping_from_json, mapping_size
 from signalspark.sources.topic import topic_stream
 from signalspark.streaming.options import StreamOptions
 from signalspark.streaming.runner import run_stream
@@ -155,6 +155,7 @@ def report_job(
     table_format: str = "parquet",
     mapping: DataFrame | None = None,
     keys: Sequence[str] = SIGNAL_KEYS,
+    mapping_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """The batch reports over the signal table, as lazy DataFrames.
 
@@ -163,7 +164,8 @@ def report_job(
     and only then turns the few hourly rows long and joins the mapping.
     """
     table = read_signals(spark, table_path, table_format)
-    mapping = mapping if mapping is not None else mapping_from_json(spark)
+    if mapping is None:
+        mapping, mapping_rows = mapping_from_json(spark), mapping_size()
     hourly = hourly_averages(table, "trunc", keys)
     wide = hourly_averages(table, "trunc", keys, names={k: k for k in keys})
     long = unpivot_signals(wide, ["signal_hour"], keys, "sig_name", "average")
@@ -174,7 +176,7 @@ def report_job(
         "hourly_window": hourly_averages(table, "window", keys),
         "indicator_per_reading": add_indicator(table, signal_value(POWER)),
         "indicator_per_hour": add_indicator(hourly, "avg_LV_ActivePower"),
-        "signal_rename": rename_by_mapping(long, mapping, "sig_name", on_duplicate="dedupe"),
+        "signal_rename": rename_by_mapping(long, mapping, "sig_name", on_duplicate="dedupe", mapping_rows=mapping_rows),
     }
 
 

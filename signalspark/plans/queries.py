@@ -21,10 +21,11 @@ from signalspark.functions.timeparse import parse_signal_ts
 from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
 from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.signals import normalize_signals, unpack_signals, unpivot_signals
-from signalspark.plans.derived import signal_frame, turbine_readings, write_csv
+from signalspark.plans.derived import signal_table, turbine_readings, write_csv
 from signalspark.plans.jobs import echo_job, run_pipeline
 from signalspark.schemas import (
     DATE_TIME,
+    MAPPING_ROWS,
     NARROW_SCHEMA,
     NESTED_PAYLOAD_DDL,
     POWER,
@@ -34,7 +35,7 @@ from signalspark.schemas import (
 )
 from signalspark.session import scratch_dir
 from signalspark.sources.files import csv_stream, line_stream, read_signals
-from signalspark.sources.mapping import mapping_from_json, mapping_from_rows
+from signalspark.sources.mapping import mapping_from_json, mapping_from_rows, mapping_size
 from signalspark.streaming.options import StreamOptions
 from signalspark.streaming.runner import run_stream
 from signalspark.streaming.sinks import echo_stream
@@ -57,7 +58,7 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signal_frame(_readings(spark, sf_dir))
+    return signal_table(_table(spark, sf_dir, "events"))
 
 
 def _ntz(c: Column | str) -> Column:
@@ -140,23 +141,31 @@ def _long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping_join_fanout_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename_by_mapping(_long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="keep")
+    return rename_by_mapping(
+        _long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="keep", mapping_rows=mapping_size()
+    )
 
 
 def mapping_join_dedupe_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rename_by_mapping(_long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+    return rename_by_mapping(
+        _long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+    )
 
 
 def mapping_literal_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ind = indicator_per_hour_q(spark, sf_dir)
-    return rename_by_mapping(ind, mapping_from_rows(spark), "generation_indicator", replace=True)
+    return rename_by_mapping(
+        ind, mapping_from_rows(spark), "generation_indicator", replace=True, mapping_rows=len(MAPPING_ROWS)
+    )
 
 
 def signal_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = hourly_averages(_signals(spark, sf_dir), "trunc", names={k: k for k in SIGNAL_KEYS})
     wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
     long = unpivot_signals(wide, ["signal_hour"], SIGNAL_KEYS, "sig_name", "average")
-    return rename_by_mapping(long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+    return rename_by_mapping(
+        long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+    )
 
 
 # -------------------------------------------------------------- codec queries
@@ -454,7 +463,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = wide.withColumn("generation_indicator", generation_indicator(col_(POWER)))
     long = unpivot_signals(wide.select("signal_hour", "generation_indicator", *[col_(k) for k in SIGNAL_KEYS]),
                            ["signal_hour", "generation_indicator"], SIGNAL_KEYS, "sig_name", "average")
-    return rename_by_mapping(long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+    return rename_by_mapping(
+        long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+    )
 
 
 __all__ = ["ORACLES", "QUERIES", "WINDOW_AVERAGE_NAMES", "flagship"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,11 @@ def mapping_from_json(spark: SparkSession, document: str = MAPPING_JSON) -> Data
     return doc.select(F.inline(F.from_json("doc", MAPPING_JSON_DDL))).select("sig_name", "sig_mapping_name")
 
 
+def mapping_size(document: str = MAPPING_JSON) -> int:
+    """Number of entries of a mapping document: a proven bound for broadcasting it."""
+    return len(json.loads(document))
+
+
 def mapping_from_rows(spark: SparkSession, rows: Iterable[tuple[str, str]] = MAPPING_ROWS) -> DataFrame:
     """The mapping from literal ``(sig_name, sig_mapping_name)`` pairs."""
     return spark.createDataFrame(list(rows), MAPPING_DDL)
