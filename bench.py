@@ -2,9 +2,11 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then ``BENCH_RUNS`` times into the ``noop``
-sink (the whole result is computed, nothing is collected); the median is
-reported.  ``value`` is the sum of the medians.
+Every query first runs once to warm the JVM up (one pass over all of them,
+so that the first query timed does not pay for the JIT), then each runs
+``BENCH_RUNS`` times into the ``noop`` sink (the whole result is computed,
+nothing is collected); the median is reported.  ``value`` is the sum of the
+medians.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8)))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -54,16 +56,14 @@ def main() -> None:
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="signalspark-bench-"))
 
-    timings: dict[str, float] = {}
+    def run(name: str) -> float:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
     for name in names:
-        fn = QUERIES[name]
-        samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
-        timings[name] = round(statistics.median(samples), 3)
+        run(name)
+    timings = {name: round(statistics.median(run(name) for _ in range(runs)), 3) for name in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(

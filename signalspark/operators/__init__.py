@@ -2,6 +2,7 @@
 
 from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
 from signalspark.operators.mapping import bounded_count, dedupe_mapping, rename_by_mapping
+from signalspark.operators.partitioning import spread_partitions, task_slots
 from signalspark.operators.signals import (
     normalize_nested,
     normalize_signals,
@@ -20,6 +21,8 @@ __all__ = [
     "normalize_signals",
     "pack_signals",
     "rename_by_mapping",
+    "spread_partitions",
+    "task_slots",
     "unpack_signals",
     "unpivot_signals",
 ]

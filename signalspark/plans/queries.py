@@ -20,6 +20,7 @@ from signalspark.functions.maps import signal_value
 from signalspark.functions.timeparse import parse_signal_ts
 from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
 from signalspark.operators.mapping import rename_by_mapping
+from signalspark.operators.partitioning import spread_partitions
 from signalspark.operators.signals import normalize_signals, unpack_signals, unpivot_signals
 from signalspark.plans.derived import signal_table, turbine_readings, write_csv
 from signalspark.plans.jobs import echo_job, run_pipeline
@@ -34,7 +35,7 @@ from signalspark.schemas import (
     WINDOW_AVERAGE_NAMES,
 )
 from signalspark.session import scratch_dir
-from signalspark.sources.files import csv_stream, line_stream, read_signals
+from signalspark.sources.files import csv_stream, line_stream, read_signals, read_table
 from signalspark.sources.mapping import mapping_from_json, mapping_from_rows, mapping_size
 from signalspark.streaming.options import StreamOptions
 from signalspark.streaming.runner import run_stream
@@ -50,7 +51,7 @@ PRICE_THRESHOLDS = (20000, 60000, 100000)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +99,7 @@ def hourly_avg_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sig = _signals(spark, sf_dir)
+    sig = signal_table(spread_partitions(_table(spark, sf_dir, "events")))
     return sig.select(F.to_json(F.struct("signal_date", "signal_ts", "signals")).alias("value"))
 
 
@@ -176,13 +177,13 @@ def _messages(df: DataFrame) -> DataFrame:
 
 
 def json_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = spread_partitions(_table(spark, sf_dir, "lineitem"))
     text = as_text(_messages(encode_json(li, "l_orderkey")))
     return decode_json(text, li.schema)
 
 
 def json_narrow_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = spread_partitions(_table(spark, sf_dir, "lineitem"))
     text = as_text(_messages(encode_json(li, "l_orderkey")))
     return decode_json(text, "l_orderkey BIGINT, l_extendedprice DOUBLE")
 

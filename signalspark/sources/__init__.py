@@ -1,6 +1,6 @@
 """Sources: CSV and line file streams, the message log, the signal table, mappings."""
 
-from signalspark.sources.files import csv_stream, line_stream, read_signals
+from signalspark.sources.files import csv_stream, line_stream, read_signals, read_table
 from signalspark.sources.mapping import mapping_from_json, mapping_from_rows, mapping_size
 from signalspark.sources.topic import kafka_sink_options, kafka_source_options, topic_stream
 
@@ -13,5 +13,6 @@ __all__ = [
     "mapping_from_rows",
     "mapping_size",
     "read_signals",
+    "read_table",
     "topic_stream",
 ]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import threading
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,28 @@ def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.text(path)
 
 
+_SCHEMAS: dict[tuple[str, str], str] = {}
+_SCHEMAS_LOCK = threading.Lock()
+
+
+def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    """Batch read of a table folder or file whose schema does not change.
+
+    The schema is inferred (one footer read) the first time a path is seen
+    in this process and given explicitly afterwards, so repeated reads of
+    the same table only list its files.
+    """
+    key = (table_format, path)
+    with _SCHEMAS_LOCK:
+        known = _SCHEMAS.get(key)
+    if known is not None:
+        return spark.read.format(table_format).schema(T.StructType.fromJson(json.loads(known))).load(path)
+    df = spark.read.format(table_format).load(path)
+    with _SCHEMAS_LOCK:
+        _SCHEMAS[key] = df.schema.json()
+    return df
+
+
 def read_signals(
     spark: SparkSession,
     path: str,
