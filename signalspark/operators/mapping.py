@@ -3,7 +3,10 @@
 The mapping is broadcast only after its row count is checked against a
 bound.  Past the bound the join is a shuffle join salted on the left side:
 signal names are few, so an unsalted shuffle would put each name (possibly a
-third of all rows) into one task.
+third of all rows) into one task.  The number of salt buckets follows the
+session's shuffle partitions (each mapping row is copied once per bucket, so
+it is bounded); AQE's skew-join split, on in ``build_session``, further
+divides any bucket that is still too large.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ from pyspark.sql import types as T
 from signalspark.functions.columns import col_
 
 BROADCAST_MAX_ROWS = 100_000
-SALT_BUCKETS = 32
+MIN_SALT_BUCKETS = 32
+MAX_SALT_BUCKETS = 1024
 
 _KEY = "__mapping_key"
 _SALT = "__salt"
@@ -41,9 +45,15 @@ def dedupe_mapping(mapping: DataFrame, key: str = "sig_name", name: str = "sig_m
     )
 
 
-def _atomic(df: DataFrame) -> list[str]:
-    skip = (T.MapType, T.ArrayType, T.StructType)
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, skip)]
+def salt_buckets_for(df: DataFrame) -> int:
+    """Salt buckets for a shuffle join: the session's shuffle partitions, within bounds."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
+    return max(MIN_SALT_BUCKETS, min(MAX_SALT_BUCKETS, parts))
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    # xxhash64 takes every type but maps.
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
 
 
 def rename_by_mapping(
@@ -56,7 +66,7 @@ def rename_by_mapping(
     on_duplicate: str = "keep",
     replace: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
+    salt_buckets: int | None = None,
     mapping_rows: int | None = None,
 ) -> DataFrame:
     """``df LEFT JOIN mapping ON df[key_col] = mapping[mapping_key]``.
@@ -81,12 +91,16 @@ def rename_by_mapping(
     if rows <= broadcast_max_rows:
         joined = df.join(F.broadcast(right), col_(key_col) == F.col(_KEY), how).drop(_KEY)
     else:
-        atomic = _atomic(df)
-        salt_src = F.xxhash64(*[col_(c) for c in atomic]) if atomic else F.xxhash64(F.rand(17))
+        salt_buckets = salt_buckets or salt_buckets_for(df)
+        # The salt must be a function of the row (or of its input partition),
+        # never random: a shuffle re-run after a lost executor must send
+        # every row to the same bucket again.
+        hashable = _hashable(df)
+        salt_src = F.xxhash64(*[col_(c) for c in hashable]) if hashable else F.spark_partition_id().cast("bigint")
         left = df.withColumn(_SALT, F.pmod(salt_src, F.lit(salt_buckets)))
         # Each mapping row is copied once per salt value, so every salted
         # left row still meets all mapping rows of its key.
-        salts = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("bigint")
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint")))
         right = right.withColumn(_SALT_R, salts)
         cond = (col_(key_col) == F.col(_KEY)) & (F.col(_SALT) == F.col(_SALT_R))
         joined = left.join(right, cond, how).drop(_KEY, _SALT, _SALT_R)

@@ -1,0 +1,197 @@
+"""Operators on literal rows: normalising, reports, reshaping, the mapping join."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from signalspark.operators import (
+    add_indicator,
+    datapoints_per_day,
+    dedupe_mapping,
+    hourly_averages,
+    normalize_nested,
+    normalize_signals,
+    pack_signals,
+    rename_by_mapping,
+    spread_partitions,
+    unpack_signals,
+    unpivot_signals,
+)
+from signalspark.schemas import POWER, SIGNAL_KEYS, SIGNAL_TABLE_COLUMNS
+from signalspark.sources import mapping_from_json, mapping_from_rows
+from tests.fixtures import EDGE_POWER_AVERAGE, edge_readings
+
+
+@pytest.fixture()
+def signals(spark):
+    return normalize_signals(edge_readings(spark), key_col="Date/Time")
+
+
+def _as_text(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm")
+
+
+def test_normalize_signals_shape(signals):
+    assert tuple(signals.columns) == SIGNAL_TABLE_COLUMNS
+    rows = signals.select(_as_text("signal_ts").alias("ts"), "signal_date", "signals").collect()
+    assert rows[0].ts == "2018-01-01 00:00" and str(rows[0].signal_date) == "2018-01-01"
+    assert rows[2].signals[POWER] is None and POWER in rows[2].signals
+    assert rows[4].ts is None and rows[4].signal_date is None
+
+
+def test_normalize_signals_string_date(spark):
+    out = normalize_signals(edge_readings(spark), key_col="Date/Time", signal_date_type="string", with_load_time=False)
+    assert [r.signal_date for r in out.collect()][:2] == ["01 01 2018 00:00", "01 01 2018 00:00"]
+    with pytest.raises(ValueError):
+        normalize_signals(edge_readings(spark), key_col="Date/Time", signal_date_type="int")
+
+
+def test_datapoints_per_day(signals):
+    by_date = {str(r.signal_date): r.datapoints_per_day for r in datapoints_per_day(signals, "date").collect()}
+    assert by_date == {"2018-01-01": 2, "2018-12-31": 1, "None": 0}
+    trunc = datapoints_per_day(signals, "trunc")
+    got = {r.d: r.datapoints_per_day for r in trunc.select(_as_text("date").alias("d"), "datapoints_per_day").collect()}
+    assert got == {"2018-01-01 00:00": 2, "2018-12-31 00:00": 1, None: 0}
+    with pytest.raises(ValueError):
+        datapoints_per_day(signals, "week")
+
+
+def test_hourly_averages_trunc_keeps_null_group(signals):
+    h = hourly_averages(signals, "trunc")
+    assert h.columns == ["signal_hour", "avg_LV_ActivePower", "avg_Wind_Speed", "avg_Theoretical_Power_Curve", "avg_Wind_Direction"]
+    got = {r.h: r.avg_LV_ActivePower for r in h.select(_as_text("signal_hour").alias("h"), "avg_LV_ActivePower").collect()}
+    assert got == {"2018-01-01 00:00": 240.02, "2018-12-31 23:00": 1200.5, None: 10.0}
+
+
+def test_hourly_averages_window_drops_null_ts(signals):
+    w = hourly_averages(signals, "window")
+    assert w.columns[0] == "hour" and "average_Wind_Speed" in w.columns
+    rows = w.select(_as_text("hour.start").alias("s"), _as_text("hour.end").alias("e")).orderBy("s").collect()
+    assert [(r.s, r.e) for r in rows] == [
+        ("2018-01-01 00:00", "2018-01-01 01:00"),
+        ("2018-12-31 23:00", "2019-01-01 00:00"),
+    ]
+
+
+def test_overall_average_skips_null(signals):
+    got = signals.agg(F.avg(F.col("signals")[POWER])).first()[0]
+    assert got == pytest.approx(EDGE_POWER_AVERAGE)
+
+
+def test_hourly_average_of_text_map_and_missing_key(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01 10:05:00", {"a": "1.5"}), ("2024-01-01 10:35:00", {"a": "oops"}), ("2024-01-01 10:40:00", {"a": "2.5"})],
+        "t STRING, signals MAP<STRING, STRING>",
+    ).select(F.col("t").cast("timestamp").alias("signal_ts"), "signals")
+    h = hourly_averages(df, "trunc", keys=["a", "missing"], names={"a": "avg_a", "missing": "avg_m"}, cast=True).first()
+    assert h.avg_a == 2.0 and h.avg_m is None
+
+
+def test_hourly_averages_wide_columns(spark):
+    df = spark.createDataFrame([("2024-01-01 10:05:00", 1.0), ("2024-01-01 10:35:00", 3.0)], "t STRING, x DOUBLE")
+    df = df.select(F.col("t").cast("timestamp").alias("signal_ts"), "x")
+    assert hourly_averages(df, "trunc", keys=["x"], names={"x": "avg_x"}, map_col=None).first().avg_x == 2.0
+    with pytest.raises(ValueError):
+        hourly_averages(df, "day", keys=["x"], map_col=None)
+
+
+def test_add_indicator_per_reading(signals):
+    out = add_indicator(signals, F.col("signals")[POWER])
+    assert [r.generation_indicator for r in out.collect()] == ["Medium", "Low", "Exceptional", "Exceptional", "Low"]
+
+
+def test_pack_unpack_round_trip(spark):
+    packed = pack_signals(edge_readings(spark))
+    long = unpack_signals(packed.select("Date/Time", "signals"), keep=["Date/Time"])
+    assert long.count() == 5 * len(SIGNAL_KEYS)
+    assert set(long.columns) == {"Date/Time", "sig_name", "sig_value"}
+    empty = spark.createDataFrame([(1, {}), (2, None)], "id INT, signals MAP<STRING, DOUBLE>")
+    assert unpack_signals(empty).count() == 0
+    assert unpack_signals(empty, outer=True).count() == 2
+
+
+def test_unpivot_signals(spark):
+    wide = spark.createDataFrame([("h1", 1.0, 2.0)], "h STRING, a DOUBLE, b DOUBLE")
+    got = sorted((r.sig_name, r.v) for r in unpivot_signals(wide, ["h"], ["a", "b"], value_col="v").collect())
+    assert got == [("a", 1.0), ("b", 2.0)]
+
+
+def test_normalize_nested_casts_text_values(spark):
+    df = spark.createDataFrame([({"a": "1.5", "b": "x"},)], "signals MAP<STRING, STRING>")
+    df = df.select(F.lit(None).cast("date").alias("signal_date"), F.lit(None).cast("timestamp").alias("signal_ts"), "signals")
+    assert normalize_nested(df, with_load_time=False).first().signals == {"a": 1.5, "b": None}
+    assert normalize_nested(df, text_values=True, with_load_time=False).first().signals == {"a": "1.5", "b": "x"}
+
+
+# ------------------------------------------------------------------ mapping join
+def _long(spark):
+    rows = [(1, "LV ActivePower (kW)"), (2, "Theoretical_Power_Curve (KWh)"), (3, "unknown")]
+    return spark.createDataFrame(rows, "id INT, sig_name STRING")
+
+
+def test_mapping_sources(spark):
+    js = mapping_from_json(spark)
+    assert js.columns == ["sig_name", "sig_mapping_name"] and js.count() == 5
+    rows = mapping_from_rows(spark).collect()
+    assert len(rows) == 4 and rows[3].sig_name == " Wind Direction"
+
+
+def test_rename_keep_multiplies_duplicates(spark):
+    out = rename_by_mapping(_long(spark), mapping_from_json(spark), "sig_name", on_duplicate="keep")
+    got = sorted((r.id, r.sig_mapping_name or "") for r in out.collect())
+    assert got == [
+        (1, "active_power_average"),
+        (2, "theo_power_curve_average"),
+        (2, "theo_power_curve_average"),
+        (3, ""),
+    ]
+
+
+def test_rename_dedupe_and_unmatched(spark):
+    out = rename_by_mapping(_long(spark), mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+    got = sorted((r.id, r.sig_mapping_name) for r in out.collect())
+    assert got == [(1, "active_power_average"), (2, "theo_power_curve_average"), (3, None)]
+
+
+def test_rename_dedupe_conflict_fails_the_query(spark):
+    bad = spark.createDataFrame([("a", "x"), ("a", "y")], "sig_name STRING, sig_mapping_name STRING")
+    with pytest.raises(Exception, match="more than one"):
+        dedupe_mapping(bad).collect()
+    # a NULL name next to a real one is a conflict too
+    half = spark.createDataFrame([("a", "x"), ("a", None)], "sig_name STRING, sig_mapping_name STRING")
+    with pytest.raises(Exception, match="more than one"):
+        dedupe_mapping(half).collect()
+
+
+def test_rename_replace_and_literal_form(spark):
+    ind = spark.createDataFrame([(1, "Low"), (2, "High")], "id INT, generation_indicator STRING")
+    out = rename_by_mapping(ind, mapping_from_rows(spark), "generation_indicator", replace=True)
+    assert out.columns == ["id", "generation_indicator"]
+    assert [r.generation_indicator for r in out.collect()] == [None, None]
+
+
+def test_rename_salted_path_equals_broadcast(spark):
+    long = _long(spark).unionByName(_long(spark))
+    mapping = mapping_from_json(spark)
+    fast = rename_by_mapping(long, mapping, "sig_name", on_duplicate="keep")
+    salted = rename_by_mapping(long, mapping, "sig_name", on_duplicate="keep", broadcast_max_rows=0, salt_buckets=4)
+    key = lambda r: (r.id, r.sig_name, r.sig_mapping_name or "")
+    assert sorted(map(key, fast.collect())) == sorted(map(key, salted.collect()))
+    assert salted.columns == fast.columns
+
+
+def test_rename_validation(spark):
+    with pytest.raises(ValueError):
+        rename_by_mapping(_long(spark), mapping_from_json(spark), "sig_name", on_duplicate="first")
+    taken = _long(spark).withColumn("sig_mapping_name", F.lit("x"))
+    with pytest.raises(ValueError):
+        rename_by_mapping(taken, mapping_from_json(spark), "sig_name")
+
+
+def test_spread_partitions(spark):
+    one = spark.range(100).coalesce(1)
+    spread = spread_partitions(one, 4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
+    many = spark.range(0, 100, 1, 6)
+    assert spread_partitions(many, 4) is many
