@@ -25,12 +25,17 @@ def write_topic(
 ) -> StreamingQuery:
     """Publish ``key`` (optional) and ``value`` rows to ``topic``.
 
-    Raises at once when there is no ``value`` column, rather than when the
-    first micro-batch fails.  The file back end writes Spark's Kafka source
+    Raises at once when there is no ``value`` column or when ``key`` or
+    ``value`` is neither STRING nor BINARY (as Kafka's sink demands), rather
+    than when the first micro-batch fails.  The file back end writes Spark's Kafka source
     columns; ``partition`` is a hash of the key (of the value for NULL keys).
     """
     if "value" not in df.columns:
         raise ValueError("a topic sink needs a 'value' column (and optionally 'key')")
+    types = dict(df.dtypes)
+    for c in ("key", "value"):
+        if c in types and types[c] not in ("string", "binary"):
+            raise ValueError(f"topic column {c!r} must be STRING or BINARY, not {types[c]}")
     has_key = "key" in df.columns
     key = F.col("key") if has_key else F.lit(None).cast("string")
     if backend == "kafka":

@@ -1,0 +1,132 @@
+"""Streaming jobs: produce -> topic -> ingest -> table, restarts, and reports."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from signalspark.operators import normalize_signals
+from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job, run_pipeline
+from signalspark.schemas import NARROW_SCHEMA, POWER
+from signalspark.sources import read_signals, topic_stream
+from signalspark.streaming import StreamOptions, echo_stream, run_stream, run_streams, write_topic
+from tests.fixtures import EDGE_CSV, edge_readings, write_text
+
+_HEADER, *_LINES = EDGE_CSV.strip("\n").split("\n")
+
+
+def _table_rows(df):
+    """Signal rows as comparable tuples (load-time columns left out)."""
+    out = df.select(
+        F.date_format("signal_ts", "yyyy-MM-dd HH:mm").alias("ts"),
+        F.col("signal_date").cast("string").alias("d"),
+        F.to_json(F.map_entries("signals")).alias("s"),
+    )
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def test_pipeline_equals_batch_and_restart_adds_nothing(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    table = run_pipeline(spark, str(tmp_path / "csv"), str(tmp_path / "work"))
+    stored = read_signals(spark, table)
+    assert set(stored.columns) == {"signal_date", "signal_ts", "signals", "create_date", "create_ts"}
+    batch = normalize_signals(edge_readings(spark), key_col="Date/Time")
+    assert _table_rows(stored) == _table_rows(batch)
+    # the same work folder again: both checkpoints know every file already
+    run_pipeline(spark, str(tmp_path / "csv"), str(tmp_path / "work"))
+    assert read_signals(spark, table).count() == 5
+
+
+def test_one_file_or_many_gives_the_same_table(spark, tmp_path):
+    write_text(tmp_path / "one", "T1.csv", EDGE_CSV)
+    for i, line in enumerate(_LINES):
+        write_text(tmp_path / "many", f"T1_{i}.csv", _HEADER + "\n" + line + "\n")
+    a = read_signals(spark, run_pipeline(spark, str(tmp_path / "one"), str(tmp_path / "w1")))
+    b = read_signals(spark, run_pipeline(spark, str(tmp_path / "many"), str(tmp_path / "w2"), max_files_per_trigger=2))
+    assert _table_rows(a) == _table_rows(b)
+
+
+def test_nested_payload_pipeline(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    table = read_signals(spark, run_pipeline(spark, str(tmp_path / "csv"), str(tmp_path / "w"), payload="nested"))
+    batch = normalize_signals(edge_readings(spark), key_col="Date/Time")
+    assert _table_rows(table) == _table_rows(batch)
+
+
+def test_concat_payload_decodes_to_nulls(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    table = read_signals(spark, run_pipeline(spark, str(tmp_path / "csv"), str(tmp_path / "w"), payload="concat"))
+    rows = table.collect()
+    assert len(rows) == 5 and all(r.signals[POWER] is None for r in rows)
+    assert sum(r.signal_ts is not None for r in rows) == 4
+
+
+def test_report_job_on_the_stored_table(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    table = run_pipeline(spark, str(tmp_path / "csv"), str(tmp_path / "w"))
+    reports = report_job(spark, table)
+    per_day = {str(r.signal_date): r.datapoints_per_day for r in reports["datapoints_per_day"].collect()}
+    assert per_day == {"2018-01-01": 2, "2018-12-31": 1, "None": 0}
+    assert reports["hourly_window"].count() == 2
+    names = {r.sig_name: r.sig_mapping_name for r in reports["signal_rename"].collect()}
+    assert names["Wind Speed (m/s)"] == "wind_speed_average"
+    assert reports["signal_rename"].count() == 3 * 4  # three hours (one NULL) x four signals
+    assert {r.generation_indicator for r in reports["indicator_per_reading"].collect()} == {"Medium", "Low", "Exceptional"}
+
+
+def test_narrow_echo_and_text_echo(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    topic = str(tmp_path / "topic")
+    ck = str(tmp_path / "ck")
+    run_stream(produce_job(spark, str(tmp_path / "csv"), "turbine", ck, topic, available_now=True))
+    raw = topic_stream(spark, "turbine", path=topic)
+    assert raw.columns[:2] == ["key", "value"] and "offset" in raw.columns
+    run_stream(echo_job(spark, "turbine", ck, topic, schema=NARROW_SCHEMA, sink="memory", query_name="narrow", available_now=True))
+    narrow = spark.table("narrow")
+    assert narrow.columns == NARROW_SCHEMA.names and narrow.count() == 5
+    run_stream(echo_job(spark, "turbine", str(tmp_path / "ck2"), topic, sink="memory", query_name="texts", available_now=True))
+    assert all(r.value.startswith("{") for r in spark.table("texts").collect())
+    # another topic name in the same folder is a different topic
+    run_stream(echo_job(spark, "other", str(tmp_path / "ck3"), topic, sink="memory", query_name="other", available_now=True))
+    assert spark.table("other").count() == 0
+
+
+def test_ingest_with_text_dates_is_not_partitioned(spark, tmp_path):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    topic = str(tmp_path / "topic")
+    ck = str(tmp_path / "ck")
+    run_stream(produce_job(spark, str(tmp_path / "csv"), "t", ck, topic, available_now=True))
+    run_stream(ingest_job(spark, "t", str(tmp_path / "table"), ck, topic, signal_date_type="string", available_now=True))
+    df = spark.read.parquet(str(tmp_path / "table"))
+    assert dict(df.dtypes)["signal_date"] == "string" and df.count() == 5
+
+
+def test_sink_and_option_validation(spark, tmp_path):
+    df = spark.readStream.format("rate").load()
+    opts = StreamOptions(str(tmp_path / "ck"))
+    with pytest.raises(ValueError, match="needs a 'value'"):
+        write_topic(df.select("timestamp"), "t", opts, path=str(tmp_path / "topic"))
+    with pytest.raises(ValueError, match="STRING or BINARY"):
+        write_topic(df, "t", opts, path=str(tmp_path / "topic"))
+    with pytest.raises(ValueError):
+        echo_stream(df, opts, sink="memory")
+    with pytest.raises(ValueError):
+        echo_stream(df, opts, sink="parquet")
+    with pytest.raises(ValueError):
+        produce_job(spark, str(tmp_path), "t", str(tmp_path / "ck"), str(tmp_path / "topic"), payload="avro")
+    assert opts.child("produce/T1 topic").checkpoint.endswith("/ck/produce_T1_topic")
+
+
+def test_run_streams_waits_for_all(spark, tmp_path):
+    for i in range(2):
+        write_text(tmp_path / f"in{i}", "a.txt", "x\n")
+    queries = []
+    for i in range(2):
+        src = spark.readStream.text(str(tmp_path / f"in{i}"))
+        opts = StreamOptions(str(tmp_path / "ck"), available_now=True, query_name=f"multi{i}").child(f"q{i}")
+        queries.append(echo_stream(src, opts, sink="memory"))
+    assert run_streams(spark, queries, timeout=120)
+    assert all(not q.isActive for q in queries)
+    assert spark.table("multi0").count() == 1 and spark.table("multi1").count() == 1
+    with pytest.raises(ValueError):
+        run_streams(spark, [], until="some")
