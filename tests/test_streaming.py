@@ -130,3 +130,18 @@ def test_run_streams_waits_for_all(spark, tmp_path):
     assert spark.table("multi0").count() == 1 and spark.table("multi1").count() == 1
     with pytest.raises(ValueError):
         run_streams(spark, [], until="some")
+
+
+def test_stream_static_mapping_join(spark, tmp_path):
+    from signalspark.operators import pack_signals, rename_by_mapping, unpack_signals
+    from signalspark.sources import csv_stream, mapping_from_json
+
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    readings = csv_stream(spark, str(tmp_path / "csv"))
+    long = unpack_signals(pack_signals(readings).select("Date/Time", "signals"), keep=["Date/Time"])
+    renamed = rename_by_mapping(long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe")
+    assert renamed.isStreaming
+    opts = StreamOptions(str(tmp_path / "ck"), available_now=True, query_name="renamed").child("renamed")
+    run_stream(echo_stream(renamed, opts, sink="memory"))
+    rows = spark.table("renamed").collect()
+    assert len(rows) == 5 * 4 and all(r.sig_mapping_name is not None for r in rows)
