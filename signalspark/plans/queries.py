@@ -239,9 +239,15 @@ def line_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value STRING").parquet(f"{work}/out")
 
 
+def _stream_input(spark: SparkSession, sf_dir: str, work: str) -> str:
+    """The readings as CSV files, one per task slot, for the file streams."""
+    events = spread_partitions(_table(spark, sf_dir, "events"))
+    return write_csv(turbine_readings(events), f"{work}/csv")
+
+
 def _pipeline_table(spark: SparkSession, sf_dir: str, name: str, payload: str) -> str:
     work = scratch_dir(spark, name)
-    write_csv(_readings(spark, sf_dir), f"{work}/csv")
+    _stream_input(spark, sf_dir, work)
     return run_pipeline(spark, f"{work}/csv", work, payload=payload)
 
 
@@ -260,7 +266,7 @@ def stream_nested_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_narrow_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV stream -> JSON topic -> narrow decode echoed to a Parquet sink."""
     work = scratch_dir(spark, "narrow_echo")
-    write_csv(_readings(spark, sf_dir), f"{work}/csv")
+    _stream_input(spark, sf_dir, work)
     from signalspark.plans.jobs import produce_job
 
     topic_path = f"{work}/topic"

@@ -28,7 +28,8 @@ def write_topic(
     Raises at once when there is no ``value`` column or when ``key`` or
     ``value`` is neither STRING nor BINARY (as Kafka's sink demands), rather
     than when the first micro-batch fails.  The file back end writes Spark's Kafka source
-    columns; ``partition`` is a hash of the key (of the value for NULL keys).
+    columns; ``partition`` is a hash of the key (of the value for NULL keys),
+    and each micro-batch lands in at most ``num_partitions`` balanced files.
     """
     if "value" not in df.columns:
         raise ValueError("a topic sink needs a 'value' column (and optionally 'key')")
@@ -59,6 +60,10 @@ def write_topic(
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+    # Each micro-batch is written as up to ``num_partitions`` balanced files
+    # (round robin, so a hot key cannot make one huge file); consumers then
+    # read the batch with that many tasks, as they would read topic partitions.
+    records = records.repartition(num_partitions)
     return options.start(records.writeStream.format("parquet").option("path", path))
 
 
