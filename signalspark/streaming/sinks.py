@@ -11,8 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from signalspark.sources.topic import kafka_sink_options
 from signalspark.streaming.options import StreamOptions
 
-DEFAULT_TOPIC_PARTITIONS = 8
-
 
 def write_topic(
     df: DataFrame,
@@ -21,7 +19,7 @@ def write_topic(
     backend: str = "file",
     path: str | None = None,
     bootstrap_servers: str | None = None,
-    num_partitions: int = DEFAULT_TOPIC_PARTITIONS,
+    num_partitions: int | None = None,
 ) -> StreamingQuery:
     """Publish ``key`` (optional) and ``value`` rows to ``topic``.
 
@@ -29,7 +27,8 @@ def write_topic(
     ``value`` is neither STRING nor BINARY (as Kafka's sink demands), rather
     than when the first micro-batch fails.  The file back end writes Spark's Kafka source
     columns; ``partition`` is a hash of the key (of the value for NULL keys),
-    and each micro-batch lands in at most ``num_partitions`` balanced files.
+    and each micro-batch lands in at most ``num_partitions`` balanced files
+    (default: the session's ``spark.sql.shuffle.partitions``).
     """
     if "value" not in df.columns:
         raise ValueError("a topic sink needs a 'value' column (and optionally 'key')")
@@ -49,6 +48,9 @@ def write_topic(
         raise ValueError("backend must be 'file' or 'kafka'")
     if not path:
         raise ValueError("the file back end needs a path")
+    if num_partitions is None:
+        # As many topic partitions as the cluster's shuffle partitions.
+        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
     records = df.select(
         key.cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
