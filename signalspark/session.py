@@ -55,7 +55,10 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        # Only for local runs and tests: a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            # A folder on one machine is invisible to the other executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
+        # Only for local runs and tests.
         root = tempfile.mkdtemp(prefix="signalspark-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
