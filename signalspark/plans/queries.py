@@ -80,6 +80,13 @@ def datapoints_per_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datapoints_per_day(_signals(spark, sf_dir), by="date")
 
 
+def datapoints_per_key_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day counts over the table as the original ingest produced it: its
+    ``signal_date`` is the message key text, so every group is one minute."""
+    sig = normalize_signals(_readings(spark, sf_dir), key_col=DATE_TIME, signal_date_type="string", with_load_time=False)
+    return datapoints_per_day(sig, by="date")
+
+
 def datapoints_per_day_trunc_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = datapoints_per_day(_signals(spark, sf_dir), by="trunc")
     return d.select(_ntz("date").alias("date"), "datapoints_per_day")
@@ -289,6 +296,7 @@ def stream_narrow_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "datapoints_per_day": datapoints_per_day_q,
     "datapoints_per_day_trunc": datapoints_per_day_trunc_q,
+    "datapoints_per_key_text": datapoints_per_key_text_q,
     "hourly_avg_trunc": hourly_avg_trunc_q,
     "hourly_avg_window": hourly_avg_window_q,
     "hourly_avg_text_map": hourly_avg_text_map_q,
@@ -386,6 +394,11 @@ ORACLES: dict[str, str] = {
     "datapoints_per_day_trunc": _SIG
     + "SELECT CAST(date_trunc('day', signal_ts) AS TIMESTAMP) AS date, "
     "count(DISTINCT signal_ts) AS datapoints_per_day FROM sig GROUP BY 1",
+    "datapoints_per_key_text": "WITH "
+    + _READINGS
+    + """ SELECT "Date/Time" AS signal_date,
+       count(DISTINCT strptime("Date/Time", '%d %m %Y %H:%M')) AS datapoints_per_day
+FROM readings GROUP BY 1""",
     "hourly_avg_trunc": _HOURLY + "SELECT * FROM hourly",
     "hourly_avg_window": _SIG + _WINDOW,
     "hourly_avg_text_map": _HOURLY + "SELECT * FROM hourly",
