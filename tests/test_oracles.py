@@ -38,3 +38,16 @@ def test_entry_smoke(spark):
         "theo_power_curve_average",
         "wind_direction_average",
     }
+
+
+@pytest.mark.parametrize(
+    "name", ["datapoints_per_day", "hourly_avg_trunc", "hourly_avg_window", "nested_decode", "parse_signal_ts"]
+)
+def test_time_queries_do_not_depend_on_the_session_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, SF_SMALL, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert r["ok"], r
