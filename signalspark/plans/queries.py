@@ -479,10 +479,13 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings -> hourly averages -> indicator -> signals renamed through the mapping."""
     sig = _signals(spark, sf_dir)
     wide = hourly_averages(sig, "trunc", names={k: k for k in SIGNAL_KEYS})
-    wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
-    wide = wide.withColumn("generation_indicator", generation_indicator(col_(POWER)))
-    long = unpivot_signals(wide.select("signal_hour", "generation_indicator", *[col_(k) for k in SIGNAL_KEYS]),
-                           ["signal_hour", "generation_indicator"], SIGNAL_KEYS, "sig_name", "average")
+    wide = wide.select(
+        _ntz("signal_hour").alias("signal_hour"),
+        generation_indicator(col_(POWER)).alias("generation_indicator"),
+        *[col_(k) for k in SIGNAL_KEYS],
+    )
+    ids = ["signal_hour", "generation_indicator"]
+    long = unpivot_signals(wide, ids, SIGNAL_KEYS, "sig_name", "average")
     return rename_by_mapping(
         long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
     )
