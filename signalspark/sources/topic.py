@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from signalspark.schemas import TOPIC_SCHEMA
 
+HEADERS_TYPE = "array<struct<key: string, value: binary>>"
+
 
 def kafka_source_options(
     bootstrap_servers: str,
@@ -67,7 +69,13 @@ def topic_stream(
         raise ValueError("the file back end needs a path")
     if starting != "earliest":
         raise ValueError("the file back end always reads from the earliest message")
+    if max_offsets_per_trigger:
+        raise ValueError("the file back end has no offsets: limit it with max_files_per_trigger")
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(path).where(F.col("topic") == F.lit(topic))
+    messages = reader.parquet(path).where(F.col("topic") == F.lit(topic))
+    if include_headers:
+        # Same column as Kafka's source; the file log keeps no headers.
+        messages = messages.withColumn("headers", F.lit(None).cast(HEADERS_TYPE))
+    return messages

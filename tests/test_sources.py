@@ -80,6 +80,11 @@ def test_topic_stream_validation(spark, tmp_path):
         topic_stream(spark, "t", backend="file", path=str(tmp_path), starting="latest")
     with pytest.raises(ValueError):
         topic_stream(spark, "t", backend="pulsar", path=str(tmp_path))
+    with pytest.raises(ValueError, match="max_files_per_trigger"):
+        topic_stream(spark, "t", path=str(tmp_path), max_offsets_per_trigger=10)
+    with_headers = topic_stream(spark, "t", path=str(tmp_path), include_headers=True)
+    assert with_headers.columns[-1] == "headers"
+    assert dict(with_headers.dtypes)["headers"] == "array<struct<key:string,value:binary>>"
 
 
 def test_kafka_options():
