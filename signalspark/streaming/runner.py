@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
+POLL_SECONDS = 0.2
+
+
 def _raise_failure(query: StreamingQuery) -> None:
     exc = query.exception()
     if exc is not None:
@@ -35,15 +38,23 @@ def run_streams(
     """Wait for several queries of one session.
 
     ``until='all'`` waits for every query (in order, sharing ``timeout``);
-    ``until='any'`` returns as soon as one ends.  A failed query is re-raised
+    ``until='any'`` returns as soon as one of ``queries`` ends (queries of
+    the session that are not listed do not count).  A failed query is re-raised
     and the others are stopped.
     """
     try:
         if until == "any":
-            ended = spark.streams.awaitAnyTermination(timeout) if timeout is not None else spark.streams.awaitAnyTermination()
-            for q in queries:
-                _raise_failure(q)
-            return True if ended is None else bool(ended)
+            # Watch only these queries: the session-wide awaitAnyTermination
+            # also returns for any query of the session that ended earlier.
+            deadline = None if timeout is None else time.monotonic() + timeout
+            while True:
+                for q in queries:
+                    if not q.isActive:
+                        _raise_failure(q)
+                        return True
+                if deadline is not None and time.monotonic() >= deadline:
+                    return False
+                queries[0].awaitTermination(POLL_SECONDS)
         if until != "all":
             raise ValueError("until must be 'all' or 'any'")
         deadline = None if timeout is None else time.monotonic() + timeout

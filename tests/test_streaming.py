@@ -145,3 +145,23 @@ def test_stream_static_mapping_join(spark, tmp_path):
     run_stream(echo_stream(renamed, opts, sink="memory"))
     rows = spark.table("renamed").collect()
     assert len(rows) == 5 * 4 and all(r.sig_mapping_name is not None for r in rows)
+
+
+def test_run_streams_any_returns_when_one_of_them_ends(spark, tmp_path):
+    write_text(tmp_path / "in", "a.txt", "x\n")
+    short = echo_stream(
+        spark.readStream.text(str(tmp_path / "in")),
+        StreamOptions(str(tmp_path / "ck"), available_now=True, query_name="short").child("short"),
+        sink="memory",
+    )
+    endless = echo_stream(
+        spark.readStream.format("rate").option("rowsPerSecond", 1).load(),
+        StreamOptions(str(tmp_path / "ck"), processing_time="1 second", query_name="endless").child("endless"),
+        sink="memory",
+    )
+    try:
+        assert run_streams(spark, [endless, short], timeout=120, until="any")
+        assert not short.isActive and endless.isActive
+        assert not run_streams(spark, [endless], timeout=1, until="any")
+    finally:
+        endless.stop()
