@@ -26,6 +26,12 @@ class StreamOptions:
     output_mode: str = "append"
     query_name: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.processing_time and self.available_now:
+            raise ValueError("choose either processing_time or available_now, not both")
+        if not self.checkpoint:
+            raise ValueError("a streaming query needs a checkpoint folder")
+
     def child(self, name: str) -> StreamOptions:
         safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", name)
         return replace(self, checkpoint=f"{self.checkpoint.rstrip('/')}/{safe}")

@@ -115,6 +115,10 @@ def test_sink_and_option_validation(spark, tmp_path):
     with pytest.raises(ValueError):
         produce_job(spark, str(tmp_path), "t", str(tmp_path / "ck"), str(tmp_path / "topic"), payload="avro")
     assert opts.child("produce/T1 topic").checkpoint.endswith("/ck/produce_T1_topic")
+    with pytest.raises(ValueError):
+        StreamOptions(str(tmp_path / "ck"), processing_time="1 second", available_now=True)
+    with pytest.raises(ValueError):
+        StreamOptions("")
 
 
 def test_run_streams_waits_for_all(spark, tmp_path):
