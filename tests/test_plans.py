@@ -55,3 +55,12 @@ def test_no_python_evaluation(spark, name):
     text = plan_text(QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in text, (name, node)
+
+
+def test_json_is_decoded_once_per_row(spark):
+    for name in ("json_envelope", "json_narrow_decode", "nested_decode"):
+        text = plan_text(QUERIES[name](spark, SF_SMALL))
+        physical = text.split("== Physical Plan ==")[-1]
+        # one from_json per Project line, however many fields are expanded
+        lines = [line for line in physical.splitlines() if "from_json(" in line and line.startswith("Output")]
+        assert len(lines) == 1 and lines[0].count("from_json(") == 1, (name, lines)
