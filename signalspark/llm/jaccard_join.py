@@ -10,7 +10,8 @@
    whose kept tokens end first has at most ceil(t n) - 3 common tokens beyond them, and at least ceil(t n) are common).
    The matrix holds, for each token and group, the sizes of the group's sets that keep the token: the union of its members.
 4. *Bound.*  A set's kept tokens are looked up; a group that shares fewer than 3 with it can't hold a partner.
-5. *Open.*  Members of qualifying groups whose size is possible are compared exactly with the set.
+5. *Open.*  The leader of a qualifying group is compared exactly with the set; where the two are still apart
+   after that, all its members whose size is possible are.
 6. Verified links between groups, contracted to groups, give the components.
 
 The sketch only decides the order, so its errors cost time, not links.
@@ -209,17 +210,24 @@ def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     matrix = kept.groupBy("token", "gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max")).toDF("token", "group", "n_min", "n_max")
     fits = (F.col("n") * den >= F.col("n_min") * num) & (F.col("n_max") * den >= F.col("n") * num)
     opened = kept.join(matrix, "token").where((F.col("gid") > F.col("group")) & fits).groupBy("doc_id", "n", "group").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= NEED)
-    gid_of = open_.select("doc_id", "n").join(moved, "doc_id", "left").select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.coalesce("gid", "doc_id").alias("group"))
-    pairs = stored(
-        opened.join(gid_of, "group").where((F.col("n") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("n") * num)).select(F.col("doc_id").alias("a"), "b"),
-        "pairs",
-    )
-    lacking = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(grouped, "doc_id", "left_anti"), "lacking")
-    more = join_ids(docs, lacking, "doc_id", "inner").withColumn("whole", F.lit(True))
-    more = stored(more.mapInArrow(partial(_second_pass, k=k, num=num, den=den, sketch=sketch), "doc_id long, n long, kept array<long>, tokens binary").select("doc_id", "tokens"), "more")
-    whole = whole.union(more)
-    found = pairs.join(whole.toDF("a", "ta"), "a").join(whole.toDF("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
-    links = stored(moved.toDF("a", "b").union(found), "links")
+    opened = stored(opened.select(F.col("doc_id").alias("a"), "n", "group"), "opened")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold; whole sets are rebuilt from the texts of those not grouped."""
+        lacking = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(grouped, "doc_id", "left_anti"), "lacking")
+        more = join_ids(docs, lacking, "doc_id", "inner").withColumn("whole", F.lit(True))
+        more = more.mapInArrow(partial(_second_pass, k=k, num=num, den=den, sketch=sketch), "doc_id long, n long, kept array<long>, tokens binary").select("doc_id", "tokens")
+        both = whole.union(stored(more, "more"))
+        return pairs.join(both.toDF("a", "ta"), "a").join(both.toDF("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
+
+    # A group's leader is tried first.  All members of a group are linked, so one link settles the group, and only
+    # groups still apart from the set are compared member by member.
+    links = stored(moved.toDF("a", "b").union(verified(stored(opened.select("a", F.col("group").alias("b")), "leaders"))), "links")
+    near = stored(connected_components(links), "near")
+    apart = opened.join(near.toDF("a", "ca"), "a", "left").join(near.toDF("group", "cg"), "group", "left").where(F.coalesce("ca", "a") != F.coalesce("cg", "group")).select("a", "n", "group")
+    members = open_.select("doc_id", "n").join(moved, "doc_id").select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("gid").alias("group"))
+    pairs = apart.join(members, "group").where((F.col("n") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("n") * num)).select("a", "b")
+    links = stored(links.union(verified(stored(pairs, "pairs"))), "links")
     labels = connected_components(links).toDF("doc_id", "component_id")
     named = stored(classes.join(labels, "doc_id", "left").select("n", "s1", "s2", F.coalesce("component_id", "doc_id").alias("component_id")), "named")
     return seen.join(named, ["n", "s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
