@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from signalspark.llm.jaccard_join import op3_ngram_jaccard_join
+from signalspark.llm.token_count import op4_token_counts
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_token_counts": op4_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
