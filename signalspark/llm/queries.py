@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from signalspark.llm.jaccard_join import op3_ngram_jaccard_join
+from signalspark.llm.packing import op8_best_fit_packing
 from signalspark.llm.token_count import op4_token_counts
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_counts": op4_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,79 @@
+"""Packing: exact ids, gapless places, few sequences."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from signalspark.llm.packing import configurations, pack_documents, place_small
+from signalspark.llm.token_ids import PieceEncoder
+
+LIBRARY = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def ids_of(text):
+    return np.array([*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+
+
+def check(rows, docs, capacity):
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert by_doc.keys() == docs.keys()
+    for doc, text in docs.items():
+        ids = ids_of(text)
+        cut = [ids[i : i + capacity] for i in range(0, len(ids), capacity)]
+        got = sorted(by_doc[doc], key=lambda r: r.piece)
+        assert [(r.piece, r.start, r.length, r.ids_crc32) for r in got] == [(i, i * capacity, len(c), zlib.crc32(c.tobytes())) for i, c in enumerate(cut)]
+    for seq in by_sequence.values():
+        at = 0
+        for r in sorted(seq, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+def test_pieces_equal_the_library_on_odd_texts():
+    enc = PieceEncoder("word_bpe_49k.json")
+    texts = ["", "  ", "The thened. It's, don't. IT'S. Ünïcode, É. ́x Σας ΣΑΣ. İstanbul, a<|endoftext|>b. <|startoftext|> 12,3. ſ. 漢字, ña. x́. a\x1cb a\x85b c　d, 'S 'll e.g., ...", "A" * 5000]
+    for t, got in zip(texts, enc.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
+
+
+def test_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = {r.doc_id: r.text for r in table.collect()}
+    n = check(pack_documents(table).collect(), docs, 2048)
+    bound = -(-sum(len(ids_of(t)) for t in docs.values()) // 2048)
+    assert n <= bound * 1.05 + 1
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    docs = {1: None, 2: "", 3: "the " * 100, 4: "of and " * 40, **{i: "in the house" for i in range(5, 60)}}
+    rows = spark.createDataFrame([(k, v, 1) for k, v in docs.items()], "doc_id long, text string, length int")
+    got = pack_documents(rows, capacity=64, small=8, groups=4).collect()
+    n = check(got, docs, 64)
+    assert n <= -(-sum(r.length for r in got) // 64) + 2
+    assert pack_documents(rows.limit(0)).collect() == []
+    assert len(pack_documents(rows.union(rows).where("doc_id = 4"), capacity=64).collect()) == 4
+
+
+def test_configurations_use_every_piece():
+    plan = configurations([60, 50, 31, 10], [3, 5, 7, 20], 100)
+    used = defaultdict(int)
+    for use, times in plan:
+        assert sum([60, 50, 31, 10][g] * n for g, n in use.items()) <= 100
+        for g, n in use.items():
+            used[g] += n * times
+    assert dict(used) == {0: 3, 1: 5, 2: 7, 3: 20}
+
+
+def test_small_pieces_take_the_least_room_first():
+    # Rooms 5, 5 and 9: the fives fill both fives and go into the nine, whose last 4 take two twos; two twos are left.
+    plan, opened = place_small({5: 3, 2: 4}, {5: 2, 9: 1}, 10)
+    assert plan == {5: [(0, 5, 0, 1), (2, 9, 0, 1)], 2: [(0, 9, 0, 2), (2, -1, 0, 5)]}
+    assert opened == 1
