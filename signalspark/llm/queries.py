@@ -5,11 +5,13 @@ from __future__ import annotations
 from signalspark.llm.jaccard_join import op3_ngram_jaccard_join
 from signalspark.llm.packing import op8_best_fit_packing
 from signalspark.llm.token_count import op4_token_counts
+from signalspark.llm.wavelet import op10_token_id_files
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_counts": op4_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_token_id_files": op10_token_id_files,
 }
 
 ORACLES: dict[str, str] = {}
