@@ -1,0 +1,48 @@
+"""Similar documents against all pairs."""
+
+import random
+
+import pytest
+
+from signalspark.llm.components import connected_components
+from signalspark.llm.jaccard_join import similar_documents
+from tests.llm import brute
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize(("k", "num"), [(3, 90), (5, 80)])
+def test_equal_to_all_pairs(spark, k, num):
+    rng = random.Random(k)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    docs = [None, "", " \t\n", "one", "one two", "One  TWO", "one two three", "é É", "É é"]
+    docs += [text(n) for n in (9, 10, 11, 12, 40, 300)]
+    for n, times in ((60, 25), (200, 40), (14, 12)):
+        base = text(n)
+        docs += [base] * 5 + [edited(rng, base, rng.randrange(1, 1 + n // 12)) for _ in range(times)]
+    docs += [text(120) + " " + docs[12] for _ in range(20)]  # a shared passage
+    rows = [(3 * i - 20, t, "x", i) for i, t in enumerate(docs)]
+    df = spark.createDataFrame([*rows, (None, "one", "y", 0)], "doc_id long, text string, token string, n int")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_documents(df, k, num, 100).collect()}
+    assert got == brute.jaccard_components([(d, t) for d, t, *_ in rows], k, num, 100)
+
+
+def test_whole_table_equal_to_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_documents(docs, 3, 90, 100).collect()}
+    assert got == brute.jaccard_components([(r.doc_id, r.text) for r in docs.collect()], 3, 90, 100)
+
+
+def test_empty_table(spark):
+    assert similar_documents(spark.createDataFrame([], "doc_id long, text string"), 3, 90, 100).collect() == []
+
+
+def test_components_of_a_path_a_star_and_odd_links(spark):
+    links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(10, 40)] + [(5, 5), (None, 3), (8, 9), (9, 8), (8, 9)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in [7, *range(10, 40)]}, 8: 8, 9: 8}
