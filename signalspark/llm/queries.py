@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from signalspark.llm.decontaminate import op5_benchmark_decontamination
 from signalspark.llm.jaccard_join import op3_ngram_jaccard_join
+from signalspark.llm.line_dedup import op7_line_dedup
 from signalspark.llm.packing import op8_best_fit_packing
 from signalspark.llm.token_count import op4_token_counts
 from signalspark.llm.wavelet import op10_token_id_files
@@ -10,6 +12,8 @@ from signalspark.llm.wavelet import op10_token_id_files
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_counts": op4_token_counts,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_token_id_files": op10_token_id_files,
 }
