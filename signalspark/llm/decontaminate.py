@@ -5,6 +5,7 @@
 2. *Windows.*  The hashes of ``WINDOW`` consecutive template words of all items are the table that the documents' windows are looked
    up in.  Windows of fewer than ``LITERALS`` words that aren't slots say too little; there the plain words are hashed instead.  Items shorter
    than a window are one window of their own length (under ``SHORTEST`` words: left out, they'd be found anywhere).
+   An item's capital first word is a name where the item stands within a sentence, so its first window is looked up in both forms.
 3. *Slots.*  Matched windows of one item and shift form a region.  Each value of the item's slots must stand for one value
    of the document's throughout; where it stands for several, only the places of the most frequent one count.
 4. An item is in a document when at least ``COVER`` of its words are in consistent places.
@@ -113,9 +114,14 @@ def _item_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n = len(plain)
             if n >= SHORTEST:
                 h = window_hashes(template, plain, slot, min(n, WINDOW))
+                lead = None
+                if text.split()[0].decode("utf-8", "replace").strip(OUTER)[:1].isupper():
+                    template[0], slot[0] = NAME_HASH, True
+                    lead = int(as_long(window_hashes(template[:WINDOW], plain[:WINDOW], slot[:WINDOW], min(n, WINDOW)))[0])
+                    slot[0] = False
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([item], pa.int64()), pa.array([n], pa.int32()), pa.array([as_long(h)], pa.list_(pa.int64())), pa.array([as_long(plain)], pa.list_(pa.int64())), pa.array([slot], pa.list_(pa.bool_()))],
-                    names=["item_id", "n", "windows", "plain", "slot"],
+                    [pa.array([item], pa.int64()), pa.array([n], pa.int32()), pa.array([as_long(h)], pa.list_(pa.int64())), pa.array([as_long(plain)], pa.list_(pa.int64())), pa.array([slot], pa.list_(pa.bool_())), pa.array([lead], pa.int64())],
+                    names=["item_id", "n", "windows", "plain", "slot", "lead"],
                 )
 
 
@@ -131,6 +137,8 @@ class Items:
         for k, r in enumerate(rows):
             for q, h in enumerate(r["windows"]):
                 self.at[min(r["n"], WINDOW)][h].append((k, q))
+            if r["lead"] is not None:
+                self.at[min(r["n"], WINDOW)][r["lead"]].append((k, 0))
         self.at = {w: dict(x) for w, x in self.at.items()}
         self.known = {}
         for w, x in self.at.items():
@@ -190,7 +198,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    items = stored(items.mapInArrow(_item_windows, "item_id long, n int, windows array<long>, plain array<long>, slot array<boolean>"), "items")
+    items = stored(items.mapInArrow(_item_windows, "item_id long, n int, windows array<long>, plain array<long>, slot array<boolean>, lead long"), "items")
     windows = items.agg(F.sum(F.size("windows"))).first()[0] or 0
     blocks = max(1, -(-windows // BLOCK_WINDOWS))
     found = None
