@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -102,3 +104,28 @@ def gram_hashes(flat: np.ndarray, k: int) -> np.ndarray:
 
 def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Counters in one row of a task's counts, and slots of the first round of their sum.
+COUNTS_ROW, COUNTS_SLOTS = 1 << 14, 256
+
+
+def count_rows(total: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """``part`` and ``counts`` columns that hold a task's counters (a multiple of COUNTS_ROW of them) for ``sum_counts``."""
+    parts = total.astype(np.int64).reshape(-1, COUNTS_ROW)
+    return pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())
+
+
+def _add_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in rows["counts"])
+    return pd.DataFrame({"part": [rows["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+
+def sum_counts(rows: DataFrame, size: int) -> np.ndarray:
+    """Sum of the tasks' counters in two rounds; the driver gets ``size`` numbers whatever the input."""
+    slot = F.pmod(F.xxhash64("counts"), F.lit(COUNTS_SLOTS)).alias("slot")
+    first = rows.select("part", "counts").groupBy("part", slot).applyInPandas(_add_counts, "part int, counts binary")
+    out = np.zeros((size // COUNTS_ROW, COUNTS_ROW), np.int64)
+    for r in first.groupBy("part").applyInPandas(_add_counts, "part int, counts binary").collect():
+        out[r["part"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
+    return out.ravel()

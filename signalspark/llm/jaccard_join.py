@@ -19,7 +19,6 @@ The sketch only decides the order, so its errors cost time, not links.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -29,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import ODD, U64, WordMemo, as_long, chunks, gram_hashes, join_ids, mix, read_table, split_words, stored
+from signalspark.llm.common import ODD, U64, WordMemo, as_long, chunks, count_rows, gram_hashes, join_ids, mix, read_table, split_words, stored, sum_counts
 from signalspark.llm.components import connected_components
 
 #: log2 of the sketch's counters (4 bytes each, broadcast).
 SKETCH_BITS = 20
-#: Counters in a row of the sketch's table, and slots of its first summing round.
-SKETCH_ROW, SKETCH_SLOTS = 1 << 14, 256
 #: Expected members of a cell of a group.
 CELL = 256
 #: Matrix matches a partner must have.
@@ -73,26 +70,12 @@ def _first_pass(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.Record
         none = pa.nulls(len(texts))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(rows[:, j]) for j in range(6)), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
     if total.any():
-        parts = total.reshape(-1, SKETCH_ROW)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(len(parts), pa.int64()) for _ in range(7)), pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
-            schema=schema,
-        )
-
-
-def _add_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in rows["counts"])
-    return pd.DataFrame({"part": [rows["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+        part, counts = count_rows(total)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), pa.int64()) for _ in range(7)), part, counts], schema=schema)
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
-    """Sum of the tasks' counters, in two rounds; the result has 2 ** SKETCH_BITS entries whatever the input."""
-    rows = rows.where("counts is not null").select("part", "counts")
-    first = rows.groupBy("part", F.pmod(F.xxhash64("counts"), F.lit(SKETCH_SLOTS)).alias("slot")).applyInPandas(_add_counts, "part int, counts binary")
-    out = np.zeros((1 << SKETCH_BITS) // SKETCH_ROW * SKETCH_ROW, np.int64).reshape(-1, SKETCH_ROW)
-    for r in first.groupBy("part").applyInPandas(_add_counts, "part int, counts binary").collect():
-        out[r["part"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64)
-    return np.minimum(out.ravel(), 2**32 - 1).astype(np.uint32)
+    return np.minimum(sum_counts(rows.where("counts is not null"), 1 << SKETCH_BITS), 2**32 - 1).astype(np.uint32)
 
 
 def required(n, num: int, den: int):
