@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from signalspark.llm.decontaminate import op5_benchmark_decontamination
 from signalspark.llm.jaccard_join import op3_ngram_jaccard_join
+from signalspark.llm.langid import op1_language_id
 from signalspark.llm.line_dedup import op7_line_dedup
 from signalspark.llm.packing import op8_best_fit_packing
+from signalspark.llm.secret_scan import ORACLE as OP9_ORACLE
+from signalspark.llm.secret_scan import op9_secret_scan
 from signalspark.llm.token_count import op4_token_counts
 from signalspark.llm.wavelet import op10_token_id_files
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_counts": op4_token_counts,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_id_files": op10_token_id_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_secret_scan": OP9_ORACLE,
+}
