@@ -1,0 +1,52 @@
+"""Licence notices against a comparison of all units with all templates, and DuckDB."""
+
+import re
+
+import duckdb
+
+from signalspark.llm.license_scan import ORACLE, TEMPLATES, bigrams, bounds, op2_license_scan, scan_licenses
+
+
+def brute(text):
+    out = set()
+    for no, unit in enumerate([text, *text.split("\n")] if text is not None else []):
+        x = set(bigrams(unit))
+        for k, t in TEMPLATES.items():
+            y = set(bigrams(t))
+            if x and 20 * len(x & y) >= 8 * (len(x) + len(y)):
+                out.add((no, k, len(x & y), len(x), len(y), len(x & y) * 2.0 / (len(x) + len(y))))
+    return out
+
+
+TEXTS = [None, "", "\n\n", "license", *TEMPLATES.values(), "a b\n" + TEMPLATES["mit"] + "\r\nmore", TEMPLATES["gpl-3.0"].upper() + " ok", TEMPLATES["mit-text"].replace("Software", "Work"), "x " * 9000, "Licensed under\nthe Apache License, Version 2.0.", "ÄÖ licensed under CC BY 4.0. İK"]
+
+
+def test_equal_to_all_templates(spark):
+    rows = [*enumerate(TEXTS), (None, TEMPLATES["mit"]), (3, TEMPLATES["mit"])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, license_id string, n_unit int")
+    got = sorted(map(tuple, scan_licenses(df).collect()), key=str)
+    assert got == sorted(((d, *m) for d, t in rows for m in brute(t)), key=str)
+    assert scan_licenses(df.limit(0)).collect() == []
+
+
+def test_duckdb_oracle_on_odd_texts():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(TEXTS)))
+    assert sorted(con.sql(ORACLE).fetchall()) == sorted((d, *m) for d, t in enumerate(TEXTS) for m in brute(t))
+
+
+def test_whole_table_and_plan(spark):
+    sf = "/root/testdata/sf0.01"
+    df = op2_license_scan(spark, sf)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    got = sorted(map(tuple, df.collect()))
+    assert got and got == sorted(con.sql(ORACLE).fetchall())
+    assert not re.search("Python|Pandas|Arrow|Exchange", df._jdf.queryExecution().toString())
+
+
+def test_bounds_lose_nothing():
+    for m in range(1, 60):
+        lo, hi = bounds(m, 8)
+        assert [n for n in range(1, 200) if 20 * min(n, m) >= 8 * (n + m)] == [*range(lo, hi + 1)]
