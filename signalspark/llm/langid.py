@@ -135,7 +135,7 @@ def _train(rows: pd.DataFrame, langs: list[str], idf) -> pd.DataFrame:
             n[at] = more
     w = solved(z, n)
     used = np.flatnonzero(w.any(axis=1))
-    return pd.DataFrame({"bucket": used, "w": list(w[used])})
+    return pd.DataFrame({"bucket": used, "w": pd.Series(list(w[used]), dtype=object)})
 
 
 def _sample_logits(batches: Iterable[pd.DataFrame], model) -> Iterator[pd.DataFrame]:

@@ -7,7 +7,8 @@ whose hash is divisible by 3 or that repeats the word before it, whatever the li
 
 Fingerprints that occur more than once are joined with their earliest position (smallest document id, then position).  Each later
 one is extended word by word both ways, up to ``MIN_WORDS`` words each; neighbouring fingerprints of a shared run are never farther apart, so
-the extensions of one document, source and shift join up to the whole run.  Runs of ``MIN_WORDS`` words or more
+the extensions of one document, source and shift join up to the whole run.  Where the earliest place gives a short run, the earliest with
+equal words after, and before, the gram is tried too.  Runs of ``MIN_WORDS`` words or more
 are deleted from the later place.  The earliest place stays.
 """
 
@@ -29,6 +30,9 @@ GRAM_LINES = 3
 #: log2 of the bits of the filter that tells the second pass which fingerprints repeat (a false hit costs a row, nothing else).
 FILTER_BITS = 24
 
+#: Bytes (two for a word) of the words around a gram that must agree in the second comparison.
+CONTEXT = 50
+
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FINGERPRINT = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
 
@@ -131,8 +135,8 @@ def _extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first.append(pos - left)
             last.append(pos + _agree(np.frombuffer(r1, "<u2"), np.frombuffer(r0, "<u2")))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c["doc_id"], pa.int64()), pa.array(c["doc0"], pa.int64()), pa.array([p - q for p, q in zip(c["pos"], c["pos0"], strict=True)], pa.int32()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
-            names=["doc_id", "source", "shift", "first", "last"],
+            [pa.array(c["gram"], pa.int64()), pa.array(c["doc_id"], pa.int64()), pa.array(c["doc0"], pa.int64()), pa.array([p - q for p, q in zip(c["pos"], c["pos0"], strict=True)], pa.int32()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+            names=["gram", "doc_id", "source", "shift", "first", "last"],
         )
 
 
@@ -176,10 +180,22 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             bits[x["at"]] |= x["bit"]
     filter_ = spark.sparkContext.broadcast(bits)
     places = stored(texts.mapInArrow(partial(_second_pass, repeats=filter_), "gram long, doc_id long, pos int, before binary, after binary"), "places")
-    first = places.groupBy("gram").agg(F.min(F.struct("doc_id", "pos", "before", "after")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = stored(first.select("gram", F.col("f.doc_id").alias("doc0"), F.col("f.pos").alias("pos0"), F.col("f.before").alias("before0"), F.col("f.after").alias("after0")), "first")
-    later = places.join(first, "gram").where((F.col("doc_id") != F.col("doc0")) | (F.col("pos") != F.col("pos0"))).drop("gram")
-    spans = later.mapInArrow(_extend, "doc_id long, source long, shift int, first int, last int")
+
+    def extended(rows: DataFrame, key) -> DataFrame:
+        """Each place but the earliest of its key, extended against that one."""
+        rows = rows.withColumn("key", key)
+        first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "pos", "before", "after")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        first = stored(first.select("key", *(F.col(f"f.{c}").alias(c0) for c, c0 in (("doc_id", "doc0"), ("pos", "pos0"), ("before", "before0"), ("after", "after0")))), "first")
+        later = rows.join(first, "key").where((F.col("doc_id") != F.col("doc0")) | (F.col("pos") != F.col("pos0"))).drop("key")
+        return stored(later.mapInArrow(_extend, "gram long, doc_id long, source long, shift int, first int, last int"), "spans")
+
+    spans = extended(places, F.col("gram"))
+    # The earliest place may share little more than the gram: such grams are compared again with the earliest
+    # place that also agrees in the words after, or before.
+    short = stored(spans.where(F.col("last") - F.col("first") < min_words).select("gram").distinct(), "short")
+    again = places.join(short, "gram", "left_semi")
+    for side in (F.substring("after", 1, CONTEXT), F.substring("before", -CONTEXT, CONTEXT)):
+        spans = spans.union(extended(again, F.xxhash64("gram", side)))
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("source", "shift", "first", "last")).alias("places"))
     return stored(by_doc.mapInArrow(partial(_runs, min_words=min_words), "doc_id long, runs array<struct<first:int,last:int>>"), "runs")
 

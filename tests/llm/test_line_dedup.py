@@ -40,7 +40,7 @@ def test_whole_table(spark):
     assert got.keys() == want.keys()
     assert all(got[d] <= len(want[d]) for d in got)  # nothing goes that doesn't stand earlier
     # Only runs broken against the earliest source of each fingerprint may be missed.
-    assert sum(got.values()) >= 0.98 * sum(map(len, want.values()))
+    assert sum(got.values()) >= 0.995 * sum(map(len, want.values()))
 
 
 def test_empty_table(spark):
