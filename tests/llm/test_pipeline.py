@@ -28,9 +28,10 @@ def test_every_stage_against_brute_force(spark):
                 if not want[d]:
                     assert after[d] == before[d]
                 elif left == 0:
-                    assert d not in after
+                    # A few words may stay where no fingerprint's earliest place has the run's context.
+                    assert d not in after or len(brute.words(after[d].text)) < 50
             missed = sum(len(brute.words(after[d].text)) - (len(brute.words(t)) - len(want[d])) for d, t in texts if d in after)
-            assert 0 <= missed <= 0.02 * sum(map(len, want.values()))
+            assert 0 <= missed <= 0.005 * sum(map(len, want.values()))
             assert all(r.n_chars == len(r.text) for d, r in after.items() if want[d])
         elif name == "ngram_jaccard_join":
             assert after.keys() == {d for d, (_, c) in brute.jaccard_components(texts, 5, 80, 100).items() if c == d}
