@@ -7,55 +7,58 @@ pieces in order.  A worker remembers the ids of pieces (bounded) and asks the li
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Entries of the piece memo; it is emptied when full.
-MEMO_ENTRIES = 400_000
+#: Entries of the memo of pieces and of that of words; each is emptied when full.
+MEMO_ENTRIES = 250_000
 
 
-class PieceEncoder:
-    """texts (UTF-8 bytes) -> ids as little-endian unsigned 32-bit integers (bytes)."""
+class PieceEncoder(dict):
+    """texts (UTF-8 bytes) -> ids as little-endian unsigned 32-bit integers (bytes); as a dict, the ids of a piece."""
 
     def __init__(self, vocabulary: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.memo: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.model = self.library.model
+        self.words: dict[bytes, bytes] = {}
 
-    def _ask(self, pieces: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a word.  The normaliser and the splitter leave small ASCII letters as they are, so the library's model is asked at once."""
+        ids = self.words.get(word)
+        if ids is None:
+            text = word.decode("utf-8", "replace")
+            if word.isalpha() and word.islower():
+                ids = [t.id for t in self.model.tokenize(text)]
+            else:
+                ids = self.library.encode(text, add_special_tokens=False).ids
+            ids = self.words[word] = array("I", ids).tobytes()
+        return ids
 
-    @staticmethod
-    def _stem(piece: bytes) -> tuple[bytes, bytes]:
-        """A piece that ends in a letter and one full stop or comma is two pieces for the splitter; ASCII letters are lower-cased."""
-        end = piece[-1:]
-        if end in b".," and len(piece) > 1:
-            body = piece[:-1]
-            if body.isalpha():
-                return body.lower(), end
-            if not body.isascii() and body.decode("utf-8", "replace")[-1].isalpha():
-                return body, end
-        return (piece.lower() if piece.isalpha() else piece), b""
+    def __missing__(self, piece: bytes) -> bytes:
+        """A word that ends in a letter and one full stop or comma are two words for the splitter; ASCII letters are lower-cased."""
+        body, end = piece, b""
+        if piece[-1:] in (b".", b",") and (piece[:-1].isalpha() or (not piece.isascii() and piece[:-1].decode("utf-8", "replace")[-1:].isalpha())):
+            body, end = piece[:-1], piece[-1:]
+        ids = self._word(body.lower() if body.isalpha() else body)
+        if end:
+            ids += self._word(end)
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        lists = [t.split() for t in texts]
-        if len(self.memo) > MEMO_ENTRIES or len(self.stems) > MEMO_ENTRIES:
-            self.memo.clear()
-            self.stems.clear()
-        memo, stems = self.memo, self.stems
-        new = {w for x in lists for w in x}.difference(memo)
-        if new:
-            parts = {w: self._stem(w) for w in new}
-            ask = [p for p in {p for pair in parts.values() for p in pair}.difference(stems) if p]
-            stems.update(zip(ask, self._ask(ask), strict=True))
-            stems[b""] = b""
-            memo.update((w, stems[a] + stems[b]) for w, (a, b) in parts.items())
-        return [b"".join(map(memo.__getitem__, x)) for x in lists]
+        out = []
+        for text in texts:
+            if len(self) > MEMO_ENTRIES:
+                self.clear()
+            if len(self.words) > MEMO_ENTRIES:
+                self.words.clear()
+            out.append(b"".join(map(self.__getitem__, text.split())))
+        return out
 
 
 @lru_cache(maxsize=2)
