@@ -17,8 +17,10 @@ from signalspark.session import scratch_dir
 #: Rows of ids (8 to 40 bytes each) that may be broadcast; beyond it the same join is shuffled.
 BROADCAST_IDS = 500_000
 #: Bytes of text that a task takes apart at a time.
-CHUNK_BYTES = 4 << 20
-#: Entries of a worker's word memo; it is emptied when full.
+CHUNK_BYTES = 2 << 20
+#: Bytes that are hashed at a time.
+BLOCK_BYTES = 1 << 20
+#: Entries of a worker's memo of words; it is emptied when full.
 MEMO_WORDS = 400_000
 
 U64 = np.uint64
@@ -59,36 +61,57 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             yield batch.slice(start), values[start:]
 
 
-class WordMemo(dict):
-    """word (bytes) -> 64-bit hash, remembered."""
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (multiply and fold twice)."""
+    x = (x ^ (x >> U64(31))) * U64(ODD[0])
+    x = (x ^ (x >> U64(29))) * U64(ODD[1])
+    return x ^ (x >> U64(32))
+
+
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Random factor of each place in a word; longer words are hashed by themselves.
+_FACTORS = np.random.default_rng(20).integers(0, 2**64, 4096, dtype=U64) | U64(1)
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+def _hash_block(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some bytes, and where they start."""
+    word = ~_SPACE[raw]
+    edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
+    begin, size = edge[::2], edge[1::2] - edge[::2]
+    if not len(begin):
+        return np.empty(0, U64), begin
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    h = np.add.reduceat((_LOWER[raw[word]].astype(U64) + U64(1)) * _FACTORS[place & 4095], first)
+    for i in np.flatnonzero(size > len(_FACTORS)):
+        h[i] = xxhash.xxh3_64_intdigest(_LOWER[raw[begin[i] : begin[i] + size[i]]].tobytes())
+    return mix(h + size.astype(U64) * U64(ODD[4])), begin
 
 
-def split_words(texts: list[bytes], memo: WordMemo, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, and where each text's words start (one more entry than texts).
 
     A word is a run of bytes other than space and x09-x0D; A-Z are lower-cased.
     """
-    lists = [(t.lower() if lower else t).split() for t in texts]
-    starts = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(x) for x in lists], out=starts[1:])
-    flat = memo.hashes([w for x in lists for w in x])
-    return flat, starts
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (multiply and fold twice)."""
-    x = (x ^ (x >> U64(31))) * U64(ODD[0])
-    x = (x ^ (x >> U64(29))) * U64(ODD[1])
-    return x ^ (x >> U64(32))
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    hashes, begins, at = [], [], 0
+    while at < len(raw):
+        end = at + BLOCK_BYTES
+        while end < len(raw):  # cut at white space
+            gaps = np.flatnonzero(_SPACE[raw[end : end + BLOCK_BYTES]])
+            if len(gaps):
+                end += int(gaps[0])
+                break
+            end += BLOCK_BYTES
+        h, begin = _hash_block(raw[at:end])
+        hashes.append(h)
+        begins.append(begin + at)
+        at = end
+    flat = np.concatenate(hashes) if hashes else np.empty(0, U64)
+    where = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return flat, np.searchsorted(np.concatenate(begins) if begins else np.empty(0, np.int64), where).astype(np.int64)
 
 
 def gram_hashes(flat: np.ndarray, k: int) -> np.ndarray:

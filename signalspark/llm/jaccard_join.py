@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import ODD, U64, WordMemo, as_long, chunks, count_rows, gram_hashes, join_ids, mix, read_table, split_words, stored, sum_counts
+from signalspark.llm.common import ODD, U64, as_long, chunks, count_rows, gram_hashes, join_ids, mix, read_table, split_words, stored, sum_counts
 from signalspark.llm.components import connected_components
 
 #: log2 of the sketch's counters (4 bytes each, broadcast).
@@ -42,9 +42,9 @@ ROUNDS = 3
 PASS1 = "doc_id long, n long, s1 long, s2 long, m0 long, m1 long, m2 long, part int, counts binary"
 
 
-def shingle_sets(texts: list[bytes], memo: WordMemo, k: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct shingle hashes; fewer than k words: the sequence as one; no word: empty."""
-    flat, starts = split_words(texts, memo)
+    flat, starts = split_words(texts)
     grams = gram_hashes(flat, k)
     for s, e in zip(starts[:-1], starts[1:], strict=True):
         if e - s >= k:
@@ -57,11 +57,11 @@ def shingle_sets(texts: list[bytes], memo: WordMemo, k: int) -> Iterator[np.ndar
 
 
 def _first_pass(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    memo, total = WordMemo(), np.zeros(1 << SKETCH_BITS, np.int64)
+    total = np.zeros(1 << SKETCH_BITS, np.int64)
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n", "s1", "s2", "m0", "m1", "m2")), ("part", pa.int32()), ("counts", pa.binary())])
     for batch, texts in chunks(batches):
         rows = np.zeros((len(texts), 6), np.int64)
-        sets = list(shingle_sets(texts, memo, k))
+        sets = list(shingle_sets(texts, k))
         for i, x in enumerate(sets):
             if len(x):
                 other = (x ^ (x >> U64(29))) * U64(ODD[3])
@@ -85,12 +85,12 @@ def required(n, num: int, den: int):
 
 def _second_pass(batches: Iterable[pa.RecordBatch], k: int, num: int, den: int, sketch) -> Iterator[pa.RecordBatch]:
     """Kept tokens of each set, and the whole set where it is marked."""
-    memo, counts = WordMemo(), sketch.value
+    counts = sketch.value
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("kept", pa.list_(pa.int64())), ("tokens", pa.binary())])
     for batch, texts in chunks(batches):
         whole = batch.column(batch.schema.get_field_index("whole")).to_pylist()
         size, kept, tokens = [], [], []
-        for x, w in zip(shingle_sets(texts, memo, k), whole, strict=True):
+        for x, w in zip(shingle_sets(texts, k), whole, strict=True):
             keep = len(x) - required(len(x), num, den) + NEED
             rare = counts[(x & U64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(U64) << U64(32) | (mix(x) >> U64(32))
             # Ties of the 64-bit order (equal counter and equal half of the mixed hash) fall to the token's own order.

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import BROADCAST_IDS, ODD, U64, WordMemo, as_long, chunks, mix, read_table, split_words, stored
+from signalspark.llm.common import BROADCAST_IDS, ODD, U64, as_long, chunks, mix, read_table, split_words, stored
 
 MIN_WORDS = 50
 GRAM_LINES = 3
@@ -93,18 +93,17 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = WordMemo()
     for _, texts in chunks(batches):
-        flat, starts = split_words(texts, memo)
+        flat, starts = split_words(texts)
         _, h = fingerprints(flat, starts)
         yield pa.RecordBatch.from_arrays([pa.array(as_long(h))], names=["gram"])
 
 
 def _second_pass(batches: Iterable[pa.RecordBatch], repeats) -> Iterator[pa.RecordBatch]:
     """Places of the fingerprints that the filter knows, with 16 bits of each of the words around."""
-    memo, bits = WordMemo(), repeats.value
+    bits = repeats.value
     for batch, texts in chunks(batches):
-        flat, starts = split_words(texts, memo)
+        flat, starts = split_words(texts)
         at, h = fingerprints(flat, starts)
         low = (h & U64((1 << FILTER_BITS) - 1)).astype(np.int64)
         known = (bits[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
