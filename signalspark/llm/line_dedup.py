@@ -69,7 +69,7 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         return first, h
     # The grams in a window change only where a gram's first word leaves it or a gram's last word enters it.
     at = np.concatenate((starts[:-1], first + 1, last - MIN_WORDS + 1))
-    at = np.unique(at[(at >= 0) & (at < starts[-1])])
+    at = at[(at >= 0) & (at < starts[-1])]
     end = starts[np.searchsorted(starts, at, side="right")]
     at = at[at + MIN_WORDS <= end]
     lo = np.searchsorted(first, at)
@@ -88,8 +88,9 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         of = level == k
         a, b = least[k][lo[of]], least[k][hi[of] - (1 << k)]
         chosen[of] = np.where(h[b] <= h[a], b, a)
-    chosen = np.unique(chosen)
-    return first[chosen], h[chosen]
+    least_of_some = np.zeros(len(h), bool)
+    least_of_some[chosen] = True
+    return first[least_of_some], h[least_of_some]
 
 
 def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,50 +120,58 @@ def _second_pass(batches: Iterable[pa.RecordBatch], repeats) -> Iterator[pa.Reco
         )
 
 
-def _agree(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+def _agree(x: list[bytes], y: list[bytes], backwards: bool) -> np.ndarray:
+    """Words of each pair of contexts that agree from the gram on."""
+    full = 2 * MIN_WORDS
+    pad = (lambda v: v.rjust(full, b"\0")) if backwards else (lambda v: v.ljust(full, b"\0"))
+    same = np.frombuffer(b"".join(map(pad, x)), "<u2").reshape(-1, MIN_WORDS) == np.frombuffer(b"".join(map(pad, y)), "<u2").reshape(-1, MIN_WORDS)
+    if backwards:
+        same = same[:, ::-1]
+    n = np.where(same.all(axis=1), MIN_WORDS, same.argmin(axis=1))
+    return np.minimum(n, [min(len(a), len(b)) // 2 for a, b in zip(x, y, strict=True)])
 
 
 def _extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        c = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
-        first, last = [], []
-        for pos, l1, r1, l0, r0 in zip(c["pos"], c["before"], c["after"], c["before0"], c["after0"], strict=True):
-            left = _agree(np.frombuffer(l1, "<u2")[::-1], np.frombuffer(l0, "<u2")[::-1])
-            first.append(pos - left)
-            last.append(pos + _agree(np.frombuffer(r1, "<u2"), np.frombuffer(r0, "<u2")))
+        if not b.num_rows:
+            continue
+        col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+        pos = col["pos"].to_numpy().astype(np.int32)
+        left = _agree(col["before"].to_pylist(), col["before0"].to_pylist(), True)
+        right = _agree(col["after"].to_pylist(), col["after0"].to_pylist(), False)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c["gram"], pa.int64()), pa.array(c["doc_id"], pa.int64()), pa.array(c["doc0"], pa.int64()), pa.array([p - q for p, q in zip(c["pos"], c["pos0"], strict=True)], pa.int32()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+            [col["gram"], col["doc_id"], col["doc0"], pa.array(pos - col["pos0"].to_numpy().astype(np.int32)), pa.array((pos - left).astype(np.int32)), pa.array((pos + right).astype(np.int32))],
             names=["gram", "doc_id", "source", "shift", "first", "last"],
         )
 
 
-def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Union of spans [first, last), touching ones joined."""
-    out: list[tuple[int, int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], e))
-        else:
-            out.append((s, e))
-    return out
+def merged(group: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Union of spans [first, last) within each group (numbers from 0), touching ones joined; ordered by group, then place."""
+    order = np.lexsort((first, group))
+    base = group[order].astype(np.int64) << 32
+    begin, end = base + first[order], np.maximum.accumulate(base + last[order])
+    new = np.concatenate(([True], begin[1:] > end[:-1])) if len(begin) else np.empty(0, bool)
+    at = np.flatnonzero(new)
+    stop = np.append(at[1:], len(begin)) - 1 if len(at) else at
+    return base[at] >> 32, begin[at] - base[at], end[stop] - base[at]
 
 
 def _runs(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        docs, found = b.column(0).to_pylist(), b.column(1).to_pylist()
-        out = []
-        for places in found:
-            by: dict[tuple, list] = {}
-            for p in places:
-                by.setdefault((p["source"], p["shift"]), []).append((p["first"], p["last"]))
-            out.append(merged(x for spans in by.values() for x in merged(spans) if x[1] - x[0] >= min_words))
-        keep = [i for i, x in enumerate(out) if x]
-        spans = [[{"first": s, "last": e} for s, e in out[i]] for i in keep]
-        kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([pa.array([docs[i] for i in keep], pa.int64()), pa.array(spans, kind)], names=["doc_id", "runs"])
+        places = b.column(1)
+        flat = places.flatten()
+        source, shift, first, last = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("source", "shift", "first", "last"))
+        doc = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy())
+        _, group = np.unique(np.stack([doc, source, shift.astype(np.int64)]), axis=1, return_inverse=True)
+        of_group = np.zeros(int(group.max(initial=-1)) + 1, np.int64)
+        of_group[group] = doc
+        group, first, last = merged(group, first, last)
+        long = last - first >= min_words
+        doc, first, last = merged(of_group[group[long]], first[long], last[long])
+        keep, count = np.unique(doc, return_counts=True)
+        spans = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=["first", "last"])
+        runs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), spans)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep)), runs], names=["doc_id", "runs"])
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from signalspark.llm.line_dedup import delete_repeated, merged
 from tests.llm import brute
 
@@ -48,4 +50,6 @@ def test_empty_table(spark):
 
 
 def test_merged():
-    assert merged([(5, 9), (1, 3), (3, 4), (8, 12)]) == [(1, 4), (5, 12)]
+    got = merged(*map(np.array, ([1, 0, 0, 1, 0, 0], [7, 5, 1, 2, 3, 8], [9, 9, 3, 4, 4, 12])))
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == [(0, 1, 4), (0, 5, 12), (1, 2, 4), (1, 7, 9)]
+    assert [len(x) for x in merged(*[np.empty(0, np.int64)] * 3)] == [0, 0, 0]
