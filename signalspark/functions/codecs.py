@@ -16,20 +16,24 @@ from pyspark.sql import types as T
 from signalspark.functions.columns import col_
 
 
+#: Six fraction digits on both sides; messages without a fraction or zone are read too.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
+
 def _key(df: DataFrame, key_col: str | None) -> list[Column]:
     return [] if key_col is None else [col_(key_col).cast("string").alias("key")]
 
 
 def encode_json(
-    df: DataFrame, key_col: str | None = None, columns: Sequence[str] | None = None
+    df: DataFrame, key_col: str | None = None, columns: Sequence[str] | None = None, options: dict[str, str] | None = None
 ) -> DataFrame:
     """``CAST(key AS STRING) AS key, to_json(struct(*)) AS value``.
 
-    NULL fields are left out of the JSON object; timestamps are written with
-    millisecond precision (Spark's JSON default).
+    NULL fields are left out of the JSON object; timestamps keep their
+    microseconds.  ``options`` go to ``to_json`` over ``JSON_TIMES``.
     """
     cols = list(columns or df.columns)
-    value = F.to_json(F.struct(*[col_(c) for c in cols])).alias("value")
+    value = F.to_json(F.struct(*[col_(c) for c in cols]), {**JSON_TIMES, **(options or {})}).alias("value")
     return df.select(*_key(df, key_col), value)
 
 
@@ -64,6 +68,7 @@ def decode_json(
     keep: Sequence[str] = ("key",),
     expand: bool = True,
     alias: str = "data",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """``from_json(CAST(value AS STRING), schema)``, then ``data.*``.
 
@@ -72,7 +77,7 @@ def decode_json(
     is also the cheapest decode.  ``schema`` may be a StructType or DDL text.
     """
     kept = [col_(c) for c in keep if c in df.columns]
-    decoded = df.select(*kept, F.from_json(col_(value_col).cast("string"), schema).alias(alias))
+    decoded = df.select(*kept, F.from_json(col_(value_col).cast("string"), schema, {**JSON_TIMES, **(options or {})}).alias(alias))
     if not expand:
         return decoded
     return decoded.select(*kept, f"{alias}.*")

@@ -1,8 +1,8 @@
 """DataFrame -> DataFrame operators; each works on batch and streaming frames where Spark allows."""
 
 from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
-from signalspark.operators.mapping import bounded_count, dedupe_mapping, rename_by_mapping
-from signalspark.operators.partitioning import spread_partitions, task_slots
+from signalspark.operators.mapping import dedupe_mapping, dedupe_pairs, rename_by_mapping
+from signalspark.operators.partitioning import spread_partitions
 from signalspark.operators.signals import (
     normalize_nested,
     normalize_signals,
@@ -13,7 +13,7 @@ from signalspark.operators.signals import (
 
 __all__ = [
     "add_indicator",
-    "bounded_count",
+    "dedupe_pairs",
     "datapoints_per_day",
     "dedupe_mapping",
     "hourly_averages",
@@ -22,7 +22,6 @@ __all__ = [
     "pack_signals",
     "rename_by_mapping",
     "spread_partitions",
-    "task_slots",
     "unpack_signals",
     "unpivot_signals",
 ]

@@ -1,34 +1,44 @@
-"""Renaming signals through a small name mapping (a left equi-join).
-
-The mapping is broadcast only after its row count is checked against a
-bound.  Past the bound the join is a shuffle join salted on the left side:
-signal names are few, so an unsalted shuffle would put each name (possibly a
-third of all rows) into one task.  The number of salt buckets follows the
-session's shuffle partitions (each mapping row is copied once per bucket, so
-it is bounded); AQE's skew-join split, on in ``build_session``, further
-divides any bucket that is still too large.
+"""Renaming signals through a small name mapping (an equi-join).
+
+The mapping is broadcast only after its rows and bytes are checked against a
+bound; a literal mapping (a list of pairs) is checked, and de-duplicated, on
+the driver without a job.  Past the bound the join is a plain shuffle join:
+signal names are few, so one name may be a third of all rows, and AQE's
+skew-join split (on in ``build_session``) divides it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from signalspark.functions.columns import col_
+from signalspark.sources.mapping import mapping_from_rows
 
 BROADCAST_MAX_ROWS = 100_000
-MIN_SALT_BUCKETS = 32
-MAX_SALT_BUCKETS = 1024
+BROADCAST_MAX_BYTES = 8 << 20
+#: Joins that give the same rows however they are run; the mapping is the side that may be broadcast.
+JOINS = ("left", "inner", "left_semi", "left_anti")
 
 _KEY = "__mapping_key"
-_SALT = "__salt"
-_SALT_R = "__salt_r"
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count of ``df``, but never more than ``bound + 1`` (cheap size check)."""
-    return df.limit(bound + 1).count()
+def fits(mapping: DataFrame, rows: int, size: int) -> bool:
+    """Whether a mapping has at most so many rows and bytes of text (reads ``rows + 1`` rows at most)."""
+    width = sum((F.coalesce(F.octet_length(col_(c).cast("string")), F.lit(0)) for c in mapping.columns), F.lit(0))
+    got = mapping.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return got["n"] <= rows and (got["b"] or 0) <= size
+
+
+def dedupe_pairs(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """One pair for each key of a literal mapping; two names for one key raise."""
+    names: dict[str, str] = {}
+    for key, name in pairs:
+        if names.setdefault(key, name) != name:
+            raise ValueError(f"mapping gives more than one name for {key!r}")
+    return list(names.items())
 
 
 def dedupe_mapping(mapping: DataFrame, key: str = "sig_name", name: str = "sig_mapping_name") -> DataFrame:
@@ -45,20 +55,9 @@ def dedupe_mapping(mapping: DataFrame, key: str = "sig_name", name: str = "sig_m
     )
 
 
-def salt_buckets_for(df: DataFrame) -> int:
-    """Salt buckets for a shuffle join: the session's shuffle partitions, within bounds."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
-    return max(MIN_SALT_BUCKETS, min(MAX_SALT_BUCKETS, parts))
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    # xxhash64 takes every type but maps.
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-
-
 def rename_by_mapping(
     df: DataFrame,
-    mapping: DataFrame,
+    mapping: DataFrame | Sequence[tuple[str, str]],
     key_col: str,
     mapping_key: str = "sig_name",
     name_col: str = "sig_mapping_name",
@@ -66,44 +65,32 @@ def rename_by_mapping(
     on_duplicate: str = "keep",
     replace: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    salt_buckets: int | None = None,
-    mapping_rows: int | None = None,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """``df LEFT JOIN mapping ON df[key_col] = mapping[mapping_key]``.
 
-    Adds ``name_col``; an unmatched row keeps a NULL name.  ``on_duplicate``:
-    ``'keep'`` lets a repeated mapping key multiply the matching rows,
+    Adds ``name_col``; an unmatched row keeps a NULL name.  ``mapping`` is a table or literal ``(key, name)`` pairs.
+    ``on_duplicate``: ``'keep'`` lets a repeated mapping key multiply the matching rows,
     ``'dedupe'`` removes exact duplicates first (conflicts raise).
-    ``replace=True`` drops ``key_col`` and renames ``name_col`` to it.
-    ``mapping_rows`` is a known upper bound of the mapping's rows (e.g. the
-    length of a literal document); without it the bound is checked with a
-    small ``limit(n + 1).count()`` job.
+    ``replace=True`` drops ``key_col`` and renames ``name_col`` to it.  ``how`` is one of ``JOINS``.
     """
-    if on_duplicate == "dedupe":
-        mapping = dedupe_mapping(mapping, mapping_key, name_col)
-    elif on_duplicate != "keep":
+    if how not in JOINS:
+        raise ValueError(f"how must be one of {JOINS}")
+    if on_duplicate not in ("keep", "dedupe"):
         raise ValueError("on_duplicate must be 'keep' or 'dedupe'")
-    right = mapping.select(col_(mapping_key).alias(_KEY), col_(name_col).alias(name_col))
     if name_col in df.columns:
         raise ValueError(f"{name_col!r} already is a column of the input")
-
-    rows = mapping_rows if mapping_rows is not None else bounded_count(right, broadcast_max_rows)
-    if rows <= broadcast_max_rows:
-        joined = df.join(F.broadcast(right), col_(key_col) == F.col(_KEY), how).drop(_KEY)
+    if isinstance(mapping, DataFrame):
+        if on_duplicate == "dedupe":
+            mapping = dedupe_mapping(mapping, mapping_key, name_col)
+        right = mapping.select(col_(mapping_key).alias(_KEY), col_(name_col).alias(name_col))
+        small = fits(right, broadcast_max_rows, broadcast_max_bytes)
     else:
-        salt_buckets = salt_buckets or salt_buckets_for(df)
-        # The salt must be a function of the row (or of its input partition),
-        # never random: a shuffle re-run after a lost executor must send
-        # every row to the same bucket again.
-        hashable = _hashable(df)
-        salt_src = F.xxhash64(*[col_(c) for c in hashable]) if hashable else F.spark_partition_id().cast("bigint")
-        left = df.withColumn(_SALT, F.pmod(salt_src, F.lit(salt_buckets)))
-        # Each mapping row is copied once per salt value, so every salted
-        # left row still meets all mapping rows of its key.
-        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint")))
-        right = right.withColumn(_SALT_R, salts)
-        cond = (col_(key_col) == F.col(_KEY)) & (F.col(_SALT) == F.col(_SALT_R))
-        joined = left.join(right, cond, how).drop(_KEY, _SALT, _SALT_R)
+        pairs = dedupe_pairs(list(mapping)) if on_duplicate == "dedupe" else list(mapping)
+        right = mapping_from_rows(df.sparkSession, pairs).toDF(_KEY, name_col)
+        small = len(pairs) <= broadcast_max_rows and sum(len(v.encode()) for p in pairs for v in p if v) <= broadcast_max_bytes
+    right = F.broadcast(right) if small else right.hint("merge")
+    joined = df.join(right, col_(key_col) == F.col(_KEY), how).drop(_KEY)
     if replace:
         joined = joined.drop(key_col).withColumnRenamed(name_col, key_col)
     return joined

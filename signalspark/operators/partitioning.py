@@ -1,32 +1,14 @@
-"""Spreading CPU-heavy row work over all task slots.
-
-A source that yields fewer partitions than the cluster can run at once (one
-small file, one Parquet row group) leaves the per-row work of everything up
-to the next shuffle -- JSON encoding and decoding above all -- to a few
-tasks.  ``spread_partitions`` adds a round-robin exchange only in that case.
-A large scan already splits into many more partitions than task slots, so
-there it is a no-op and adds no shuffle.
-"""
+"""Spreading CPU-heavy row work over all task slots."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def task_slots(df: DataFrame) -> int:
-    """Task slots of the session the frame belongs to (``defaultParallelism``)."""
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``repartition(n)`` (round robin) when ``df`` has fewer than ``n`` partitions.
+def spread_partitions(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal the rows round robin into ``partitions``: an explicit shuffle, asked for by the caller.
 
-    ``n`` defaults to the session's task slots.  Streaming frames are
-    returned unchanged (their partitions come per micro-batch).
+    Worth it only before heavy row work on a source that Spark reads in fewer tasks than there are slots, such as one small
+    file with one row group.  Nothing is looked at while the plan is made, so no job runs then.
     """
-    if df.isStreaming:
-        return df
-    want = min_partitions or task_slots(df)
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+    return df.repartition(partitions)

@@ -1,9 +1,9 @@
 """The four jobs: produce, ingest, echo, report -- and a whole pipeline run.
 
-Produce and ingest are stateless projections between a source and a sink:
-no shuffle, so they scale with the number of input files / topic
-partitions.  Each streaming query gets its own checkpoint folder named
-after the query and the topic.
+Produce and echo are stateless projections between a source and a sink, with no
+shuffle; ingest shuffles a micro-batch once, to bound the files it
+writes for each day.  The checkpoint folder of a streaming query is named after the job, the
+topics and the sink, so that no two queries share one.
 """
 
 from __future__ import annotations
@@ -18,18 +18,36 @@ from pyspark.sql.streaming import StreamingQuery
 from signalspark.functions.codecs import as_text, decode_json, encode_concat, encode_json
 from signalspark.functions.columns import col_
 from signalspark.functions.maps import signal_value
+from signalspark.names import tag
 from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
 from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.signals import normalize_nested, normalize_signals, unpivot_signals
-from signalspark.schemas import DATE_TIME, NESTED_PAYLOAD_DDL, POWER, SIGNAL_KEYS, TURBINE_SCHEMA
+from signalspark.schemas import DATE_TIME, NESTED_PAYLOAD_DDL, POWER, SIGNAL_KEYS, SIGNAL_TABLE_SCHEMA, TRUNC_AVERAGE_NAMES, TURBINE_SCHEMA
 from signalspark.sources.files import csv_stream, read_signals
-from signalspark.sources.mapping import mapping_from_json, mapping_size
+from signalspark.sources.mapping import mapping_pairs
 from signalspark.sources.topic import topic_stream
 from signalspark.streaming.options import StreamOptions
 from signalspark.streaming.runner import run_stream
 from signalspark.streaming.sinks import append_signals, echo_stream, write_topic
 
 PAYLOADS = ("json", "concat", "nested")
+#: Files of a micro-batch of the producer, unless given: the first batch is not the whole input.
+FILES_PER_TRIGGER = 1000
+
+
+def signal_keys(schema: T.StructType) -> tuple[str, ...]:
+    """The signals of a reading: its DOUBLE columns."""
+    return tuple(f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType))
+
+
+def signal_schema(signal_date_type: str = "date", text_values: bool = False) -> T.StructType:
+    """The stored signal table's schema with the given kind of day and of map values."""
+    kinds = {}
+    if signal_date_type == "string":
+        kinds["signal_date"] = T.StringType()
+    if text_values:
+        kinds["signals"] = T.MapType(T.StringType(), T.StringType())
+    return T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in SIGNAL_TABLE_SCHEMA.fields])
 
 
 def _options(checkpoint_root: str, name: str, processing_time: str | None, available_now: bool) -> StreamOptions:
@@ -49,7 +67,7 @@ def produce_job(
     key_col: str | None = DATE_TIME,
     header: bool = True,
     sep: str = ",",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
     processing_time: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
@@ -67,29 +85,44 @@ def produce_job(
     elif payload == "nested":
         key_col = key_col or DATE_TIME
         rows = normalize_signals(
-            readings.withColumn("key", col_(key_col).cast("string")), key_col="key", with_load_time=False, keep=["key"]
+            readings.withColumn("key", col_(key_col).cast("string")), key_col="key", keys=signal_keys(schema), with_load_time=False, keep=["key"]
         )
         messages = rows.select("key", F.to_json(F.struct("signal_date", "signal_ts", "signals")).alias("value"))
     else:
         raise ValueError(f"payload must be one of {PAYLOADS}")
-    opts = _options(checkpoint_root, f"produce-{topic}", processing_time, available_now)
+    name = f"produce-{topic}-{tag(backend, topic_path, bootstrap_servers, csv_path, payload)}"
+    opts = _options(checkpoint_root, name, processing_time, available_now)
     return write_topic(messages, topic, opts, backend, topic_path, bootstrap_servers)
 
 
-def decode_messages(messages: DataFrame, payload: str = "json", signal_date_type: str = "date") -> DataFrame:
-    """Raw ``key, value`` messages -> signal rows (the ingest transformation)."""
+def decode_messages(
+    messages: DataFrame,
+    payload: str = "json",
+    signal_date_type: str = "date",
+    schema: T.StructType = TURBINE_SCHEMA,
+    text_values: bool = False,
+) -> DataFrame:
+    """Raw ``key, value`` messages -> signal rows (the ingest transformation).
+
+    ``schema`` is the one the readings were produced with; its DOUBLE columns are the signals.  A nested payload carries its
+    own names; ``text_values`` keeps its map of texts.
+    """
+    if payload == "nested" and signal_date_type != "date":
+        raise ValueError("a nested payload carries a DATE signal_date")
+    if payload != "nested" and text_values:
+        raise ValueError("only a nested payload has text values")
     text = as_text(messages.select("key", "value"))
     if payload in ("json", "concat"):
         # A concat payload is not JSON: every signal decodes to NULL.
-        return normalize_signals(decode_json(text, TURBINE_SCHEMA), signal_date_type=signal_date_type)
+        return normalize_signals(decode_json(text, schema), keys=signal_keys(schema), signal_date_type=signal_date_type)
     if payload == "nested":
-        return normalize_nested(decode_json(text, NESTED_PAYLOAD_DDL, keep=()))
+        return normalize_nested(decode_json(text, NESTED_PAYLOAD_DDL, keep=()), text_values)
     raise ValueError(f"payload must be one of {PAYLOADS}")
 
 
 def ingest_job(
     spark: SparkSession,
-    topic: str,
+    topic: str | Sequence[str],
     table_path: str,
     checkpoint_root: str,
     topic_path: str | None = None,
@@ -98,29 +131,43 @@ def ingest_job(
     payload: str = "json",
     starting: str = "earliest",
     table_format: str = "parquet",
-    partition_by: Sequence[str] | None = ("signal_date",),
+    partition_by: Sequence[str] | str | None = "auto",
     signal_date_type: str = "date",
+    schema: T.StructType = TURBINE_SCHEMA,
+    text_values: bool = False,
+    files_per_partition: int = 4,
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
     processing_time: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Topic -> decode -> normalise -> append to the signal table."""
-    raw = topic_stream(
-        spark,
-        topic,
-        backend,
-        topic_path,
-        bootstrap_servers,
-        starting,
-        max_offsets_per_trigger=max_offsets_per_trigger,
-        max_files_per_trigger=max_files_per_trigger,
-    )
-    rows = decode_messages(raw, payload, signal_date_type)
-    if signal_date_type != "date" and partition_by == ("signal_date",):
-        partition_by = None  # one folder per key text would be one per minute
-    opts = _options(checkpoint_root, f"ingest-{topic}", processing_time, available_now)
-    return append_signals(rows, table_path, opts, table_format, partition_by)
+    """Topics -> decode -> normalise -> append to the signal table.
+
+    Several topics into one table are one query (a table folder takes one writer).  ``partition_by='auto'`` is
+    ``signal_date`` where that is a DATE; a text date has a folder for each minute, so it is refused.
+    """
+    topics = [topic] if isinstance(topic, str) else list(topic)
+    raw = None
+    for name in topics:
+        messages = topic_stream(
+            spark,
+            name,
+            backend,
+            topic_path,
+            bootstrap_servers,
+            starting,
+            max_offsets_per_trigger=max_offsets_per_trigger,
+            max_files_per_trigger=max_files_per_trigger,
+        )
+        raw = messages if raw is None else raw.union(messages)
+    rows = decode_messages(raw, payload, signal_date_type, schema, text_values)
+    if partition_by == "auto":
+        partition_by = ("signal_date",) if signal_date_type == "date" else None
+    elif partition_by and signal_date_type != "date" and "signal_date" in partition_by:
+        raise ValueError("a text signal_date would make a folder for each minute")
+    name = f"ingest-{'+'.join(topics)}-{tag(table_path, table_format, backend, topic_path, payload, signal_date_type, text_values)}"
+    opts = _options(checkpoint_root, name, processing_time, available_now)
+    return append_signals(rows, table_path, opts, table_format, partition_by, files_per_partition)
 
 
 def echo_job(
@@ -136,16 +183,18 @@ def echo_job(
     query_name: str | None = None,
     starting: str = "earliest",
     truncate: bool = False,
+    include_headers: bool = False,
+    max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Topic -> text (or a decode with ``schema``, e.g. the narrow one) -> echo sink."""
-    raw = topic_stream(spark, topic, backend, topic_path, bootstrap_servers, starting)
-    text = as_text(raw.select("value"), ("value",))
+    """Topic -> key and value as text (or a decode with ``schema``, e.g. the narrow one) -> echo sink."""
+    raw = topic_stream(spark, topic, backend, topic_path, bootstrap_servers, starting, include_headers, max_files_per_trigger=max_files_per_trigger)
+    text = as_text(raw.select("key", "value", *(["headers"] if include_headers else [])))
     out = text if schema is None else decode_json(text, schema, keep=())
     opts = StreamOptions(
         checkpoint_root, processing_time=processing_time, available_now=available_now, query_name=query_name
-    ).child(f"echo-{topic}")
+    ).child(f"echo-{topic}-{tag(sink, path, query_name, schema, backend, topic_path)}")
     return echo_stream(out, opts, sink, truncate, path=path)
 
 
@@ -153,31 +202,33 @@ def report_job(
     spark: SparkSession,
     table_path: str,
     table_format: str = "parquet",
-    mapping: DataFrame | None = None,
+    mapping: DataFrame | Sequence[tuple[str, str]] | None = None,
     keys: Sequence[str] = SIGNAL_KEYS,
-    mapping_rows: int | None = None,
+    signal_date_type: str = "date",
+    text_values: bool = False,
 ) -> dict[str, DataFrame]:
     """The batch reports over the signal table, as lazy DataFrames.
 
     Each is its own job when acted on; each scan reads only the columns it
     needs.  ``signal_rename`` aggregates first (wide, partial aggregation)
-    and only then turns the few hourly rows long and joins the mapping.
+    and only then turns the few hourly rows long and joins the mapping.  The date type and ``text_values`` are
+    those the table was ingested with; the indicator reports need the power among ``keys``.
     """
-    table = read_signals(spark, table_path, table_format)
-    if mapping is None:
-        mapping, mapping_rows = mapping_from_json(spark), mapping_size()
-    hourly = hourly_averages(table, "trunc", keys)
-    wide = hourly_averages(table, "trunc", keys, names={k: k for k in keys})
+    table = read_signals(spark, table_path, table_format, signal_schema(signal_date_type, text_values))
+    hourly = hourly_averages(table, "trunc", keys, cast=text_values)
+    wide = hourly_averages(table, "trunc", keys, names={k: k for k in keys}, cast=text_values)
     long = unpivot_signals(wide, ["signal_hour"], keys, "sig_name", "average")
-    return {
+    out = {
         "datapoints_per_day": datapoints_per_day(table, "date"),
         "datapoints_per_day_trunc": datapoints_per_day(table, "trunc"),
         "hourly_trunc": hourly,
-        "hourly_window": hourly_averages(table, "window", keys),
-        "indicator_per_reading": add_indicator(table, signal_value(POWER)),
-        "indicator_per_hour": add_indicator(hourly, "avg_LV_ActivePower"),
-        "signal_rename": rename_by_mapping(long, mapping, "sig_name", on_duplicate="dedupe", mapping_rows=mapping_rows),
+        "hourly_window": hourly_averages(table, "window", keys, cast=text_values),
+        "signal_rename": rename_by_mapping(long, mapping_pairs() if mapping is None else mapping, "sig_name", on_duplicate="dedupe"),
     }
+    if POWER in keys:
+        out["indicator_per_reading"] = add_indicator(table, signal_value(POWER, cast=text_values))
+        out["indicator_per_hour"] = add_indicator(hourly, TRUNC_AVERAGE_NAMES[POWER])
+    return out
 
 
 def run_pipeline(
@@ -187,7 +238,7 @@ def run_pipeline(
     topic: str = "signals",
     payload: str = "json",
     table_format: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
 ) -> str:
     """Produce then ingest everything under ``csv_path``; return the table path.
 
@@ -195,7 +246,7 @@ def run_pipeline(
     every message (a concurrent pair only sees what is there when it starts).
     Rerunning on the same ``work_dir`` adds nothing already processed.
     """
-    topic_path = f"{work_dir}/topic/{topic}"
+    topic_path = f"{work_dir}/topic"
     table_path = f"{work_dir}/table"
     checkpoints = f"{work_dir}/checkpoints"
     run_stream(
@@ -210,7 +261,6 @@ def run_pipeline(
             available_now=True,
         )
     )
-    ingest_payload = "nested" if payload == "nested" else payload
     run_stream(
         ingest_job(
             spark,
@@ -218,7 +268,7 @@ def run_pipeline(
             table_path,
             checkpoints,
             topic_path,
-            payload=ingest_payload,
+            payload=payload,
             table_format=table_format,
             max_files_per_trigger=max_files_per_trigger,
             available_now=True,

@@ -23,7 +23,7 @@ from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.partitioning import spread_partitions
 from signalspark.operators.signals import normalize_signals, unpack_signals, unpivot_signals
 from signalspark.plans.derived import signal_table, turbine_readings, write_csv
-from signalspark.plans.jobs import echo_job, run_pipeline
+from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job, run_pipeline
 from signalspark.schemas import (
     DATE_TIME,
     MAPPING_ROWS,
@@ -36,7 +36,7 @@ from signalspark.schemas import (
 )
 from signalspark.session import scratch_dir
 from signalspark.sources.files import csv_stream, line_stream, read_signals, read_table
-from signalspark.sources.mapping import mapping_from_json, mapping_from_rows, mapping_size
+from signalspark.sources.mapping import mapping_pairs
 from signalspark.streaming.options import StreamOptions
 from signalspark.streaming.runner import run_stream
 from signalspark.streaming.sinks import echo_stream
@@ -54,6 +54,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The test tables are one row group each, so JSON work on them would be one task."""
+    return spread_partitions(df, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turbine_readings(_table(spark, sf_dir, "events"))
 
@@ -106,7 +111,7 @@ def hourly_avg_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sig = signal_table(spread_partitions(_table(spark, sf_dir, "events")))
+    sig = signal_table(_spread(_table(spark, sf_dir, "events")))
     return sig.select(F.to_json(F.struct("signal_date", "signal_ts", "signals")).alias("value"))
 
 
@@ -150,20 +155,20 @@ def _long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mapping_join_fanout_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_by_mapping(
-        _long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="keep", mapping_rows=mapping_size()
+        _long_readings(spark, sf_dir), mapping_pairs(), "sig_name", on_duplicate="keep"
     )
 
 
 def mapping_join_dedupe_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_by_mapping(
-        _long_readings(spark, sf_dir), mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+        _long_readings(spark, sf_dir), mapping_pairs(), "sig_name", on_duplicate="dedupe"
     )
 
 
 def mapping_literal_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ind = indicator_per_hour_q(spark, sf_dir)
     return rename_by_mapping(
-        ind, mapping_from_rows(spark), "generation_indicator", replace=True, mapping_rows=len(MAPPING_ROWS)
+        ind, MAPPING_ROWS, "generation_indicator", replace=True
     )
 
 
@@ -172,7 +177,7 @@ def signal_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
     long = unpivot_signals(wide, ["signal_hour"], SIGNAL_KEYS, "sig_name", "average")
     return rename_by_mapping(
-        long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+        long, mapping_pairs(), "sig_name", on_duplicate="dedupe"
     )
 
 
@@ -184,13 +189,13 @@ def _messages(df: DataFrame) -> DataFrame:
 
 
 def json_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_partitions(_table(spark, sf_dir, "lineitem"))
+    li = _spread(_table(spark, sf_dir, "lineitem"))
     text = as_text(_messages(encode_json(li, "l_orderkey")))
     return decode_json(text, li.schema)
 
 
 def json_narrow_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_partitions(_table(spark, sf_dir, "lineitem"))
+    li = _spread(_table(spark, sf_dir, "lineitem"))
     text = as_text(_messages(encode_json(li, "l_orderkey")))
     return decode_json(text, "l_orderkey BIGINT, l_extendedprice DOUBLE")
 
@@ -248,7 +253,7 @@ def line_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_input(spark: SparkSession, sf_dir: str, work: str) -> str:
     """The readings as CSV files, one per task slot, for the file streams."""
-    events = spread_partitions(_table(spark, sf_dir, "events"))
+    events = _spread(_table(spark, sf_dir, "events"))
     return write_csv(turbine_readings(events), f"{work}/csv")
 
 
@@ -274,8 +279,6 @@ def stream_narrow_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV stream -> JSON topic -> narrow decode echoed to a Parquet sink."""
     work = scratch_dir(spark, "narrow_echo")
     _stream_input(spark, sf_dir, work)
-    from signalspark.plans.jobs import produce_job
-
     topic_path = f"{work}/topic"
     run_stream(produce_job(spark, f"{work}/csv", "signals", f"{work}/checkpoints", topic_path, available_now=True))
     run_stream(
@@ -293,7 +296,65 @@ def stream_narrow_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(NARROW_SCHEMA).parquet(f"{work}/out")
 
 
+def stream_two_topics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two producers on one topic path, both topics ingested into one table: no row is lost."""
+    work = scratch_dir(spark, "two_topics")
+    events = _table(spark, sf_dir, "events")
+    for k in (0, 1):
+        write_csv(turbine_readings(events.where(F.col("event_id") % 2 == k)), f"{work}/csv{k}")
+        run_stream(produce_job(spark, f"{work}/csv{k}", f"half {k}", f"{work}/checkpoints", f"{work}/topics", available_now=True))
+    run_stream(ingest_job(spark, ["half 0", "half 1"], f"{work}/table", f"{work}/checkpoints", f"{work}/topics", available_now=True))
+    return datapoints_per_day(read_signals(spark, f"{work}/table"), by="date")
+
+
+def stream_text_echo_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV stream -> JSON topic -> key and value echoed as text (the value's power picked out)."""
+    work = scratch_dir(spark, "text_echo")
+    _stream_input(spark, sf_dir, work)
+    run_stream(produce_job(spark, f"{work}/csv", "signals", f"{work}/checkpoints", f"{work}/topic", available_now=True))
+    run_stream(echo_job(spark, "signals", f"{work}/checkpoints", f"{work}/topic", sink="parquet", path=f"{work}/out", available_now=True))
+    out = spark.read.schema("key STRING, value STRING").parquet(f"{work}/out")
+    return out.select("key", F.from_json("value", TURBINE_SCHEMA)[POWER].alias("active_power"))
+
+
+def _ingested(spark: SparkSession, sf_dir: str, name: str, payload: str, **kinds) -> dict[str, DataFrame]:
+    """The reports over a table of the given kind that the ingest wrote."""
+    work = scratch_dir(spark, name)
+    _stream_input(spark, sf_dir, work)
+    run_stream(produce_job(spark, f"{work}/csv", "signals", f"{work}/checkpoints", f"{work}/topic", payload=payload, available_now=True))
+    run_stream(ingest_job(spark, "signals", f"{work}/table", f"{work}/checkpoints", f"{work}/topic", payload=payload, available_now=True, **kinds))
+    return report_job(spark, f"{work}/table", **kinds)
+
+
+def report_string_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day counts over a stored table whose ``signal_date`` is the key text."""
+    return _ingested(spark, sf_dir, "string_date", "json", signal_date_type="string")["datapoints_per_day"]
+
+
+def report_text_map_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly averages over a stored table whose map holds texts."""
+    h = _ingested(spark, sf_dir, "text_map", "nested", text_values=True)["hourly_trunc"]
+    return h.withColumn("signal_hour", _ntz("signal_hour"))
+
+
+def mapping_rows_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long readings and the literal mapping: three names match, the wind direction stays NULL."""
+    return rename_by_mapping(_long_readings(spark, sf_dir), MAPPING_ROWS, "sig_name")
+
+
+def json_events_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole events to JSON messages and back, microseconds kept."""
+    events = _table(spark, sf_dir, "events")
+    return decode_json(as_text(_messages(encode_json(events, "event_id"))), events.schema)
+
+
 QUERIES: dict[str, Query] = {
+    "stream_two_topics": stream_two_topics_q,
+    "stream_text_echo": stream_text_echo_q,
+    "report_string_date": report_string_date_q,
+    "report_text_map": report_text_map_q,
+    "mapping_rows_join": mapping_rows_join_q,
+    "json_events_envelope": json_events_envelope_q,
     "datapoints_per_day": datapoints_per_day_q,
     "datapoints_per_day_trunc": datapoints_per_day_trunc_q,
     "datapoints_per_key_text": datapoints_per_key_text_q,
@@ -467,6 +528,22 @@ FROM m""",
     "line_stream": "SELECT CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',' || CAST(n_regionkey AS VARCHAR) "
     "AS value FROM nation",
     "stream_end_to_end": _SIG + _WINDOW,
+    "stream_two_topics": _SIG + _DATAPOINTS,
+    "stream_text_echo": "WITH " + _READINGS + """ SELECT "Date/Time" AS key, "LV ActivePower (kW)" AS active_power FROM readings""",
+    "report_string_date": "WITH "
+    + _READINGS
+    + """ SELECT "Date/Time" AS signal_date,
+       count(DISTINCT strptime("Date/Time", '%d %m %Y %H:%M')) AS datapoints_per_day
+FROM readings GROUP BY 1""",
+    "report_text_map": _HOURLY + "SELECT * FROM hourly",
+    "mapping_rows_join": _SIG
+    + ", "
+    + _LONG
+    + ", "
+    + _MAPPING_ROWS
+    + "SELECT l.signal_ts, l.sig_name, l.sig_value, m.sig_mapping_name "
+    "FROM long l LEFT JOIN mapping m ON l.sig_name = m.sig_name",
+    "json_events_envelope": "SELECT CAST(event_id AS VARCHAR) AS key, * FROM events",
     "stream_nested_ingest": _SIG + _DATAPOINTS,
     "stream_narrow_echo": "WITH "
     + _READINGS
@@ -487,7 +564,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = ["signal_hour", "generation_indicator"]
     long = unpivot_signals(wide, ids, SIGNAL_KEYS, "sig_name", "average")
     return rename_by_mapping(
-        long, mapping_from_json(spark), "sig_name", on_duplicate="dedupe", mapping_rows=mapping_size()
+        long, mapping_pairs(), "sig_name", on_duplicate="dedupe"
     )
 
 

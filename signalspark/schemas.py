@@ -94,10 +94,7 @@ TOPIC_SCHEMA = T.StructType(
         T.StructField("key", T.BinaryType()),
         T.StructField("value", T.BinaryType()),
         T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
-        T.StructField("timestampType", T.IntegerType()),
     ]
 )
 TOPIC_COLUMNS = tuple(f.name for f in TOPIC_SCHEMA.fields)

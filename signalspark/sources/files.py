@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
 import os
-import threading
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,11 @@ from pyspark.sql import types as T
 from signalspark.schemas import SIGNAL_TABLE_SCHEMA, TURBINE_SCHEMA
 
 
+#: Files older than this against the newest are skipped by a file stream.  Spark's default of 7 days drops backfills and copies
+#: that keep their times.  The price is that a query remembers the names of all files it has read.
+MAX_FILE_AGE = "36500d"
+
+
 def _check_stream_path(path: str) -> None:
     """A file stream watches a directory or a glob; a single file fails late.
 
@@ -32,6 +35,7 @@ def csv_stream(
     header: bool = True,
     sep: str = ",",
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
     **options: str,
 ) -> DataFrame:
     """Stream CSV files under a fixed schema (columns bind by position).
@@ -41,7 +45,7 @@ def csv_stream(
     is not a number gives NULL, never an error.
     """
     _check_stream_path(path)
-    reader = spark.readStream.schema(schema).option("header", header).option("sep", sep)
+    reader = spark.readStream.schema(schema).option("header", header).option("sep", sep).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     for k, v in options.items():
@@ -49,35 +53,53 @@ def csv_stream(
     return reader.csv(path)
 
 
-def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """Stream text lines from files: one ``value STRING`` column per line."""
     _check_stream_path(path)
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.text(path)
 
 
-_SCHEMAS: dict[tuple[str, str], str] = {}
-_SCHEMAS_LOCK = threading.Lock()
+def read_table(spark: SparkSession, path: str, table_format: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """Batch read of a table folder or file; its schema is read from the files unless given."""
+    reader = spark.read.format(table_format)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.mkdirs(p)
 
 
-def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
-    """Batch read of a table folder or file whose schema does not change.
+def claim_sink(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Make ``path`` the sink of the query with this checkpoint; raise if it is another query's.
 
-    The schema is inferred (one footer read) the first time a path is seen
-    in this process and given explicitly afterwards, so repeated reads of
-    the same table only list its files.
+    A file sink's commit log numbers the batches of one query: a second query's batches would count as
+    committed already, and their rows would be lost without an error.
     """
-    key = (table_format, path)
-    with _SCHEMAS_LOCK:
-        known = _SCHEMAS.get(key)
-    if known is not None:
-        return spark.read.format(table_format).schema(T.StructType.fromJson(json.loads(known))).load(path)
-    df = spark.read.format(table_format).load(path)
-    with _SCHEMAS_LOCK:
-        _SCHEMAS[key] = df.schema.json()
-    return df
+    owner, fs = _hadoop(spark, f"{path}/_owner")
+    log, _ = _hadoop(spark, f"{path}/_spark_metadata")
+    mine, own_fs = _hadoop(spark, f"{checkpoint}/metadata")
+    if fs.exists(owner):
+        stream = fs.open(owner)
+        held_by = stream.readUTF()
+        stream.close()
+        if held_by != checkpoint:
+            raise ValueError(f"{path!r} is the sink of the query with checkpoint {held_by!r}")
+        return
+    if fs.exists(log) and not own_fs.exists(mine):
+        raise ValueError(f"{path!r} has the commit log of another query")
+    stream = fs.create(owner, False)
+    stream.writeUTF(checkpoint)
+    stream.close()
 
 
 def read_signals(

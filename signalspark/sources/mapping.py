@@ -6,9 +6,16 @@ import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from signalspark.schemas import MAPPING_DDL, MAPPING_JSON, MAPPING_JSON_DDL, MAPPING_ROWS
+from signalspark.schemas import MAPPING_DDL, MAPPING_JSON, MAPPING_ROWS
+
+#: Literal rows up to which the mapping is part of the plan itself (no scan, no job).
+INLINE_ROWS = 1000
+
+
+def mapping_pairs(document: str = MAPPING_JSON) -> list[tuple[str, str]]:
+    """The pairs of a JSON array of ``{sig_name, sig_mapping_name}``, duplicates kept."""
+    return [(e.get("sig_name"), e.get("sig_mapping_name")) for e in json.loads(document)]
 
 
 def mapping_from_json(spark: SparkSession, document: str = MAPPING_JSON) -> DataFrame:
@@ -16,15 +23,14 @@ def mapping_from_json(spark: SparkSession, document: str = MAPPING_JSON) -> Data
 
     Duplicates in the document are kept (see ``rename_by_mapping``).
     """
-    doc = spark.createDataFrame([(document,)], "doc STRING")
-    return doc.select(F.inline(F.from_json("doc", MAPPING_JSON_DDL))).select("sig_name", "sig_mapping_name")
-
-
-def mapping_size(document: str = MAPPING_JSON) -> int:
-    """Number of entries of a mapping document: a proven bound for broadcasting it."""
-    return len(json.loads(document))
+    return mapping_from_rows(spark, mapping_pairs(document))
 
 
 def mapping_from_rows(spark: SparkSession, rows: Iterable[tuple[str, str]] = MAPPING_ROWS) -> DataFrame:
     """The mapping from literal ``(sig_name, sig_mapping_name)`` pairs."""
-    return spark.createDataFrame(list(rows), MAPPING_DDL)
+    rows = list(rows)
+    if not rows or len(rows) > INLINE_ROWS:
+        return spark.createDataFrame(rows, MAPPING_DDL)
+    values = ", ".join(f"(:k{i}, :v{i})" for i in range(len(rows)))
+    args = {f"{c}{i}": v for i, pair in enumerate(rows) for c, v in zip("kv", pair, strict=True)}
+    return spark.sql(f"SELECT CAST(k AS STRING) AS sig_name, CAST(v AS STRING) AS sig_mapping_name FROM VALUES {values} AS m(k, v)", args)

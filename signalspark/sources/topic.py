@@ -3,8 +3,8 @@
 Two back ends with one set of columns (Spark's Kafka source columns):
 
 * ``kafka``: Spark's Kafka connector (its jar must be on the class path);
-* ``file``: a folder of Parquet files written by a streaming file sink.  It
-  is exactly-once through the sink's commit log, read from the earliest
+* ``file``: Parquet files written by a streaming file sink, one folder for
+  each topic below the given path (a sink's commit log is per folder).  It is exactly-once through the sink's commit log, read from the earliest
   entry, keeps no order across files and writes no offsets (NULL).
 """
 
@@ -13,11 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalspark.names import safe_name
 from signalspark.schemas import TOPIC_SCHEMA
+from signalspark.sources.files import MAX_FILE_AGE, make_folder
 
 HEADERS_TYPE = "array<struct<key: string, value: binary>>"
 
 
+def topic_folder(path: str, topic: str) -> str:
+    """The folder of one topic of the file back end."""
+    return f"{path.rstrip('/')}/{safe_name(topic)}"
+
+
 def kafka_source_options(
     bootstrap_servers: str,
     topic: str,
@@ -71,10 +78,12 @@ def topic_stream(
         raise ValueError("the file back end always reads from the earliest message")
     if max_offsets_per_trigger:
         raise ValueError("the file back end has no offsets: limit it with max_files_per_trigger")
-    reader = spark.readStream.schema(TOPIC_SCHEMA)
+    folder = topic_folder(path, topic)
+    make_folder(spark, folder)  # a consumer may start before the first message
+    reader = spark.readStream.schema(TOPIC_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    messages = reader.parquet(path).where(F.col("topic") == F.lit(topic))
+    messages = reader.parquet(folder)
     if include_headers:
         # Same column as Kafka's source; the file log keeps no headers.
         messages = messages.withColumn("headers", F.lit(None).cast(HEADERS_TYPE))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from signalspark.names import safe_name
+
 
 @dataclass(frozen=True)
 class StreamOptions:
@@ -33,8 +34,8 @@ class StreamOptions:
             raise ValueError("a streaming query needs a checkpoint folder")
 
     def child(self, name: str) -> StreamOptions:
-        safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", name)
-        return replace(self, checkpoint=f"{self.checkpoint.rstrip('/')}/{safe}")
+        """The folder of one query; different names give different folders."""
+        return replace(self, checkpoint=f"{self.checkpoint.rstrip('/')}/{safe_name(name)}")
 
     def configure(self, writer: DataStreamWriter) -> DataStreamWriter:
         writer = writer.outputMode(self.output_mode).option("checkpointLocation", self.checkpoint)

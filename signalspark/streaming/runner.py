@@ -37,7 +37,7 @@ def run_streams(
 ) -> bool:
     """Wait for several queries of one session.
 
-    ``until='all'`` waits for every query (in order, sharing ``timeout``);
+    ``until='all'`` waits for every query (a failure of any is raised at once);
     ``until='any'`` returns as soon as one of ``queries`` ends (queries of
     the session that are not listed do not count).  A failed query is re-raised
     and the others are stopped.
@@ -58,11 +58,18 @@ def run_streams(
         if until != "all":
             raise ValueError("until must be 'all' or 'any'")
         deadline = None if timeout is None else time.monotonic() + timeout
-        for q in queries:
-            left = None if deadline is None else max(0.0, deadline - time.monotonic())
-            if not run_stream(q, left):
+        while True:
+            for q in queries:  # a failure counts at once, whatever the order
+                if not q.isActive:
+                    _raise_failure(q)
+            active = [q for q in queries if q.isActive]
+            if not active:
+                for q in queries:
+                    _raise_failure(q)
+                return True
+            if deadline is not None and time.monotonic() >= deadline:
                 return False
-        return True
+            active[0].awaitTermination(POLL_SECONDS)
     except Exception:
         for q in queries:
             if q.isActive:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalspark.sources.topic import kafka_sink_options
+from signalspark.sources.files import claim_sink
+from signalspark.sources.topic import kafka_sink_options, topic_folder
 from signalspark.streaming.options import StreamOptions
 
 
@@ -19,16 +20,14 @@ def write_topic(
     backend: str = "file",
     path: str | None = None,
     bootstrap_servers: str | None = None,
-    num_partitions: int | None = None,
 ) -> StreamingQuery:
     """Publish ``key`` (optional) and ``value`` rows to ``topic``.
 
     Raises at once when there is no ``value`` column or when ``key`` or
     ``value`` is neither STRING nor BINARY (as Kafka's sink demands), rather
-    than when the first micro-batch fails.  The file back end writes Spark's Kafka source
-    columns; ``partition`` is a hash of the key (of the value for NULL keys),
-    and each micro-batch lands in at most ``num_partitions`` balanced files
-    (default: the session's ``spark.sql.shuffle.partitions``).
+    than when the first micro-batch fails.  The file back end writes ``key``,
+    ``value``, ``topic`` and ``timestamp`` to the topic's own folder below ``path``, one file for each
+    task of a micro-batch: the input's splits set their number, nothing is shuffled.
     """
     if "value" not in df.columns:
         raise ValueError("a topic sink needs a 'value' column (and optionally 'key')")
@@ -48,25 +47,15 @@ def write_topic(
         raise ValueError("backend must be 'file' or 'kafka'")
     if not path:
         raise ValueError("the file back end needs a path")
-    if num_partitions is None:
-        # As many topic partitions as the cluster's shuffle partitions.
-        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
+    folder = topic_folder(path, topic)
+    claim_sink(df.sparkSession, folder, options.checkpoint)
     records = df.select(
         key.cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.col("value").cast("string"))), F.lit(num_partitions))
-        .cast("int")
-        .alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"),
         F.current_timestamp().alias("timestamp"),
-        F.lit(0).alias("timestampType"),
     )
-    # Each micro-batch is written as up to ``num_partitions`` balanced files
-    # (round robin, so a hot key cannot make one huge file); consumers then
-    # read the batch with that many tasks, as they would read topic partitions.
-    records = records.repartition(num_partitions)
-    return options.start(records.writeStream.format("parquet").option("path", path))
+    return options.start(records.writeStream.format("parquet").option("path", folder))
 
 
 def append_signals(
@@ -75,11 +64,19 @@ def append_signals(
     options: StreamOptions,
     table_format: str = "parquet",
     partition_by: Sequence[str] | None = ("signal_date",),
+    files_per_partition: int = 4,
 ) -> StreamingQuery:
     """Append signal rows to a table folder (exactly-once via the sink's log).
 
-    Partitioning by ``signal_date`` lets later reads prune whole days.
+    Partitioning by ``signal_date`` lets later reads prune whole days.  A micro-batch is clustered by the
+    partition columns and a hash of the time, so it writes at most ``files_per_partition`` files for
+    each of their values (not one for each task and value) and a hot day is still several tasks' work.
     """
+    if table_format != "delta":
+        claim_sink(df.sparkSession, path, options.checkpoint)
+    if partition_by:
+        cell = F.pmod(F.xxhash64("signal_ts"), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], cell)
     writer = df.writeStream.format(table_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -103,6 +100,7 @@ def echo_stream(
         if not options.query_name:
             raise ValueError("a memory sink needs options.query_name")
     elif path:
+        claim_sink(df.sparkSession, path, options.checkpoint)
         writer = writer.option("path", path)
     else:
         raise ValueError(f"sink {sink!r} needs a path")

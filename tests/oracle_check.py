@@ -84,7 +84,7 @@ def main(argv: list[str]) -> int:
     spark = make_session()
     import __spark_entry__ as E
 
-    names = argv[1:] or list(E.queries())
+    names = argv[1:] or list(E.oracle_sql())
     con = duck(sf_dir)
     bad = 0
     for n in names:

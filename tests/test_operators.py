@@ -171,14 +171,30 @@ def test_rename_replace_and_literal_form(spark):
     assert [r.generation_indicator for r in out.collect()] == [None, None]
 
 
-def test_rename_salted_path_equals_broadcast(spark):
-    long = _long(spark).unionByName(_long(spark))
-    mapping = mapping_from_json(spark)
-    fast = rename_by_mapping(long, mapping, "sig_name", on_duplicate="keep")
-    salted = rename_by_mapping(long, mapping, "sig_name", on_duplicate="keep", broadcast_max_rows=0, salt_buckets=4)
-    key = lambda r: (r.id, r.sig_name, r.sig_mapping_name or "")
-    assert sorted(map(key, fast.collect())) == sorted(map(key, salted.collect()))
-    assert salted.columns == fast.columns
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_rename_gives_the_same_rows_at_any_size_of_the_mapping(spark, how):
+    long = _long(spark).unionByName(_long(spark)).withColumn("deep", F.struct(F.create_map(F.lit("a"), F.lit(1)).alias("m")))
+    pairs = [("LV ActivePower (kW)", "a"), ("LV ActivePower (kW)", "a"), ("nowhere", "b"), (None, "c")]
+    for rows in (long, long.select("sig_name")):
+        forms = [
+            rename_by_mapping(rows, pairs, "sig_name", how=how),
+            rename_by_mapping(rows, spark.createDataFrame(pairs, "sig_name STRING, sig_mapping_name STRING"), "sig_name", how=how),
+            rename_by_mapping(rows, mapping_from_rows(spark, pairs), "sig_name", how=how, broadcast_max_rows=0),
+            rename_by_mapping(rows, pairs, "sig_name", how=how, broadcast_max_bytes=0),
+        ]
+        got = [sorted(map(str, f.collect())) for f in forms]
+        assert got[0] and all(g == got[0] for g in got)
+        assert "BroadcastHashJoin" in forms[0]._jdf.queryExecution().toString()
+        for f in forms[2:]:
+            assert "Broadcast" not in f._jdf.queryExecution().toString()
+    for outer in ("right", "full", "cross"):
+        with pytest.raises(ValueError):
+            rename_by_mapping(long, pairs, "sig_name", how=outer)
+
+
+def test_a_literal_mapping_needs_no_exchange(spark):
+    plan = rename_by_mapping(_long(spark), [("a", "b"), ("a", "b")], "sig_name", on_duplicate="dedupe")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Aggregate" not in plan
 
 
 def test_rename_validation(spark):
@@ -193,5 +209,3 @@ def test_spread_partitions(spark):
     one = spark.range(100).coalesce(1)
     spread = spread_partitions(one, 4)
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
-    many = spark.range(0, 100, 1, 6)
-    assert spread_partitions(many, 4) is many

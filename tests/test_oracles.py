@@ -25,10 +25,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    # The training-data queries have their own tests; those that SQL can't express have no oracle.
+    assert set(E.queries()) - set(E.LLM_QUERIES) == set(E.oracle_sql()) - set(E.LLM_ORACLES)
+    assert set(E.LLM_ORACLES) <= set(E.LLM_QUERIES)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, ORACLE_SF, con)
     assert r["columns_match"], (r["spark_columns"], r["duck_columns"])

@@ -80,7 +80,7 @@ def test_narrow_echo_and_text_echo(spark, tmp_path):
     ck = str(tmp_path / "ck")
     run_stream(produce_job(spark, str(tmp_path / "csv"), "turbine", ck, topic, available_now=True))
     raw = topic_stream(spark, "turbine", path=topic)
-    assert raw.columns[:2] == ["key", "value"] and "offset" in raw.columns
+    assert raw.columns == ["key", "value", "topic", "timestamp"]
     run_stream(echo_job(spark, "turbine", ck, topic, schema=NARROW_SCHEMA, sink="memory", query_name="narrow", available_now=True))
     narrow = spark.table("narrow")
     assert narrow.columns == NARROW_SCHEMA.names and narrow.count() == 5
@@ -114,7 +114,8 @@ def test_sink_and_option_validation(spark, tmp_path):
         echo_stream(df, opts, sink="parquet")
     with pytest.raises(ValueError):
         produce_job(spark, str(tmp_path), "t", str(tmp_path / "ck"), str(tmp_path / "topic"), payload="avro")
-    assert opts.child("produce/T1 topic").checkpoint.endswith("/ck/produce_T1_topic")
+    assert opts.child("produce/T1 topic").checkpoint.endswith("/ck/produce~2FT1~20topic")
+    assert len({opts.child(n).checkpoint for n in ("a/b", "a b", "a~b", "a_b", "a~2Fb")}) == 5
     with pytest.raises(ValueError):
         StreamOptions(str(tmp_path / "ck"), processing_time="1 second", available_now=True)
     with pytest.raises(ValueError):
