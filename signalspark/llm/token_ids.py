@@ -7,16 +7,25 @@ pieces in order.  A worker remembers the ids of pieces (bounded) and asks the li
 from __future__ import annotations
 
 import os
+import unicodedata
 from array import array
 from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from signalspark.llm.token_count import byte_letters
+
 #: Entries of the memo of pieces and of that of words; each is emptied when full.
 MEMO_ENTRIES = 250_000
 
 
+#: The letters that stand for bytes in the vocabulary, by byte.
+BYTE_LETTERS = dict(enumerate(byte_letters()))
+#: Letters below this are treated alike by Python and the library, but for the one whose small form is two characters.
+LATIN_END, TWO_CHARACTERS = "\u0250", "\u0130"
+
+
 class PieceEncoder(dict):
     """texts (UTF-8 bytes) -> ids as little-endian unsigned 32-bit integers (bytes); as a dict, the ids of a piece."""
 
@@ -28,12 +37,18 @@ class PieceEncoder(dict):
         self.words: dict[bytes, bytes] = {}
 
     def _word(self, word: bytes) -> bytes:
-        """Ids of a word.  The normaliser and the splitter leave small ASCII letters as they are, so the library's model is asked at once."""
+        """Ids of a word.
+
+        The normaliser and the splitter leave a word of small Latin letters as it is, but for writing its bytes as
+        letters; so the library's model is asked at once.
+        """
         ids = self.words.get(word)
         if ids is None:
             text = word.decode("utf-8", "replace")
             if word.isalpha() and word.islower():
                 ids = [t.id for t in self.model.tokenize(text)]
+            elif text.isalpha() and max(text) < LATIN_END and TWO_CHARACTERS not in text and unicodedata.is_normalized("NFC", text):
+                ids = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTE_LETTERS))]
             else:
                 ids = self.library.encode(text, add_special_tokens=False).ids
             ids = self.words[word] = array("I", ids).tobytes()

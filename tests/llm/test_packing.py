@@ -44,6 +44,14 @@ def test_pieces_equal_the_library_on_odd_texts():
         assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
 
 
+def test_latin_letters_equal_the_library():
+    enc = PieceEncoder("word_bpe_49k.json")
+    letters = [chr(c) for c in range(0xA0, 0x260)]
+    texts = [t for i, c in enumerate(letters) for t in (f"{c}a", f"Es{c}E.", f"{c}{letters[i // 2]}n,")]
+    for t, got in zip(texts, enc.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
+
+
 def test_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs = {r.doc_id: r.text for r in table.collect()}
