@@ -2,14 +2,16 @@
 
 Units are the whole text (number 0) and each of its lines (from 1).  A unit is normalised: A-Z in lower case, runs of other characters than a-z
 and 0-9 become one space.  Its distinct word bigrams are compared with those of a template; with sizes n and m, a Dice
-coefficient of 0.8 needs 2 m / 3 <= n <= 3 m / 2, so only templates of such a size are looked at.
+coefficient of 0.8 needs 2 m / 3 <= n <= 3 m / 2, so only templates of such a size are looked at,
+and only texts that contain one of the words that the templates can't do without.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalspark.llm.common import read_table
@@ -62,6 +64,25 @@ def bounds(m: int, tenths: int) -> tuple[int, int]:
     return -(-tenths * m // (20 - tenths)), (20 - tenths) * m // tenths
 
 
+def telling_words(known: dict[str, list[str]], tenths: int) -> list[str]:
+    """Words of which a text must contain one to hold a unit that reaches the coefficient.
+
+    A unit lacks at most so many of a template's bigrams; words that stand in one more of them than that can't all be missing.
+    """
+    out: set[str] = set()
+    for grams in known.values():
+        m = len(grams)
+        least, _ = bounds(m, tenths)
+        left, hit = [set(g.split()) for g in grams], 0
+        while hit <= m - -(-tenths * (least + m) // 20):
+            # Long words first: short ones are in any text.
+            word = min({w for g in left for w in g}, key=lambda w: (len(w) < 5, -sum(w in g for g in left), -len(w), w))
+            hit += sum(word in g for g in left)
+            left = [g for g in left if word not in g]
+            out.add(word)
+    return sorted(w for w in out if not any(v != w and v in w for v in out))
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, tenths: int = TENTHS) -> DataFrame:
     """``doc_id, unit_no, license_id, n_common, n_unit, n_template, dice`` of each unit and template that reach ``tenths`` / 10.
 
@@ -71,12 +92,19 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, tenths
     known = {k: b for k, t in sorted(templates.items()) if (b := bigrams(t))}
     limits = {k: bounds(len(b), tenths) for k, b in known.items()}
     least, largest = min((lo for lo, _ in limits.values()), default=1), max((hi for _, hi in limits.values()), default=0)
-    units = docs.select("doc_id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n", -1))).alias("unit_no", "unit"))
-    plain = F.trim(F.regexp_replace(F.translate("unit", UPPER, LOWER), "[^a-z0-9]+", " "))
+    words_of = telling_words(known, tenths)
+
+    def told(text: str) -> Column:
+        return reduce(lambda a, b: a | b, (F.contains(F.col(text), F.lit(w)) for w in words_of), F.lit(False))
+
+    # Values that a filter looks at are made by a generator: else the filter goes below and they are made twice.
+    docs = docs.select("doc_id", F.explode(F.array(F.translate("text", UPPER, LOWER))).alias("low")).where(told("low"))
+    units = docs.select("doc_id", F.posexplode(F.concat(F.array("low"), F.split("low", "\n", -1))).alias("unit_no", "unit")).where(told("unit"))
+    plain = F.trim(F.regexp_replace("unit", "[^a-z0-9]+", " "))
     # Too few words for the smallest template: most lines of most texts stay out of what follows.
-    words = units.select("doc_id", "unit_no", F.split(plain, " ").alias("w")).where(F.size("w") > least)
+    words = units.select("doc_id", "unit_no", F.explode(F.array(F.split(plain, " "))).alias("w")).where(F.size("w") > least)
     pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    grams = words.select("doc_id", "unit_no", F.array_distinct(pairs).alias("grams")).withColumn("n_unit", F.size("grams")).where(F.col("n_unit").between(least, largest))
+    grams = words.select("doc_id", "unit_no", F.explode(F.array(F.array_distinct(pairs))).alias("grams")).withColumn("n_unit", F.size("grams")).where(F.col("n_unit").between(least, largest))
     # Templates whose size fits, as structs in one array; there are a fixed few.
     fit = F.array_compact(
         F.array(*(F.when(F.col("n_unit").between(*limits[k]), F.struct(F.lit(k).alias("license_id"), F.lit(len(b)).alias("n_template"), F.array(*map(F.lit, b)).alias("template"))) for k, b in known.items()))

@@ -4,7 +4,7 @@ import re
 
 import duckdb
 
-from signalspark.llm.license_scan import ORACLE, TEMPLATES, bigrams, bounds, op2_license_scan, scan_licenses
+from signalspark.llm.license_scan import ORACLE, TEMPLATES, bigrams, bounds, op2_license_scan, scan_licenses, telling_words
 
 
 def brute(text):
@@ -46,6 +46,15 @@ def test_whole_table_and_plan(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", df._jdf.queryExecution().toString())
 
 
+def test_units_that_reach_a_template_hold_a_telling_word():
+    known = {k: bigrams(t) for k, t in TEMPLATES.items()}
+    words = telling_words(known, 8)
+    for grams in known.values():
+        m = len(grams)
+        least = -(-8 * (bounds(m, 8)[0] + m) // 20)
+        assert sum(not any(w in g for w in words) for g in grams) < least
+
+
 def test_bounds_lose_nothing():
     for m in range(1, 60):
         lo, hi = bounds(m, 8)
