@@ -178,14 +178,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, runs`` (array of word positions ``first`` to ``last`` - 1) of the documents that repeat an earlier run."""
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    repeats = stored(texts.mapInArrow(_first_pass, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeats")
     low = F.col("gram").bitwiseAND((1 << FILTER_BITS) - 1)
-    bytes_ = repeats.select(F.shiftright(low, 3).alias("at"), F.expr(f"shiftleft(1, cast((gram & {(1 << FILTER_BITS) - 1}) % 8 as int))").alias("bit"))
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)  # 2 MB whatever the input
-    packed = bytes_.groupBy(F.shiftright("at", 12).alias("page")).agg(F.collect_set(F.struct("at", "bit")).alias("set"))
-    for page in packed.toLocalIterator():
-        for x in page["set"]:
-            bits[x["at"]] |= x["bit"]
+    repeats = texts.mapInArrow(_first_pass, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    masks = repeats.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, cast(gram & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("mask")).toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), "<i8")  # 2 MB, and as many numbers for the driver, whatever the input
+    words[masks["at"].to_numpy()] = masks["mask"].to_numpy()
+    bits = words.view(np.uint8)
     filter_ = spark.sparkContext.broadcast(bits)
     places = stored(texts.mapInArrow(partial(_second_pass, repeats=filter_), "gram long, doc_id long, pos int, before binary, after binary"), "places")
 
