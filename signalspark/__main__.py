@@ -16,7 +16,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from signalspark.plans.jobs import PAYLOADS, echo_job, ingest_job, produce_job, report_job, run_pipeline
+from signalspark.plans.jobs import FILES_PER_TRIGGER, PAYLOADS, echo_job, ingest_job, produce_job, report_job, run_pipeline
 from signalspark.schemas import NARROW_SCHEMA
 from signalspark.session import build_session
 from signalspark.streaming.runner import run_stream
@@ -41,17 +41,19 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--payload", default="json", choices=PAYLOADS)
     sp.add_argument("--no-header", action="store_true")
     sp.add_argument("--sep", default=",")
-    sp.add_argument("--max-files-per-trigger", type=int)
+    sp.add_argument("--max-files-per-trigger", type=int, default=FILES_PER_TRIGGER)
     topic_args(sp)
 
     sp = sub.add_parser("ingest", help="topic -> signal table")
     sp.add_argument("--table", required=True)
     sp.add_argument("--payload", default="json", choices=PAYLOADS)
     sp.add_argument("--max-offsets-per-trigger", type=int)
+    sp.add_argument("--starting", default="earliest", help="start position; other than earliest with Kafka only")
     topic_args(sp)
 
     sp = sub.add_parser("echo", help="topic -> console")
     sp.add_argument("--narrow", action="store_true", help="decode the four signals only")
+    sp.add_argument("--starting", default="earliest", help="start position; other than earliest with Kafka only")
     topic_args(sp)
 
     sp = sub.add_parser("report", help="batch reports over the signal table")
@@ -107,11 +109,12 @@ def main(argv: Sequence[str] | None = None) -> int:
             payload=args.payload,
             table_format=args.format,
             max_offsets_per_trigger=args.max_offsets_per_trigger,
+            starting=args.starting,
             **_backend(args),
         )
         run_stream(q)
     elif args.job == "echo":
-        run_stream(echo_job(spark, args.topic, args.checkpoints, schema=NARROW_SCHEMA if args.narrow else None, **_backend(args)))
+        run_stream(echo_job(spark, args.topic, args.checkpoints, schema=NARROW_SCHEMA if args.narrow else None, starting=args.starting, **_backend(args)))
     elif args.job == "report":
         _show(report_job(spark, args.table, args.format), args.show)
     elif args.job == "pipeline":

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from signalspark.__main__ import main
+from signalspark.__main__ import _parser, main
+from signalspark.plans.jobs import FILES_PER_TRIGGER
 from signalspark.sources import read_signals
 from tests.fixtures import EDGE_CSV, write_text
 
@@ -22,3 +23,10 @@ def test_cli_pipeline(spark, tmp_path, capsys):
     write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
     assert main(["pipeline", "--csv", str(tmp_path / "csv"), "--work", str(tmp_path / "w"), "--payload", "nested"]) == 0
     assert "wind_speed_average" in capsys.readouterr().out
+
+
+def test_cli_defaults():
+    topic = ["--topic", "t", "--checkpoints", "ck"]
+    assert _parser().parse_args(["produce", "--csv", "in", *topic]).max_files_per_trigger == FILES_PER_TRIGGER
+    assert _parser().parse_args(["ingest", "--table", "table", *topic]).starting == "earliest"
+    assert _parser().parse_args(["echo", "--starting", "latest", *topic]).starting == "latest"
