@@ -1,15 +1,15 @@
 """Operator 7: deletion of repeated passages by winnowing over line hashes.
 
 Web text is wrapped anyhow, and a repeated passage may start within a line, so lines are made by content: a line ends after each word
-whose hash is divisible by 3 or that repeats the word before it, whatever the line feeds.  A gram is ``GRAM_LINES`` consecutive lines.  For each window of
-``MIN_WORDS`` words, the gram of least hash that lies wholly in it is a fingerprint; so two texts that share a run of
-``MIN_WORDS`` words (with at least one gram, that is ``GRAM_LINES`` + 1 line ends) share a fingerprint at the same place of it.
+whose hash is divisible by 3 or that repeats the word before it, whatever the line feeds.  A gram is ``GRAM_LINES`` consecutive lines.  Each window
+of ``MIN_WORDS`` words chooses, by its own words alone, the gram of least hash that it holds with the line end before it.  So two texts that share a run of ``MIN_WORDS`` words (with at least one gram, that is ``GRAM_LINES`` + 1 line ends) share a fingerprint
+at the same place of it.
 
 Fingerprints that occur more than once are joined with their earliest position (smallest document id, then position).  Each later
-one is extended word by word both ways, up to ``MIN_WORDS`` words each; neighbouring fingerprints of a shared run are never farther apart, so
-the extensions of one document, source and shift join up to the whole run.  Where the earliest place gives a short run, the earliest with
-equal words after, and before, the gram is tried too.  Runs of ``MIN_WORDS`` words or more
-are deleted from the later place.  The earliest place stays.
+one is extended word by word both ways, over the windows that chose it; the extensions of one document, source and shift join up to the whole run.
+Where some later place of a fingerprint doesn't agree in all its windows with the earliest place, the windows of all places of that fingerprint are hashed whole
+and looked up by that hash, so that each finds its own earliest place.  Runs of ``MIN_WORDS`` words or more are deleted from the
+later place.  The earliest place stays.
 """
 
 from __future__ import annotations
@@ -30,22 +30,24 @@ GRAM_LINES = 3
 #: log2 of the bits of the filter that tells the second pass which fingerprints repeat (a false hit costs a row, nothing else).
 FILTER_BITS = 24
 
-#: Bytes (two for a word) of the words around a gram that must agree in the second comparison.
-CONTEXT = 50
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FINGERPRINT = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
 
 
-def line_grams(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, last word and hash of each gram of lines, in order; no gram crosses texts."""
+def line_grams(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word, last word, hash of each gram of lines, in order, and the word from which on a window is sure to hold it; no gram crosses texts.
+
+    A gram's first line follows a line end.  A window knows that end if it holds the end's word, and the word before where only that makes it an end.
+    """
     ends = flat % U64(3) == 0
+    own = ends.copy()
     again = flat[1:] == flat[:-1]
     again[starts[1:-1][(starts[1:-1] > 0) & (starts[1:-1] < len(flat))] - 1] = False
     ends[1:] |= again
     ends = np.flatnonzero(ends)
     if len(ends) <= GRAM_LINES:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, U64),)
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, U64), np.empty(0, np.int64))
     first = ends[:-1] + 1  # line i: words first[i] to ends[i + 1]
     length = ends[1:] - ends[:-1]
     power = np.cumprod(np.concatenate(([U64(1)], np.full(int(length.max()), U64(ODD[1])))))
@@ -59,60 +61,71 @@ def line_grams(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     # A gram's first line must follow a line end of the same text.
     text = np.searchsorted(starts, g_first - 1, side="right")
     same = text == np.searchsorted(starts, g_last, side="right")
-    return g_first[same], g_last[same], mix(acc)[same]
-
-
-def fingerprints(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First words and hashes of the grams that are least in some window of ``MIN_WORDS`` words inside one text."""
-    first, last, h = line_grams(flat, starts)
-    if not len(h):
-        return first, h
-    # The grams in a window change only where a gram's first word leaves it or a gram's last word enters it.
-    at = np.concatenate((starts[:-1], first + 1, last - MIN_WORDS + 1))
-    at = at[(at >= 0) & (at < starts[-1])]
-    end = starts[np.searchsorted(starts, at, side="right")]
-    at = at[at + MIN_WORDS <= end]
-    lo = np.searchsorted(first, at)
-    hi = np.searchsorted(last, at + MIN_WORDS - 1, side="right")
-    lo, hi = lo[hi > lo], hi[hi > lo]
+    g_first = g_first[same]
+    return g_first, g_last[same], mix(acc)[same], g_first - 2 + own[g_first - 1]
+
+
+def _least(h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Place of the least of ``h[lo:hi]`` (the last of equal ones) for each range, from ranges of powers of two."""
+    chosen = np.empty(len(lo), np.int64)
     if not len(lo):
-        return first[:0], h[:0]
-    # Least gram of each range from ranges of powers of two.
+        return chosen
     level = np.floor(np.log2(hi - lo)).astype(int)
-    least = [np.arange(len(h))]
-    for k in range(int(level.max())):
-        a, b = least[-1][: -(1 << k)], least[-1][1 << k :]
-        least.append(np.where(h[b] <= h[a], b, a))
-    chosen = np.empty(len(lo), np.int64)
-    for k in range(len(least)):
+    least = np.arange(len(h))
+    for k in range(int(level.max()) + 1):
         of = level == k
-        a, b = least[k][lo[of]], least[k][hi[of] - (1 << k)]
+        a, b = least[lo[of]], least[hi[of] - (1 << k)]
         chosen[of] = np.where(h[b] <= h[a], b, a)
-    least_of_some = np.zeros(len(h), bool)
-    least_of_some[chosen] = True
-    return first[least_of_some], h[least_of_some]
+        a, b = least[: -(1 << k)], least[1 << k :]
+        least = np.where(h[b] <= h[a], b, a)
+    return chosen
+
 
+def fingerprints(flat: np.ndarray, starts: np.ndarray, size: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First words and hashes of the grams that are chosen in some window of ``size`` words inside one text, and the first words of the first and last such window.
 
-def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each window chooses by its own words alone, so equal windows choose the same place: the gram of lines of least hash.
+    """
+    first, last, h, known = line_grams(flat, starts)
+    # The grams in a window change only where a window loses a gram's line end or gains a gram's last word.
+    at = np.concatenate((starts[:-1], known + 1, last - size + 1))
+    at = np.unique(at[(at >= 0) & (at < starts[-1])])
+    end = starts[np.searchsorted(starts, at, side="right")] - size + 1 if len(at) else at
+    upto = np.minimum(np.append(at[1:], starts[-1]), end)  # windows from at to upto - 1 hold the same grams
+    at, upto = at[at < upto], upto[at < upto]
+    lo = np.searchsorted(known, at)
+    hi = np.searchsorted(last, at + size - 1, side="right")
+    some = hi > lo
+    chosen = _least(h, lo[some], hi[some])
+    place, value, w0, w1 = first[chosen], h[chosen], at[some], upto[some] - 1
+    order = np.lexsort((w0, value, place))
+    place, value, w0, w1 = place[order], value[order], w0[order], w1[order]
+    new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (value[1:] != value[:-1])))) if len(place) else np.empty(0, np.int64)
+    if not len(new):
+        return place, value, w0, w1
+    return place[new], value[new], w0[new], np.maximum.reduceat(w1, new)
+
+
+def _first_pass(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for _, texts in chunks(batches):
         flat, starts = split_words(texts)
-        _, h = fingerprints(flat, starts)
+        _, h, _, _ = fingerprints(flat, starts, size)
         yield pa.RecordBatch.from_arrays([pa.array(as_long(h))], names=["gram"])
 
 
-def _second_pass(batches: Iterable[pa.RecordBatch], repeats) -> Iterator[pa.RecordBatch]:
-    """Places of the fingerprints that the filter knows, with 16 bits of each of the words around."""
+def _second_pass(batches: Iterable[pa.RecordBatch], repeats, size: int) -> Iterator[pa.RecordBatch]:
+    """Places of the fingerprints that the filter knows, with 16 bits of each word of the windows that chose them."""
     bits = repeats.value
     for batch, texts in chunks(batches):
         flat, starts = split_words(texts)
-        at, h = fingerprints(flat, starts)
+        at, h, w0, w1 = fingerprints(flat, starts, size)
         low = (h & U64((1 << FILTER_BITS) - 1)).astype(np.int64)
         known = (bits[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
-        at, h = at[known], h[known]
+        at, h, w0, w1 = at[known], h[known], w0[known], w1[known]
         text = np.searchsorted(starts, at, side="right") - 1
-        words = (mix(flat) >> U64(48)).astype("<u2")
-        before = [words[max(starts[t], p - MIN_WORDS) : p].tobytes() for p, t in zip(at.tolist(), text.tolist(), strict=True)]
-        after = [words[p : min(starts[t + 1], p + MIN_WORDS)].tobytes() for p, t in zip(at.tolist(), text.tolist(), strict=True)]
+        words = (mix(flat) >> U64(48)).astype("<u2").tobytes()
+        before = [words[2 * a : 2 * p] for a, p in zip(w0.tolist(), at.tolist(), strict=True)]
+        after = [words[2 * p : 2 * e] for p, e in zip(at.tolist(), (w1 + size).tolist(), strict=True)]
         docs = batch.column(0).take(pa.array(text))
         yield pa.RecordBatch.from_arrays(
             [pa.array(as_long(h)), docs, pa.array((at - starts[text]).astype(np.int32)), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
@@ -120,31 +133,53 @@ def _second_pass(batches: Iterable[pa.RecordBatch], repeats) -> Iterator[pa.Reco
         )
 
 
-def _agree(x: list[bytes], y: list[bytes], backwards: bool) -> np.ndarray:
+def _agree(x: list[bytes], y: list[bytes], backwards: bool, size: int) -> np.ndarray:
     """Words of each pair of contexts that agree from the gram on."""
-    full = 2 * MIN_WORDS
+    full = 2 * size
     pad = (lambda v: v.rjust(full, b"\0")) if backwards else (lambda v: v.ljust(full, b"\0"))
-    same = np.frombuffer(b"".join(map(pad, x)), "<u2").reshape(-1, MIN_WORDS) == np.frombuffer(b"".join(map(pad, y)), "<u2").reshape(-1, MIN_WORDS)
+    same = np.frombuffer(b"".join(map(pad, x)), "<u2").reshape(-1, size) == np.frombuffer(b"".join(map(pad, y)), "<u2").reshape(-1, size)
     if backwards:
         same = same[:, ::-1]
-    n = np.where(same.all(axis=1), MIN_WORDS, same.argmin(axis=1))
+    n = np.where(same.all(axis=1), size, same.argmin(axis=1))
     return np.minimum(n, [min(len(a), len(b)) // 2 for a, b in zip(x, y, strict=True)])
 
 
-def _extend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _extend(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Spans that agree with the earliest place; ``whole`` where all windows of the place do."""
     for b in batches:
         if not b.num_rows:
             continue
         col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
         pos = col["pos"].to_numpy().astype(np.int32)
-        left = _agree(col["before"].to_pylist(), col["before0"].to_pylist(), True)
-        right = _agree(col["after"].to_pylist(), col["after0"].to_pylist(), False)
+        before, after = col["before"].to_pylist(), col["after"].to_pylist()
+        left = _agree(before, col["before0"].to_pylist(), True, size)
+        right = _agree(after, col["after0"].to_pylist(), False, size)
+        whole = [2 * m == len(x) and 2 * n == len(y) for m, x, n, y in zip(left.tolist(), before, right.tolist(), after, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [col["gram"], col["doc_id"], col["doc0"], pa.array(pos - col["pos0"].to_numpy().astype(np.int32)), pa.array((pos - left).astype(np.int32)), pa.array((pos + right).astype(np.int32))],
-            names=["gram", "doc_id", "source", "shift", "first", "last"],
+            [col["gram"], col["doc_id"], col["doc0"], pa.array(pos - col["pos0"].to_numpy().astype(np.int32)), pa.array((pos - left).astype(np.int32)), pa.array((pos + right).astype(np.int32)), pa.array(whole, pa.bool_())],
+            names=["gram", "doc_id", "source", "shift", "first", "last", "whole"],
         )
 
 
+def _windows(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Hash and first word of each window that chose the place."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        before, after = b.column(2).to_pylist(), b.column(3).to_pylist()
+        words = mix(np.frombuffer(b"".join(x for pair in zip(before, after, strict=True) for x in pair), "<u2").astype(U64) + U64(ODD[4]))
+        left, length = (np.array([len(x) for x in v]) // 2 for v in (before, [x + y for x, y in zip(before, after, strict=True)]))
+        n = length - size + 1
+        row = np.repeat(np.arange(len(n)), n)
+        off = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(np.cumsum(length) - length, n) + off
+        acc = np.zeros(len(at), U64)
+        for j in range(size):
+            acc = acc * U64(ODD[2]) + words[at + j]
+        pos = b.column(1).to_numpy()[row] - left[row] + off
+        yield pa.RecordBatch.from_arrays([pa.array(as_long(mix(acc))), b.column(0).take(pa.array(row)), pa.array(pos.astype(np.int32))], names=["key", "doc_id", "pos"])
+
+
 def merged(group: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Union of spans [first, last) within each group (numbers from 0), touching ones joined; ordered by group, then place."""
     order = np.lexsort((first, group))
@@ -179,29 +214,28 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     low = F.col("gram").bitwiseAND((1 << FILTER_BITS) - 1)
-    repeats = texts.mapInArrow(_first_pass, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeats = texts.mapInArrow(partial(_first_pass, size=min_words), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     masks = repeats.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, cast(gram & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("mask")).toArrow()
     words = np.zeros(1 << (FILTER_BITS - 6), "<i8")  # 2 MB, and as many numbers for the driver, whatever the input
     words[masks["at"].to_numpy()] = masks["mask"].to_numpy()
     bits = words.view(np.uint8)
     filter_ = spark.sparkContext.broadcast(bits)
-    places = stored(texts.mapInArrow(partial(_second_pass, repeats=filter_), "gram long, doc_id long, pos int, before binary, after binary"), "places")
-
-    def extended(rows: DataFrame, key) -> DataFrame:
-        """Each place but the earliest of its key, extended against that one."""
-        rows = rows.withColumn("key", key)
-        first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "pos", "before", "after")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        first = stored(first.select("key", *(F.col(f"f.{c}").alias(c0) for c, c0 in (("doc_id", "doc0"), ("pos", "pos0"), ("before", "before0"), ("after", "after0")))), "first")
-        later = rows.join(first, "key").where((F.col("doc_id") != F.col("doc0")) | (F.col("pos") != F.col("pos0"))).drop("key")
-        return stored(later.mapInArrow(_extend, "gram long, doc_id long, source long, shift int, first int, last int"), "spans")
-
-    spans = extended(places, F.col("gram"))
-    # The earliest place may share little more than the gram: such grams are compared again with the earliest
-    # place that also agrees in the words after, or before.
-    short = stored(spans.where(F.col("last") - F.col("first") < min_words).select("gram").distinct(), "short")
-    again = places.join(short, "gram", "left_semi")
-    for side in (F.substring("after", 1, CONTEXT), F.substring("before", -CONTEXT, CONTEXT)):
-        spans = spans.union(extended(again, F.xxhash64("gram", side)))
+    places = stored(texts.mapInArrow(partial(_second_pass, repeats=filter_, size=min_words), "gram long, doc_id long, pos int, before binary, after binary"), "places")
+
+    def later(rows: DataFrame, key: str, *others: str) -> DataFrame:
+        """Each place but the earliest of its key, beside that one."""
+        names = ["doc_id", "pos", *others]
+        first = rows.groupBy(key).agg(F.min(F.struct(*names)).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        first = stored(first.select(key, *(F.col(f"f.{c}").alias(c0) for c, c0 in zip(names, ["doc0", "pos0", *(f"{c}0" for c in others)], strict=True))), "first")
+        return rows.join(first, key).where((F.col("doc_id") != F.col("doc0")) | (F.col("pos") != F.col("pos0")))
+
+    extended = later(places, "gram", "before", "after").mapInArrow(partial(_extend, size=min_words), "gram long, doc_id long, source long, shift int, first int, last int, whole boolean")
+    spans = stored(extended, "spans")
+    # Windows that don't agree with the earliest place of their gram may stand at another one: those grams' windows are looked up themselves.
+    split = stored(spans.where("not whole").select("gram").distinct(), "split")
+    windows = places.join(split, "gram", "left_semi").select("doc_id", "pos", "before", "after").mapInArrow(partial(_windows, size=min_words), "key long, doc_id long, pos int")
+    found = later(windows, "key").select("doc_id", F.col("doc0").alias("source"), (F.col("pos") - F.col("pos0")).alias("shift"), F.col("pos").alias("first"), (F.col("pos") + min_words).alias("last"))
+    spans = spans.select(found.columns).union(found)
     by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("source", "shift", "first", "last")).alias("places"))
     return stored(by_doc.mapInArrow(partial(_runs, min_words=min_words), "doc_id long, runs array<struct<first:int,last:int>>"), "runs")
 

@@ -45,6 +45,31 @@ def test_whole_table(spark):
     assert sum(got.values()) >= 0.995 * sum(map(len, want.values()))
 
 
+def check_all(spark, docs, n=50):
+    got = {r.doc_id: (r.n_deleted, brute.words(r.text)) for r in delete_repeated(spark.createDataFrame(docs, "doc_id long, text string"), n).collect()}
+    want = brute.repeated_words(docs, n)
+    for doc, old in docs:
+        assert got[doc] == (len(want[doc]), [w for i, w in enumerate(brute.words(old)) if i not in want[doc]]), doc
+
+
+def test_passages_whose_parts_stand_earlier_in_other_documents(spark):
+    rng = random.Random(11)
+    docs = []
+    for i in range(0, 400, 4):  # 36 words of L1 L2 L3 stand in each of the first two documents, all 54 in the others
+        x, y, z = (text(rng, 18) for _ in range(3))
+        own = [(text(rng, rng.randrange(20)), text(rng, rng.randrange(20))) for _ in range(4)]
+        docs += [(i + j, f"{own[j][0]} {body} {own[j][1]}") for j, body in enumerate((f"{x} {y}", f"{y} {z}", f"{x} {y} {z}", f"{x} {y} {z}"))]
+    check_all(spark, docs)
+
+
+def test_chains_of_lines(spark):
+    rng = random.Random(12)
+    lines = [text(rng, rng.randrange(5, 40)) for _ in range(30)]
+    docs = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(2, 12)))) for i in range(120)]
+    check_all(spark, docs)
+    check_all(spark, docs, 70)
+
+
 def test_empty_table(spark):
     assert delete_repeated(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
