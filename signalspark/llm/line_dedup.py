@@ -2,7 +2,8 @@
 
 Web text is wrapped anyhow, and a repeated passage may start within a line, so lines are made by content: a line ends after each word
 whose hash is divisible by 3 or that repeats the word before it, whatever the line feeds.  A gram is ``GRAM_LINES`` consecutive lines.  Each window
-of ``MIN_WORDS`` words chooses, by its own words alone, the gram of least hash that it holds with the line end before it.  So two texts that share a run of ``MIN_WORDS`` words (with at least one gram, that is ``GRAM_LINES`` + 1 line ends) share a fingerprint
+of ``MIN_WORDS`` words chooses, by its own words alone, the gram of least hash that it holds with the line end before it; a window with no such
+gram (few distinct words) chooses the least of its grams of ``PLAIN`` words.  So two texts that share a run of ``MIN_WORDS`` words share a fingerprint
 at the same place of it.
 
 Fingerprints that occur more than once are joined with their earliest position (smallest document id, then position).  Each later
@@ -30,6 +31,8 @@ GRAM_LINES = 3
 #: log2 of the bits of the filter that tells the second pass which fingerprints repeat (a false hit costs a row, nothing else).
 FILTER_BITS = 24
 
+#: Words of a plain gram, for windows without a gram of lines.
+PLAIN = 4
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FINGERPRINT = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
@@ -84,7 +87,8 @@ def _least(h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 def fingerprints(flat: np.ndarray, starts: np.ndarray, size: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First words and hashes of the grams that are chosen in some window of ``size`` words inside one text, and the first words of the first and last such window.
 
-    Each window chooses by its own words alone, so equal windows choose the same place: the gram of lines of least hash.
+    Each window chooses by its own words alone, so equal windows choose the same place: the gram of lines of least hash, or the least of its plain
+    grams of ``PLAIN`` words where it holds no gram of lines.
     """
     first, last, h, known = line_grams(flat, starts)
     # The grams in a window change only where a window loses a gram's line end or gains a gram's last word.
@@ -98,6 +102,22 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray, size: int = MIN_WORDS) ->
     some = hi > lo
     chosen = _least(h, lo[some], hi[some])
     place, value, w0, w1 = first[chosen], h[chosen], at[some], upto[some] - 1
+    at, length = at[~some], (upto - at)[~some]
+    if len(at):
+        bare = np.repeat(at - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))  # windows without a gram of lines
+        n = size - PLAIN + 1
+        step = np.zeros(len(flat) + 1, np.int32)
+        np.add.at(step, bare, 1)
+        np.add.at(step, bare + n, -1)
+        grams = np.flatnonzero(np.cumsum(step))
+        acc = np.zeros(len(grams), U64)
+        for j in range(PLAIN):
+            acc = acc * U64(ODD[3]) + flat[grams + j]
+        acc = mix(acc)
+        lo = np.searchsorted(grams, bare)
+        chosen = _least(acc, lo, lo + n)
+        place, value, w0, w1 = (np.concatenate(x) for x in ((place, grams[chosen]), (value, acc[chosen]), (w0, bare), (w1, bare)))
+    # A place that is chosen in both ways is two fingerprints.
     order = np.lexsort((w0, value, place))
     place, value, w0, w1 = place[order], value[order], w0[order], w1[order]
     new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (value[1:] != value[:-1])))) if len(place) else np.empty(0, np.int64)

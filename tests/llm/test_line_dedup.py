@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from signalspark.llm.line_dedup import delete_repeated, merged
+from signalspark.llm.common import split_words
+from signalspark.llm.line_dedup import delete_repeated, fingerprints, merged
 from tests.llm import brute
 
 
@@ -70,6 +71,30 @@ def test_chains_of_lines(spark):
     check_all(spark, docs, 70)
 
 
+def test_passages_of_few_distinct_words(spark):
+    rng = random.Random(13)
+    docs = []
+    for i in range(0, 240, 3):
+        cycle = text(rng, 2 + i % 7).split()
+        run = " ".join(cycle[j % len(cycle)] for j in range(rng.choice((49, 50, 60))))
+        docs += [(i + j, f"{text(rng, rng.randrange(20))} {run} {text(rng, rng.randrange(20))}") for j in range(3)]
+    check_all(spark, docs)
+
+
+def test_equal_windows_choose_the_same_place():
+    rng = random.Random(14)
+    for i in range(2000):
+        run = text(rng, 50).split() if i % 2 else [f"v{rng.randrange(3 + i % 5)}" for _ in range(50)]
+        if i % 3 == 0:
+            run[0] = "v1"
+        chosen = []
+        for front in ("v1", "w" + str(i)):  # one equal to the first word
+            flat, starts = split_words([f"{front} {' '.join(run)} {text(rng, 9)}".encode()])
+            at, h, w0, w1 = fingerprints(flat, starts)
+            chosen.append({(int(p), int(x)) for p, x, a, b in zip(at, h, w0, w1, strict=True) if a <= 1 <= b})
+        assert chosen[0] & chosen[1]
+
+
 def test_empty_table(spark):
     assert delete_repeated(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
