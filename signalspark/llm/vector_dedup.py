@@ -1,7 +1,9 @@
 """Operator 6: near-duplicate vectors by sorted projection passes.
 
-Equal vectors form a class.  In each pass, classes are ordered by the concatenated signs of random projections, and each is compared with its ``WINDOW``
+Equal vectors form a class.  In each pass, classes are ordered by the concatenated signs of random projections of their unit vectors less the mean of all
+(a common direction would give most of them the same signs), and each is compared with its ``WINDOW``
 successors by exact cosine in double precision.  Vectors at a small angle agree in long prefixes of some pass.
+The number of passes follows from the counted classes and their spread about the mean (``passes_for``), so the expected recall doesn't fall with size.
 The order is a range partitioning, so one value of the key, split by a hash of the vector's id, can be several tasks; the first and last ``WINDOW``
 rows of neighbouring partitions are compared in a second step.
 
@@ -11,6 +13,7 @@ each vector's links: the window bounds the search, not the links reported for wh
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
 
@@ -25,7 +28,8 @@ from signalspark.llm.common import read_table, stored
 from signalspark.llm.components import connected_components
 
 THRESHOLD = 0.95
-PASSES = 12
+#: Least number of passes, and the expected recall at the threshold from which the number for larger tables is derived.
+PASSES, RECALL = 12, 0.92
 KEY_BITS = 40
 WINDOW = 32
 TILE = 1024
@@ -40,20 +44,65 @@ def _planes(number: int, dim: int) -> np.ndarray:
     return np.random.default_rng([97, number, dim]).standard_normal((dim, KEY_BITS))
 
 
-def _keys(batches: Iterable[pa.RecordBatch], passes: int) -> Iterator[pa.RecordBatch]:
+def passes_for(n: int, spread: float, threshold: float, window: int, least: int) -> int:
+    """Passes after which a pair at ``threshold`` among ``n`` vectors has been within the window with probability ``RECALL``.
+
+    ``spread`` is the mean square distance of the unit vectors from their mean.  A pair that agrees in log2(n / window) bits is in the window,
+    if the vectors about the mean have no preferred direction; each bit agrees with probability 1 - angle / pi, the angle seen from the mean.
+    """
+    bits = max(0.0, math.log2(max(n, 1) / window))
+    agree = 1 - math.acos(max(0.0, 1 - (1 - threshold) / max(spread, 1e-9))) / math.pi
+    together = min(agree**bits, 1 - 1e-9)
+    return max(least, math.ceil(math.log(1 - RECALL) / math.log1p(-together)))
+
+
+def _by_dim(vectors: list) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places and unit vectors of each length."""
+    vectors = [np.array(v, np.float64) for v in vectors]
+    dims = np.array([len(v) for v in vectors])
+    for dim in np.unique(dims):
+        of = np.flatnonzero(dims == dim)
+        v = np.stack([vectors[i] for i in of])
+        v /= np.abs(v).max(axis=1, keepdims=True)  # so that squares neither vanish nor overflow
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        yield int(dim), of, v
+
+
+def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number and sum of a task's unit vectors of each length."""
+    total: dict[int, list] = {}
+    for b in batches:
+        for dim, of, v in _by_dim(b.column(0).to_pylist()):
+            t = total.setdefault(dim, [0, np.zeros(dim)])
+            t[0] += len(of)
+            t[1] += v.sum(axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([n for n, _ in total.values()], pa.int64()), pa.array([t.tobytes() for _, t in total.values()], pa.binary())], names=["dim", "n", "total"])
+
+
+def _add_sums(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(t) for t in rows["total"])
+    return pd.DataFrame({"dim": [rows["dim"].iloc[0]], "n": [rows["n"].sum()], "total": [total.tobytes()]})
+
+
+def _plan(classes: DataFrame, threshold: float, window: int, passes: int) -> dict[int, tuple[np.ndarray, int]]:
+    """Mean and number of passes for each length with more vectors than a window holds."""
+    sums = classes.select("embedding").mapInArrow(_sums, "dim int, n long, total binary").groupBy("dim").applyInPandas(_add_sums, "dim int, n long, total binary")
+    out = {}
+    for r in sums.where(F.col("n") > window).collect():
+        mean = np.round(np.frombuffer(bytes(r["total"])) / r["n"], 9)  # the order of the sum doesn't show
+        out[r["dim"]] = mean, passes_for(r["n"], 1 - float(mean @ mean), threshold, window, passes)
+    return out
+
+
+def _keys(batches: Iterable[pa.RecordBatch], passes: int, plan) -> Iterator[pa.RecordBatch]:
     weights = (1 << np.arange(KEY_BITS - 1, -1, -1)).astype(np.int64)
     for b in batches:
         cls, tie = b.column(0).to_numpy(), b.column(1).to_numpy()
-        vectors = [np.array(v, np.float64) for v in b.column(2).to_pylist()]
-        dims = np.array([len(v) for v in vectors])
-        for dim in np.unique(dims):
-            of = np.flatnonzero(dims == dim)
-            v = np.stack([vectors[i] for i in of])
-            v /= np.abs(v).max(axis=1, keepdims=True)  # so that squares neither vanish nor overflow
-            v /= np.linalg.norm(v, axis=1, keepdims=True)
+        for dim, of, v in _by_dim(b.column(2).to_pylist()):
             blobs = [x.tobytes() for x in v]
-            for p in range(passes):
-                key = ((v @ _planes(p, int(dim)) > 0) @ weights) << TIE_BITS | tie[of]
+            mean, number = plan.value.get(dim, (0.0, passes))
+            for p in range(number):
+                key = (((v - mean) @ _planes(p, dim) > 0) @ weights) << TIE_BITS | tie[of]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(of), p, np.int32)), pa.array(np.full(len(of), dim, np.int32)), pa.array(key), pa.array(cls[of]), pa.array(blobs, pa.binary())],
                     names=["pass", "dim", "key", "cls", "unit"],
@@ -135,6 +184,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pas
 
     Vectors that are null, empty or zero, or hold a null or non-finite component, and rows with a null id, link with nothing and are their
     own component.  Vectors of different lengths don't link.  Rows that repeat an id are vectors of their own.  Other columns are ignored.
+    ``passes`` is the least number of passes; larger tables get more.
     """
     rows = stored(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -142,7 +192,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pas
     rows = rows.withColumn("good", good).withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.xxhash64("embedding", F.lit(1)))
     classes = stored(rows.where("good").groupBy("h1", "h2").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "classes")
     tie = F.pmod(F.xxhash64("cls"), F.lit(1 << TIE_BITS)).alias("tie")
-    keyed = stored(classes.select("cls", tie, "embedding").mapInArrow(partial(_keys, passes=passes), SORTED), "keyed")
+    plan = rows.sparkSession.sparkContext.broadcast(_plan(classes, threshold, window, passes))
+    keyed = stored(classes.select("cls", tie, "embedding").mapInArrow(partial(_keys, passes=passes, plan=plan), SORTED), "keyed")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = keyed.repartitionByRange(n, "pass", "dim", "key", "cls").sortWithinPartitions("pass", "dim", "key", "cls")
     found = stored(ordered.mapInArrow(partial(_slide, threshold=threshold, window=window), "a long, b long, edge int, last boolean, pass int, dim int, cls long, unit binary"), "found")

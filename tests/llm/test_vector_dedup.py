@@ -1,8 +1,10 @@
 """Near-duplicate vectors against all pairs."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from signalspark.llm.vector_dedup import near_duplicate_vectors
+from signalspark.llm.vector_dedup import RECALL, near_duplicate_vectors, passes_for
 from tests.llm import brute
 
 
@@ -54,3 +56,32 @@ def test_null_ids_repeated_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, near_duplicate_vectors(df).collect()), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, None)]
     assert near_duplicate_vectors(df.limit(0)).collect() == []
+
+
+def planted(n, pairs, dim, common, seed):
+    """Unit vectors whose mean cosine is about ``common``; row ``n + i`` is at cosine 0.95 to 0.97 of row ``i``."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) * (1 - common) ** 0.5 + np.eye(dim)[0] * common**0.5
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(pairs, dim))
+    side -= (side * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = rng.uniform(0.95, 0.97, (pairs, 1))
+    return np.concatenate([x, x[:pairs] * cos + side * (1 - cos**2) ** 0.5])
+
+
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.7])
+def test_planted_pairs_in_a_large_table_with_a_common_direction(spark, common):
+    n, pairs = 40_000, 1000
+    x = planted(n, pairs, 64, common, 7)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)})).repartition(8)
+    got = {r.vec_id: r.component_id for r in near_duplicate_vectors(df).where("n_links > 0").collect()}
+    assert sum(got.get(n + i, -1) == got.get(i, -2) for i in range(pairs)) >= 0.9 * pairs
+
+
+def test_expected_recall_holds_at_every_size():
+    for n in (10, 10**4, 10**6, 10**8, 10**10):
+        for spread in (1.0, 0.5, 0.3):
+            bits, angle = max(0, np.log2(n / 32)), np.arccos(1 - 0.05 / spread)
+            assert 1 - (1 - (1 - angle / np.pi) ** bits) ** passes_for(n, spread, 0.95, 32, 12) >= RECALL - 1e-9
