@@ -160,11 +160,16 @@ def temperature(logits: np.ndarray, label: np.ndarray) -> float:
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model from ``labelled (doc_id, text, lang)``; None without a labelled text that has a letter."""
+    """A model from ``labelled (doc_id, text, lang)``; None without a labelled text that has a letter.
+
+    The model grows with the number of languages, so more than ``sample`` / 20 of them are refused.
+    """
     spark = labelled.sparkSession
     labelled = labelled.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & has_letter(F.col("text"))).select("doc_id", "lang", F.col("text").cast("string").alias("text"))
     each = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    totals = {r["lang"]: r["n"] for r in each.orderBy(F.desc("n"), "lang").limit(sample // 20).collect()}
+    totals = {r["lang"]: r["n"] for r in each.limit(sample // 20 + 1).collect()}
+    if len(totals) > sample // 20:
+        raise ValueError(f"a sample of {sample} texts is for {sample // 20} languages at most, and lang holds more")
     if not totals:
         return None
     langs, n_docs = sorted(totals), sum(totals.values())
@@ -174,7 +179,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     # A language's documents are taken by a hash of their id, as many as fill its part of the sample on average.
     share = F.create_map(*(x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample / len(langs) / totals[k])))))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    picked = labelled.where(F.col("lang").isin(langs)).where(draw < share[F.col("lang")]).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS * SHARDS)))
+    picked = labelled.where(draw < share[F.col("lang")]).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS * SHARDS)))
     picked = stored(picked, "langid-sample")
     learn = picked.where(F.col("fold") >= SHARDS)
     trained = learn.groupBy((F.col("fold") % SHARDS).alias("shard")).applyInPandas(lambda rows: _train(rows, langs, idf_), "bucket long, w array<double>")

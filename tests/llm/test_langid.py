@@ -1,6 +1,7 @@
 """Language identification: held-out accuracy, features, calibration, odd rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from signalspark.llm.langid import Model, held_out, identify, ngrams, op1_language_id, temperature, train
@@ -37,6 +38,13 @@ def test_odd_rows(spark):
     assert identify(df.limit(0), model).collect() == []
 
 
+def test_no_language_is_left_out(spark):
+    df = spark.createDataFrame([(i, f"text {i} abc", f"l{i % 4}") for i in range(80)], "doc_id long, text string, lang string")
+    assert train(df, sample=80).langs == ["l0", "l1", "l2", "l3"]
+    with pytest.raises(ValueError, match="3 languages at most"):
+        train(df, sample=60)
+
+
 def test_ngrams_stay_in_their_text():
     texts = ["Ab1c", "x", "日本", "😀é"]
     for (h, s), *alone in zip(ngrams(texts), *(ngrams([t]) for t in texts), strict=True):
