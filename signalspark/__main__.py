@@ -5,6 +5,8 @@
     python -m signalspark echo     --topic turbine --checkpoints ck --topic-path topic [--narrow]
     python -m signalspark report   --table table [--show 20]
     python -m signalspark pipeline --csv in --work work
+    python -m signalspark together --csv in --work work [--drain] [--timeout 60]
+    python -m signalspark hourly   --topic turbine --table hours --checkpoints ck --topic-path topic
 
 Streams run until stopped unless ``--available-now`` is given (then they
 process what is there and end).  ``--kafka host:port`` switches the topic
@@ -14,9 +16,11 @@ to Spark's Kafka connector; ``--format delta`` the table to Delta.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Sequence
 
 from signalspark.plans.jobs import FILES_PER_TRIGGER, PAYLOADS, echo_job, ingest_job, produce_job, report_job, run_pipeline
+from signalspark.plans.live import LATENESS, hourly_job, run_together
 from signalspark.schemas import NARROW_SCHEMA
 from signalspark.session import build_session
 from signalspark.streaming.runner import run_stream
@@ -59,6 +63,20 @@ def _parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("report", help="batch reports over the signal table")
     sp.add_argument("--table", required=True)
     sp.add_argument("--show", type=int, default=20)
+    sp.add_argument("--days", nargs="+", type=dt.date.fromisoformat, help="days to report, e.g. 2018-01-31; only their folders are read")
+
+    sp = sub.add_parser("together", help="producer, ingest and echo at once")
+    sp.add_argument("--csv", required=True)
+    sp.add_argument("--work", required=True)
+    sp.add_argument("--payload", default="json", choices=PAYLOADS)
+    sp.add_argument("--trigger", default="1 second")
+    sp.add_argument("--drain", action="store_true", help="end when all three have seen every row")
+    sp.add_argument("--timeout", type=float, help="seconds")
+
+    sp = sub.add_parser("hourly", help="topic -> hourly averages, appended as hours close")
+    sp.add_argument("--table", required=True)
+    sp.add_argument("--lateness", default=LATENESS)
+    topic_args(sp)
 
     sp = sub.add_parser("pipeline", help="produce then ingest everything (availableNow), then report")
     sp.add_argument("--csv", required=True)
@@ -116,7 +134,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     elif args.job == "echo":
         run_stream(echo_job(spark, args.topic, args.checkpoints, schema=NARROW_SCHEMA if args.narrow else None, starting=args.starting, **_backend(args)))
     elif args.job == "report":
-        _show(report_job(spark, args.table, args.format), args.show)
+        _show(report_job(spark, args.table, args.format, days=args.days), args.show)
+    elif args.job == "together":
+        run_together(
+            spark, args.csv, args.work, payload=args.payload, table_format=args.format, processing_time=args.trigger, drain=args.drain, timeout=args.timeout
+        )
+    elif args.job == "hourly":
+        run_stream(hourly_job(spark, args.topic, args.table, args.checkpoints, lateness=args.lateness, **_backend(args)))
     elif args.job == "pipeline":
         table = run_pipeline(spark, args.csv, args.work, payload=args.payload, table_format=args.format)
         _show(report_job(spark, table, args.format), args.show)

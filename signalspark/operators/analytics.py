@@ -7,6 +7,7 @@ a hot day or hour costs one partial row per input partition, not a hot task.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from signalspark.functions.columns import col_
 from signalspark.functions.indicator import generation_indicator
 from signalspark.functions.maps import signal_value
+from signalspark.operators.mapping import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
 from signalspark.schemas import (
     BAND_LABELS,
     BAND_THRESHOLDS,
@@ -24,6 +26,29 @@ from signalspark.schemas import (
 )
 
 
+#: Chosen days: a list (``between`` makes one of a first and a last day), or a table with a column of days.
+Days = Sequence[dt.date] | DataFrame
+
+
+def between(first: dt.date, last: dt.date) -> list[dt.date]:
+    """All days from ``first`` to ``last``."""
+    return [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+
+
+def select_days(df: DataFrame, days: Days, date_col: str = "signal_date") -> DataFrame:
+    """The rows of the chosen days; NULL days are never chosen.
+
+    On a table partitioned by day only those days' folders are read: a list becomes a partition filter, a table of days (its
+    ``date_col``, repeats allowed) is joined, and prunes the folders when the query runs if it is small enough to be broadcast (checked).
+    """
+    if not isinstance(days, DataFrame):
+        return df.where(col_(date_col).isin(list(days)))
+    # The comparison is true for every day; Spark prunes by a joined table only if that is filtered.
+    wanted = days.select(col_(date_col).cast("date").alias("__day")).where(F.col("__day") >= F.lit("0001-01-01").cast("date")).distinct()
+    wanted = F.broadcast(wanted) if fits(wanted, BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES) else wanted.hint("merge")
+    return df.join(wanted, col_(date_col) == F.col("__day"), "left_semi")
+
+
 def datapoints_per_day(
     df: DataFrame,
     by: str = "date",

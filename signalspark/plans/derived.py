@@ -72,6 +72,12 @@ def signal_table(events: DataFrame) -> DataFrame:
     )
 
 
+def signal_columns(events: DataFrame) -> DataFrame:
+    """The rows of ``signal_table`` with a column for each signal: no map is built for what is averaged at once."""
+    values = [f"{sql} AS {quote(k)}" for k, sql in SIGNAL_SQL.items()]
+    return events.selectExpr(f"to_date({_MINUTE_TS}) AS signal_date", f"{_MINUTE_TS} AS signal_ts", *values)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> str:
     """Write ``df`` as CSV files (one per partition) for the file streams to pick up."""
     df.write.mode("errorifexists").option("header", header).option("sep", sep).csv(path)

@@ -19,7 +19,7 @@ from signalspark.functions.codecs import as_text, decode_json, encode_concat, en
 from signalspark.functions.columns import col_
 from signalspark.functions.maps import signal_value
 from signalspark.names import tag
-from signalspark.operators.analytics import add_indicator, datapoints_per_day, hourly_averages
+from signalspark.operators.analytics import Days, add_indicator, datapoints_per_day, hourly_averages, select_days
 from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.signals import normalize_nested, normalize_signals, unpivot_signals
 from signalspark.schemas import DATE_TIME, NESTED_PAYLOAD_DDL, POWER, SIGNAL_KEYS, SIGNAL_TABLE_SCHEMA, TRUNC_AVERAGE_NAMES, TURBINE_SCHEMA
@@ -120,6 +120,33 @@ def decode_messages(
     raise ValueError(f"payload must be one of {PAYLOADS}")
 
 
+def streamed_messages(
+    spark: SparkSession,
+    topic: str | Sequence[str],
+    backend: str = "file",
+    topic_path: str | None = None,
+    bootstrap_servers: str | None = None,
+    starting: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The raw messages of one topic or of several."""
+    raw = None
+    for name in [topic] if isinstance(topic, str) else list(topic):
+        messages = topic_stream(
+            spark,
+            name,
+            backend,
+            topic_path,
+            bootstrap_servers,
+            starting,
+            max_offsets_per_trigger=max_offsets_per_trigger,
+            max_files_per_trigger=max_files_per_trigger,
+        )
+        raw = messages if raw is None else raw.union(messages)
+    return raw
+
+
 def ingest_job(
     spark: SparkSession,
     topic: str | Sequence[str],
@@ -147,19 +174,7 @@ def ingest_job(
     ``signal_date`` where that is a DATE; a text date has a folder for each minute, so it is refused.
     """
     topics = [topic] if isinstance(topic, str) else list(topic)
-    raw = None
-    for name in topics:
-        messages = topic_stream(
-            spark,
-            name,
-            backend,
-            topic_path,
-            bootstrap_servers,
-            starting,
-            max_offsets_per_trigger=max_offsets_per_trigger,
-            max_files_per_trigger=max_files_per_trigger,
-        )
-        raw = messages if raw is None else raw.union(messages)
+    raw = streamed_messages(spark, topics, backend, topic_path, bootstrap_servers, starting, max_offsets_per_trigger, max_files_per_trigger)
     rows = decode_messages(raw, payload, signal_date_type, schema, text_values)
     if partition_by == "auto":
         partition_by = ("signal_date",) if signal_date_type == "date" else None
@@ -206,15 +221,21 @@ def report_job(
     keys: Sequence[str] = SIGNAL_KEYS,
     signal_date_type: str = "date",
     text_values: bool = False,
+    days: Days | None = None,
 ) -> dict[str, DataFrame]:
     """The batch reports over the signal table, as lazy DataFrames.
 
     Each is its own job when acted on; each scan reads only the columns it
     needs.  ``signal_rename`` aggregates first (wide, partial aggregation)
     and only then turns the few hourly rows long and joins the mapping.  The date type and ``text_values`` are
-    those the table was ingested with; the indicator reports need the power among ``keys``.
+    those the table was ingested with; the indicator reports need the power among ``keys``.  ``days`` chooses the days
+    that are reported, and read (see ``select_days``).
     """
     table = read_signals(spark, table_path, table_format, signal_schema(signal_date_type, text_values))
+    if days is not None:
+        if signal_date_type != "date":
+            raise ValueError("days are chosen from a table whose signal_date is a DATE")
+        table = select_days(table, days)
     hourly = hourly_averages(table, "trunc", keys, cast=text_values)
     wide = hourly_averages(table, "trunc", keys, names={k: k for k in keys}, cast=text_values)
     long = unpivot_signals(wide, ["signal_hour"], keys, "sig_name", "average")

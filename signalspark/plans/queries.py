@@ -22,24 +22,28 @@ from signalspark.operators.analytics import add_indicator, datapoints_per_day, h
 from signalspark.operators.mapping import rename_by_mapping
 from signalspark.operators.partitioning import spread_partitions
 from signalspark.operators.signals import normalize_signals, unpack_signals, unpivot_signals
-from signalspark.plans.derived import signal_table, turbine_readings, write_csv
+from signalspark.plans.derived import signal_columns, signal_table, turbine_readings, write_csv
 from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job, run_pipeline
+from signalspark.plans.live import REJECTED_SCHEMA, RENAMED_SCHEMA, hourly_job, kept_reports, rename_job, run_together, sorted_out_job, update_reports
 from signalspark.schemas import (
     DATE_TIME,
+    MAPPING_JSON,
     MAPPING_ROWS,
     NARROW_SCHEMA,
     NESTED_PAYLOAD_DDL,
     POWER,
     SIGNAL_KEYS,
+    SIGNAL_TABLE_SCHEMA,
     TURBINE_SCHEMA,
+    WIND_DIRECTION,
     WINDOW_AVERAGE_NAMES,
 )
 from signalspark.session import scratch_dir
 from signalspark.sources.files import csv_stream, line_stream, read_signals, read_table
-from signalspark.sources.mapping import mapping_pairs
+from signalspark.sources.mapping import mapping_from_json, mapping_pairs
 from signalspark.streaming.options import StreamOptions
-from signalspark.streaming.runner import run_stream
-from signalspark.streaming.sinks import echo_stream
+from signalspark.streaming.runner import Part, run_parts, run_stream
+from signalspark.streaming.sinks import echo_stream, read_batches, write_topic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +71,10 @@ def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal_table(_table(spark, sf_dir, "events"))
 
 
+def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signal_columns(_table(spark, sf_dir, "events"))
+
+
 def _ntz(c: Column | str) -> Column:
     return (col_(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
@@ -98,7 +106,7 @@ def datapoints_per_day_trunc_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hourly_averages(_signals(spark, sf_dir), "trunc")
+    h = hourly_averages(_columns(spark, sf_dir), "trunc", map_col=None)
     return h.withColumn("signal_hour", _ntz("signal_hour"))
 
 
@@ -107,7 +115,7 @@ def hourly_avg_trunc_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_avg_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_window(hourly_averages(_signals(spark, sf_dir), "window"))
+    return _flat_window(hourly_averages(_columns(spark, sf_dir), "window", map_col=None))
 
 
 def _nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +181,7 @@ def mapping_literal_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signal_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = hourly_averages(_signals(spark, sf_dir), "trunc", names={k: k for k in SIGNAL_KEYS})
+    wide = hourly_averages(_columns(spark, sf_dir), "trunc", names={k: k for k in SIGNAL_KEYS}, map_col=None)
     wide = wide.withColumn("signal_hour", _ntz("signal_hour"))
     long = unpivot_signals(wide, ["signal_hour"], SIGNAL_KEYS, "sig_name", "average")
     return rename_by_mapping(
@@ -242,6 +250,17 @@ def csv_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(customer.schema).parquet(f"{work}/out")
 
 
+def csv_plain_ingest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier -> files without a header, parted by semicolons -> file stream with the default trigger, drained."""
+    work = scratch_dir(spark, "csv_plain_ingest")
+    supplier = _table(spark, sf_dir, "supplier")
+    write_csv(_spread(supplier), f"{work}/in", header=False, sep=";")
+    stream = csv_stream(spark, f"{work}/in", schema=supplier.schema, header=False, sep=";", max_files_per_trigger=3)
+    opts = StreamOptions(f"{work}/checkpoints").child("csv-plain-ingest")
+    run_parts([Part("ingest", lambda: echo_stream(stream, opts, sink="parquet", path=f"{work}/out"))])
+    return spark.read.schema(supplier.schema).parquet(f"{work}/out")
+
+
 def line_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> header-less CSV lines -> line stream -> Parquet sink."""
     work = scratch_dir(spark, "line_stream")
@@ -348,7 +367,86 @@ def json_events_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_json(as_text(_messages(encode_json(events, "event_id"))), events.schema)
 
 
+def stream_concurrent_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Producer, ingest and text echo at once until drained: hourly averages of the table, and the messages of each hour in the echo."""
+    work = scratch_dir(spark, "concurrent")
+    _stream_input(spark, sf_dir, work)
+    run_together(spark, f"{work}/csv", work, echo_sink="parquet", echo_path=f"{work}/echo", max_files_per_trigger=3)
+    hours = _flat_window(hourly_averages(read_signals(spark, f"{work}/table"), "window"))
+    echo = spark.read.schema("key STRING, value STRING").parquet(f"{work}/echo")
+    echoed = echo.groupBy(_ntz(F.date_trunc("hour", parse_signal_ts(F.col("key")))).alias("hour_start")).agg(F.count("value").alias("echoed"))
+    return hours.join(echoed, "hour_start", "left")
+
+
+def stream_hourly_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours that a streaming average has closed, in two runs; an hour that the first run leaves open is finished by the second."""
+    work = scratch_dir(spark, "hourly_window")
+    events = _spread(_table(spark, sf_dir, "events"))
+    first, last = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    for k, half in enumerate((F.col("ts") < first + (last - first) / 2, F.col("ts") >= first + (last - first) / 2)):
+        write_csv(turbine_readings(events.where(half)), f"{work}/csv{k}")
+        run_stream(produce_job(spark, f"{work}/csv*", "signals", f"{work}/checkpoints", f"{work}/topic", available_now=True))
+        run_stream(hourly_job(spark, "signals", f"{work}/hours", f"{work}/checkpoints", f"{work}/topic", available_now=True))
+    hours = spark.read.parquet(f"{work}/hours")
+    return hours.select(*(_ntz(c).alias(c) for c in ("hour_start", "hour_end")), *hours.columns[2:])
+
+
+def stream_signal_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a topic as rows for each signal, renamed through a mapping document that is read again for every batch."""
+    work = scratch_dir(spark, "signal_rename")
+    _stream_input(spark, sf_dir, work)
+    spark.createDataFrame([(MAPPING_JSON,)], "value STRING").coalesce(1).write.text(f"{work}/mapping")
+    run_stream(produce_job(spark, f"{work}/csv", "signals", f"{work}/checkpoints", f"{work}/topic", available_now=True))
+    mapping = lambda: mapping_from_json(spark, path=f"{work}/mapping")
+    run_stream(rename_job(spark, "signals", f"{work}/renamed", f"{work}/checkpoints", mapping, f"{work}/topic", max_files_per_trigger=4, available_now=True))
+    out = read_batches(spark, f"{work}/renamed", RENAMED_SCHEMA)
+    return out.withColumn("signal_ts", _ntz("signal_ts"))
+
+
+def stream_quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic in which the messages of some wind directions are cut short: what was stored, and what was rejected."""
+    work = scratch_dir(spark, "quarantine")
+    _stream_input(spark, sf_dir, work)
+    direction = F.get_json_object("value", f"$['{WIND_DIRECTION}']").cast("double")
+    cut = F.when(direction % 7 == 0, F.expr("substr(value, 1, length(value) - 1 - length(value) div 3)")).otherwise(F.col("value"))
+    messages = encode_json(csv_stream(spark, f"{work}/csv"), DATE_TIME).select("key", cut.alias("value"))
+    run_stream(write_topic(messages, "signals", StreamOptions(f"{work}/checkpoints", available_now=True).child("cut"), path=f"{work}/topic"))
+    run_stream(sorted_out_job(spark, "signals", f"{work}/table", f"{work}/rejected", f"{work}/checkpoints", f"{work}/topic", max_files_per_trigger=3, available_now=True))
+    stored = read_batches(spark, f"{work}/table", SIGNAL_TABLE_SCHEMA).select(_ntz("signal_ts").alias("signal_ts"), signal_value(POWER).alias("active_power"), F.lit(False).alias("rejected"))
+    rejected = read_batches(spark, f"{work}/rejected", REJECTED_SCHEMA)
+    return stored.union(rejected.select(_ntz(parse_signal_ts(F.col("key"))), F.lit(None).cast("double"), F.lit(True)))
+
+
+def report_days_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly averages of every third day, chosen by a table of days."""
+    work = scratch_dir(spark, "report_days")
+    _stream_input(spark, sf_dir, work)
+    table = run_pipeline(spark, f"{work}/csv", work)
+    events = _table(spark, sf_dir, "events")
+    days = events.select(F.to_date("ts").alias("signal_date")).where(F.dayofmonth("signal_date") % 3 == 0)
+    return _flat_window(report_job(spark, table, days=days)["hourly_window"])
+
+
+def report_kept_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly averages and times of each day, kept up to date over two ingests."""
+    work = scratch_dir(spark, "report_kept")
+    events = _spread(_table(spark, sf_dir, "events"))
+    for k in (0, 1):
+        write_csv(turbine_readings(events.where(F.col("event_id") % 2 == k)), f"{work}/csv{k}")
+        table = run_pipeline(spark, f"{work}/csv*", work)
+        run_stream(update_reports(spark, table, f"{work}/kept", f"{work}/checkpoints"))
+    reports = kept_reports(spark, f"{work}/kept")
+    hours = reports["hourly_trunc"].withColumn("signal_date", F.to_date("signal_hour")).withColumn("signal_hour", _ntz("signal_hour"))
+    return hours.join(reports["datapoints_per_day"], "signal_date")
+
+
 QUERIES: dict[str, Query] = {
+    "stream_concurrent": stream_concurrent_q,
+    "stream_hourly_window": stream_hourly_window_q,
+    "stream_signal_rename": stream_signal_rename_q,
+    "stream_quarantine": stream_quarantine_q,
+    "report_days": report_days_q,
+    "report_kept": report_kept_q,
     "stream_two_topics": stream_two_topics_q,
     "stream_text_echo": stream_text_echo_q,
     "report_string_date": report_string_date_q,
@@ -377,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "nested_decode": nested_decode_q,
     "parse_signal_ts": parse_signal_ts_q,
     "csv_ingest": csv_ingest_q,
+    "csv_plain_ingest": csv_plain_ingest_q,
     "line_stream": line_stream_q,
     "stream_end_to_end": stream_end_to_end_q,
     "stream_nested_ingest": stream_nested_ingest_q,
@@ -451,6 +550,20 @@ FROM sig WHERE signal_ts IS NOT NULL GROUP BY 1, 2"""
 _DATAPOINTS = "SELECT signal_date, count(DISTINCT signal_ts) AS datapoints_per_day FROM sig GROUP BY signal_date"
 
 ORACLES: dict[str, str] = {
+    "stream_concurrent": _SIG
+    + f"SELECT w.*, e.echoed FROM ({_WINDOW}) w LEFT JOIN (SELECT date_trunc('hour', signal_ts) AS hour_start, count(*) AS echoed FROM sig GROUP BY 1) e USING (hour_start)",
+    "stream_hourly_window": _SIG + f"SELECT * FROM ({_WINDOW}) WHERE hour_end <= (SELECT max(signal_ts) - INTERVAL 1 HOUR FROM sig)",
+    "stream_signal_rename": _SIG
+    + ", "
+    + _LONG
+    + ", "
+    + _MAPPING_JSON
+    + "SELECT l.signal_ts, l.sig_name, l.sig_value, m.sig_mapping_name "
+    "FROM long l LEFT JOIN (SELECT DISTINCT * FROM mapping) m ON l.sig_name = m.sig_name",
+    "stream_quarantine": _SIG + "SELECT signal_ts, CASE WHEN d % 7 <> 0 THEN p END AS active_power, d % 7 = 0 AS rejected FROM sig",
+    "report_days": _SIG + f"SELECT * FROM ({_WINDOW}) WHERE day(hour_start) % 3 = 0",
+    "report_kept": _HOURLY
+    + f"SELECT h.*, d.* FROM hourly h JOIN ({_DATAPOINTS}) d ON CAST(h.signal_hour AS DATE) = d.signal_date",
     "datapoints_per_day": _SIG + _DATAPOINTS,
     "datapoints_per_day_trunc": _SIG
     + "SELECT CAST(date_trunc('day', signal_ts) AS TIMESTAMP) AS date, "
@@ -525,6 +638,7 @@ FROM m""",
     + _READINGS
     + """ SELECT "Date/Time", strptime("Date/Time", '%d %m %Y %H:%M') AS signal_ts FROM readings""",
     "csv_ingest": "SELECT * FROM customer",
+    "csv_plain_ingest": "SELECT * FROM supplier",
     "line_stream": "SELECT CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',' || CAST(n_regionkey AS VARCHAR) "
     "AS value FROM nation",
     "stream_end_to_end": _SIG + _WINDOW,
@@ -554,8 +668,7 @@ FROM readings GROUP BY 1""",
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings -> hourly averages -> indicator -> signals renamed through the mapping."""
-    sig = _signals(spark, sf_dir)
-    wide = hourly_averages(sig, "trunc", names={k: k for k in SIGNAL_KEYS})
+    wide = hourly_averages(_columns(spark, sf_dir), "trunc", names={k: k for k in SIGNAL_KEYS}, map_col=None)
     wide = wide.select(
         _ntz("signal_hour").alias("signal_hour"),
         generation_indicator(col_(POWER)).alias("generation_indicator"),

@@ -25,6 +25,19 @@ def test_cli_pipeline(spark, tmp_path, capsys):
     assert "wind_speed_average" in capsys.readouterr().out
 
 
+def test_cli_together_and_hourly(spark, tmp_path, capsys):
+    write_text(tmp_path / "csv", "T1.csv", EDGE_CSV)
+    work = str(tmp_path / "w")
+    assert main(["together", "--csv", str(tmp_path / "csv"), "--work", work, "--drain", "--timeout", "300"]) == 0
+    assert read_signals(spark, f"{work}/table").count() == 5
+    topic = ["--topic", "signals", "--checkpoints", f"{work}/checkpoints", "--topic-path", f"{work}/topic", "--available-now"]
+    assert main(["hourly", "--table", f"{work}/hours", *topic]) == 0
+    assert [r.average_LV_ActivePower for r in spark.read.parquet(f"{work}/hours").collect()] == [240.02]
+    assert main(["report", "--table", f"{work}/table", "--days", "2018-12-31"]) == 0
+    out = capsys.readouterr().out
+    assert "2018-12-31" in out and "2018-01-01" not in out
+
+
 def test_cli_defaults():
     topic = ["--topic", "t", "--checkpoints", "ck"]
     assert _parser().parse_args(["produce", "--csv", "in", *topic]).max_files_per_trigger == FILES_PER_TRIGGER

@@ -1,0 +1,253 @@
+"""Queries that run at once, streaming hours, renaming, rejected messages and reports kept up to date."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job, run_pipeline
+from signalspark.plans.live import (
+    REJECTED_SCHEMA,
+    RENAMED_SCHEMA,
+    hourly_job,
+    kept_reports,
+    late_rows,
+    open_hours,
+    rename_job,
+    run_together,
+    sorted_out_job,
+    update_reports,
+)
+from signalspark.schemas import DATE_TIME, MAPPING_JSON, POWER, SIGNAL_KEYS, SIGNAL_TABLE_SCHEMA
+from signalspark.sources import csv_stream, mapping_from_json, mapping_pairs, read_signals
+from signalspark.streaming import Part, StreamOptions, echo_stream, read_batches, run_parts, run_stream, write_batches, write_topic
+from signalspark.streaming.runner import upstream_first
+from tests.fixtures import EDGE_CSV, write_text
+
+HEADER = EDGE_CSV.splitlines()[0]
+
+
+def readings(work, name, *rows):
+    """A CSV file of (time, power) rows."""
+    write_text(Path(work, "csv"), name, "\n".join([HEADER, *(f"{t},{p},1,1,1" for t, p in rows)]) + "\n")
+
+
+def produce(spark, work):
+    run_stream(produce_job(spark, f"{work}/csv", "t", f"{work}/ck", f"{work}/topic", available_now=True))
+
+
+# ------------------------------------------------------------ queries at once
+def test_producer_ingest_and_echo_at_once(spark, work):
+    for k in range(6):
+        write_text(Path(work, "csv"), f"T{k}.csv", EDGE_CSV)
+    for count in (30, 35):  # the second run goes on where the first stopped
+        queries = run_together(spark, f"{work}/csv", work, echo_sink="parquet", echo_path=f"{work}/echo", max_files_per_trigger=1, processing_time=None, timeout=300)
+        assert list(queries) == ["echo", "ingest", "produce"] and not any(q.isActive for q in queries.values())
+        assert read_signals(spark, f"{work}/table").count() == count
+        assert spark.read.parquet(f"{work}/echo").where("value like '{%'").count() == count
+        write_text(Path(work, "csv"), "T9.csv", EDGE_CSV)
+
+
+def test_a_failing_echo_stops_the_others(spark, work):
+    write_text(Path(work, "csv"), "T1.csv", EDGE_CSV)
+    started = []
+
+    def failing():
+        bad = spark.readStream.schema("key BINARY, value BINARY").parquet(f"{work}/topic/t").selectExpr("raise_error('no echo') AS value")
+        return echo_stream(bad, StreamOptions(f"{work}/ck-echo", query_name="no_echo"), sink="memory")
+
+    def noted(start):
+        started.append(start())
+        return started[-1]
+
+    Path(work, "topic/t").mkdir(parents=True)
+    parts = [
+        Part("produce", lambda: noted(lambda: produce_job(spark, f"{work}/csv", "t", f"{work}/ck", f"{work}/topic")), ("ingest", "echo")),
+        Part("ingest", lambda: noted(lambda: ingest_job(spark, "t", f"{work}/table", f"{work}/ck", f"{work}/topic"))),
+        Part("echo", lambda: noted(failing)),
+    ]
+    with pytest.raises(Exception, match="no echo") as err:
+        run_parts(parts, timeout=300)
+    assert "'echo' failed" in err.value.__notes__[0]
+    assert len(started) == 3 and not any(q.isActive for q in started)
+
+
+def test_a_start_that_fails_and_time_that_runs_out(spark, work):
+    endless = lambda name: lambda: echo_stream(spark.readStream.format("rate").load(), StreamOptions(f"{work}/{name}", query_name=name), sink="memory")
+
+    def refused():
+        raise RuntimeError("not today")
+
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(RuntimeError, match="not today"):
+        run_parts([Part("first", refused, ("second",)), Part("second", endless("e1"))])
+    queries = run_parts([Part("only", endless("e2"))], drain=False, timeout=2)
+    assert not queries["only"].isActive
+    assert {q.id for q in spark.streams.active} == before
+
+
+def test_order_of_parts():
+    part = lambda name, *feeds: Part(name, lambda: None, feeds)
+    assert [p.name for p in upstream_first([part("c"), part("b", "c"), part("a", "b", "c")])] == ["a", "b", "c"]
+    for parts in ([part("a"), part("a")], [part("a", "x")], [part("a", "b"), part("b", "a")]):
+        with pytest.raises(ValueError):
+            upstream_first(parts)
+
+
+# --------------------------------------------------------------- hourly windows
+def hours(spark, work):
+    rows = spark.read.parquet(f"{work}/hours").collect() if any(Path(work, "hours").glob("*.parquet")) else []
+    return {r.hour_start.strftime("%d %H"): r.average_LV_ActivePower for r in rows}
+
+
+def test_hours_close_late_rows_are_counted_and_state_survives(spark, work):
+    def run():
+        produce(spark, work)
+        q = hourly_job(spark, "t", f"{work}/hours", f"{work}/ck", f"{work}/topic", lateness="30 minutes", available_now=True)
+        run_stream(q)
+        return q
+
+    readings(work, "a.csv", ("01 01 2018 00:10", 10), ("01 01 2018 00:20", 30), ("01 01 2018 01:00", 5), ("bad", 9))
+    q = run()
+    assert hours(spark, work) == {} and open_hours(q) == 2 and late_rows(q) == 0
+    # 00:50 comes late, but its hour is still open; 01:40 closes it.
+    readings(work, "b.csv", ("01 01 2018 00:50", 80), ("01 01 2018 01:40", ""))
+    q = run()
+    assert hours(spark, work) == {"01 00": 40.0} and open_hours(q) == 1
+    # Now it is too late for hour 0.
+    readings(work, "c.csv", ("01 01 2018 00:55", 999), ("01 01 2018 02:40", 1))
+    q = run()
+    assert hours(spark, work) == {"01 00": 40.0, "01 01": 5.0} and late_rows(q) == 1 and open_hours(q) == 1
+    q = run()  # nothing new: nothing changes
+    assert hours(spark, work) == {"01 00": 40.0, "01 01": 5.0}
+
+
+# --------------------------------------------------------------------- renaming
+def test_a_mapping_that_is_rewritten_between_batches(spark, work):
+    def names(power_name):
+        pairs = [(k, power_name if k == POWER else n) for k, n in mapping_pairs()]
+        spark.createDataFrame(pairs[:-1], "sig_name STRING, sig_mapping_name STRING").write.mode("overwrite").parquet(f"{work}/mapping")
+
+    def run():
+        produce(spark, work)
+        mapping = lambda: spark.read.parquet(f"{work}/mapping")
+        run_stream(rename_job(spark, "t", f"{work}/renamed", f"{work}/ck", mapping, f"{work}/topic", available_now=True))
+        rows = read_batches(spark, f"{work}/renamed", RENAMED_SCHEMA).collect()
+        return sorted((r.sig_value, r.sig_mapping_name) for r in rows if r.sig_name == POWER), [r.sig_mapping_name for r in rows if r.sig_name == SIGNAL_KEYS[-1]]
+
+    names("old")
+    readings(work, "a.csv", ("01 01 2018 00:10", 1))
+    assert run() == ([(1.0, "old")], [None])
+    names("new")
+    readings(work, "b.csv", ("01 01 2018 00:20", 2))
+    assert run() == ([(1.0, "old"), (2.0, "new")], [None, None])
+    assert run() == ([(1.0, "old"), (2.0, "new")], [None, None])
+
+
+def test_a_mapping_that_changes_while_the_query_runs(spark, work):
+    current = [[(POWER, "one")]]
+    mapping = lambda: spark.createDataFrame(current[0], "sig_name STRING, sig_mapping_name STRING")
+    Path(work, "csv").mkdir()
+    parts = []
+    try:
+        for k, name in enumerate(("one", "two")):
+            current[0] = [(POWER, name)]
+            readings(work, f"{k}.csv", ("01 01 2018 00:10", k))
+            if not parts:
+                parts.append(produce_job(spark, f"{work}/csv", "t", f"{work}/ck", f"{work}/topic"))
+                parts.append(rename_job(spark, "t", f"{work}/renamed", f"{work}/ck", mapping, f"{work}/topic"))
+            for q in parts:
+                q.processAllAvailable()
+    finally:
+        for q in parts:
+            q.stop()
+    rows = read_batches(spark, f"{work}/renamed", RENAMED_SCHEMA).where(F.col("sig_name") == POWER).collect()
+    assert sorted((r.sig_value, r.sig_mapping_name) for r in rows) == [(0.0, "one"), (1.0, "two")]
+
+
+def test_mapping_documents(spark, work):
+    write_text(Path(work, "m"), "a.json", MAPPING_JSON)
+    assert sorted(map(tuple, mapping_from_json(spark, path=f"{work}/m").collect())) == sorted(mapping_pairs())
+    write_text(Path(work, "m"), "b.json", '[{"sig_name": "x", "sig_mapping')
+    with pytest.raises(ValueError, match=r"b\.json"):
+        mapping_from_json(spark, path=f"{work}/m")
+    write_text(Path(work, "n"), "c.json", json.dumps([{"sig_name": "x", "other": 2}, {"sig_mapping_name": "y"}, {"sig_name": "x"}], indent=2))
+    assert Counter(map(tuple, mapping_from_json(spark, path=f"{work}/n").collect())) == {("x", None): 2, (None, "y"): 1}
+
+
+# -------------------------------------------------------------------- rejected
+def test_messages_that_do_not_decode(spark, work):
+    good = json.dumps({DATE_TIME: "01 01 2018 00:10", POWER: 7.5})
+    bad = [good[:-9], "", None, "[1]x", "plain", json.dumps({POWER: "many"})]
+    for k, v in enumerate([good, good, *bad]):
+        spark.createDataFrame([("01 01 2018 00:10", v)], "key STRING, value STRING").write.parquet(f"{work}/in/{k}")
+    stream = lambda: spark.readStream.schema("key STRING, value STRING").parquet(f"{work}/in/*")
+    run_stream(write_topic(stream(), "t", StreamOptions(f"{work}/ck-in", available_now=True), path=f"{work}/topic"))
+    for _ in range(2):  # a second run adds nothing
+        run_stream(sorted_out_job(spark, "t", f"{work}/table", f"{work}/bad", f"{work}/ck", f"{work}/topic", max_files_per_trigger=3, available_now=True))
+        table = read_batches(spark, f"{work}/table", SIGNAL_TABLE_SCHEMA)
+        assert [r.signals[POWER] for r in table.collect()] == [7.5, 7.5]
+        rejected = read_batches(spark, f"{work}/bad", REJECTED_SCHEMA).collect()
+        assert sorted((r.value or "", r.reason) for r in rejected) == sorted((v or "", "not the JSON that was asked for" if v else "no value") for v in bad)
+    assert list(Path(work, "table").glob("batch_id=*/signal_date=2018-01-01"))
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, work):
+    write_text(Path(work, "csv"), "a.csv", EDGE_CSV)
+    opts = StreamOptions(f"{work}/ck", available_now=True)
+    outputs = lambda: {f"{work}/all": lambda b: b, f"{work}/some": lambda b: b.where(F.col(POWER) > 100)}
+    run_stream(write_batches(csv_stream(spark, f"{work}/csv"), opts, outputs()))
+    schema = csv_stream(spark, f"{work}/csv").schema
+    Path(work, "ck/commits/0").unlink()  # as if the program had ended before the batch was noted
+    Path(work, "ck/commits/.0.crc").unlink(missing_ok=True)
+    run_stream(write_batches(csv_stream(spark, f"{work}/csv"), opts, outputs()))
+    assert read_batches(spark, f"{work}/all", schema).count() == 5
+    assert read_batches(spark, f"{work}/some", schema).count() == 2
+    with pytest.raises(ValueError, match="is the sink of the query"):
+        write_batches(csv_stream(spark, f"{work}/csv"), StreamOptions(f"{work}/ck2", available_now=True), outputs())
+
+
+# ---------------------------------------------------------------- kept reports
+def test_kept_reports_equal_full_ones_and_read_new_files_only(spark, work):
+    lines = [f"{d:02} 01 2018 {m // 60:02}:{m % 60:02}" for d in (1, 2) for m in range(0, 600, 7)]
+    for k in range(2):
+        # Some times and hours come again in the second ingest.
+        readings(work, f"{k}.csv", *[(t, i % 5 or "") for i, t in enumerate(lines) if i % 3 != k], ("bad", k))
+        table = run_pipeline(spark, f"{work}/csv", work)
+        q = update_reports(spark, table, f"{work}/kept", f"{work}/ck")
+        run_stream(q)
+        kept, full = kept_reports(spark, f"{work}/kept"), report_job(spark, table)
+        for name in ("datapoints_per_day", "hourly_trunc"):
+            assert sorted(map(tuple, kept[name].collect()), key=repr) == sorted(map(tuple, full[name].collect()), key=repr)
+        read = sum(p["numInputRows"] for p in q.recentProgress)
+        assert read == sum(i % 3 != k for i in range(len(lines))) + 1
+
+
+def test_reports_of_chosen_days(spark, work):
+    readings(work, "a.csv", *[(f"{d:02} 01 2018 0{h}:00", d) for d in range(1, 9) for h in range(3)], ("bad", 1))
+    table = run_pipeline(spark, f"{work}/csv", work)
+    days = [dt.date(2018, 1, 2), dt.date(2018, 1, 5), dt.date(2019, 1, 1)]
+    chosen = spark.createDataFrame([(d,) for d in [*days, days[0], None]], "signal_date DATE")
+    for choice in (days, chosen):
+        reports = report_job(spark, table, days=choice)
+        assert {str(r.signal_date): r.datapoints_per_day for r in reports["datapoints_per_day"].collect()} == {"2018-01-02": 3, "2018-01-05": 3}
+        assert sorted(r.avg_LV_ActivePower for r in reports["hourly_trunc"].collect()) == [2.0] * 3 + [5.0] * 3
+    assert report_job(spark, table, days=[])["datapoints_per_day"].collect() == []
+    text = report_job(spark, table, days=days)["hourly_trunc"]._jdf.queryExecution().toString()
+    assert "PartitionFilters: [signal_date#" in text and "IN (2018-01-02" in text
+    text = report_job(spark, table, days=chosen)["hourly_trunc"]._jdf.queryExecution().toString()
+    assert "dynamicpruning" in text.split("== Physical Plan ==")[1]
+    with pytest.raises(ValueError, match="is a DATE"):
+        report_job(spark, table, signal_date_type="string", days=days)
+
+
+def test_echo_of_a_live_topic_needs_no_table(spark, work):
+    readings(work, "a.csv", ("01 01 2018 00:10", 1))
+    produce(spark, work)
+    run_stream(echo_job(spark, "t", f"{work}/ck", f"{work}/topic", sink="memory", query_name="live_echo", available_now=True))
+    assert spark.table("live_echo").count() == 1

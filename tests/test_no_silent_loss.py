@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import time
 from pathlib import Path
@@ -10,9 +11,9 @@ import pytest
 from pyspark.sql import types as T
 
 from signalspark.functions.codecs import decode_json, encode_json
-from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job
+from signalspark.plans.jobs import echo_job, ingest_job, produce_job, report_job, run_pipeline
 from signalspark.schemas import NARROW_SCHEMA, POWER
-from signalspark.sources import csv_stream, read_table
+from signalspark.sources import csv_stream, read_signals, read_table
 from signalspark.streaming import StreamOptions, echo_stream, run_stream, run_streams
 from tests.fixtures import EDGE_CSV
 from tests.test_streaming import write_text
@@ -120,3 +121,52 @@ def test_json_keeps_microseconds(spark):
     assert decode_json(encode_json(df), df.schema, keep=()).first() == df.first()
     plain = spark.sql("""SELECT '{"a":"2024-01-02T03:04:07Z","b":"2024-01-02T03:04:07"}' AS value""")
     assert all(decode_json(plain, df.schema, keep=()).first())
+
+
+def test_a_fresh_checkpoint_on_an_old_table_is_refused(spark, work):
+    write_text(Path(work, "in"), "a.csv", EDGE_CSV)
+    run_pipeline(spark, f"{work}/in", f"{work}/w")
+    os.rename(f"{work}/w/checkpoints", f"{work}/w/moved")
+    write_text(Path(work, "in"), "b.csv", EDGE_CSV)
+    with pytest.raises(ValueError, match="fresh one"):
+        run_pipeline(spark, f"{work}/in", f"{work}/w")
+    os.rename(f"{work}/w/checkpoints", f"{work}/w/unused") if os.path.exists(f"{work}/w/checkpoints") else None
+    os.rename(f"{work}/w/moved", f"{work}/w/checkpoints")
+    assert read_signals(spark, run_pipeline(spark, f"{work}/in", f"{work}/w")).count() == 10
+
+
+def test_one_checkpoint_by_any_path_and_a_half_written_name(spark, work, monkeypatch):
+    write_text(Path(work, "in"), "a.csv", EDGE_CSV)
+    relative = os.path.relpath(f"{work}/ck", os.getcwd())
+    for k, checkpoint in enumerate((f"{work}/ck", f"file:{work}/ck", relative, f"{work}/ck")):
+        if k == 3:  # the program ended between making the file and writing into it
+            Path(work, "out/_owner").write_text("")
+            Path(work, "out/._owner.crc").unlink(missing_ok=True)
+        run_stream(echo_stream(csv_stream(spark, f"{work}/in"), StreamOptions(checkpoint, available_now=True), sink="parquet", path=f"{work}/out"))
+        assert spark.read.parquet(f"{work}/out").count() == 5 * (k + 1)
+        assert Path(work, "out/_owner").read_text() == json.loads(Path(work, "ck/metadata").read_text())["id"]
+        write_text(Path(work, "in"), f"b{k}.csv", EDGE_CSV)
+    # Without a readable name, a checkpoint that is behind the folder can't be its own.
+    Path(work, "out/_owner").unlink()
+    for checkpoint in ("ck-new", "ck-short"):
+        if checkpoint == "ck-short":
+            run_stream(echo_stream(csv_stream(spark, f"{work}/in"), StreamOptions(f"{work}/{checkpoint}", available_now=True), sink="parquet", path=f"{work}/elsewhere"))
+        with pytest.raises(ValueError, match="batches of another query"):
+            echo_stream(csv_stream(spark, f"{work}/in"), StreamOptions(f"{work}/{checkpoint}", available_now=True), sink="parquet", path=f"{work}/out")
+
+
+def test_archived_files_are_read_once_and_late_ones_too(spark, work):
+    def rows():
+        stream = csv_stream(spark, f"{work}/in", max_file_age="400d", archive_dir=f"{work}/archive")
+        run_stream(echo_stream(stream, StreamOptions(f"{work}/ck", available_now=True), sink="parquet", path=f"{work}/out"))
+        return spark.read.parquet(f"{work}/out").count()
+
+    for k in range(3):
+        write_text(Path(work, "in"), f"T{k}.csv", EDGE_CSV)
+        late = time.time() - 40 * k * 86400
+        os.utime(f"{work}/in/T{k}.csv", (late, late))
+        assert rows() == 5 * (k + 1)
+    # A batch's files are moved when a later one is planned.
+    assert {f.name for f in Path(work, "archive").rglob("*.csv")} >= {"T0.csv", "T1.csv"}
+    assert {f.name for f in Path(work, "in").glob("*.csv")} <= {"T2.csv"}
+    assert rows() == 15

@@ -12,7 +12,7 @@ from signalspark.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 # Queries that run streams (and so jobs) while being built.
-STREAMING = {"csv_ingest", "line_stream", "stream_end_to_end", "stream_nested_ingest", "stream_narrow_echo"}
+STREAMING = {"stream_concurrent", "stream_hourly_window", "stream_signal_rename", "stream_quarantine", "report_days", "report_kept", "csv_plain_ingest", "csv_ingest", "line_stream", "stream_end_to_end", "stream_nested_ingest", "stream_narrow_echo"}
 
 
 def plan_text(df) -> str:
@@ -32,6 +32,10 @@ def test_hourly_average_is_one_shuffle_of_partial_rows(spark):
     assert text.count("HashAggregate") >= 2  # partial + final
 
 
+def test_hourly_average_of_derived_rows_builds_no_map(spark):
+    assert "map(" not in plan_text(QUERIES["hourly_avg_trunc"](spark, SF_SMALL)).split("FileScan")[0]
+
+
 def test_day_counts_read_only_the_timestamp(spark):
     text = plan_text(QUERIES["datapoints_per_day"](spark, SF_SMALL))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in text
