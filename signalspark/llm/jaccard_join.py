@@ -1,16 +1,17 @@
 """Operator 3: Jaccard self-join of documents on word shingles through a token-group matrix.
 
 1. Documents with equal shingle sets form a class (two 64-bit sums over the set, and its size); one of each class goes on.
-2. *Groups.*  Classes that share a minimum hash are compared with the leaders of their group; those that reach the
-   threshold join the leader.  Three rounds with other hashes, in which only leaders go on.  Groups are split by a hash
-   of the document into cells of at most ``CELL`` expected members, so a hot group is many tasks.  Any partition into groups
-   gives right results; similar documents in one group make the matrix small.
+2. *Groups.*  Classes that share one of three minimum hashes are compared by the minima of ``BINS`` bins of their hashes, 64 bytes for a class: each takes
+   the two leaders that it seems to be most similar to.  Cells of one minimum hash are split by a hash of the document into parts of
+   at most ``CELL`` expected members, so a hot one is many tasks.  The pairs are verified exactly, and what is linked is a group.  Any
+   partition into groups gives right results; similar documents in one group make the matrix small.
 3. *Matrix.*  All tokens have one global order, rarest first by a count sketch over all documents.  With t = threshold, a set
    of n tokens keeps its first n - ceil(t n) + 3 tokens.  Two sets that reach t share at least 3 of these (the one
    whose kept tokens end first has at most ceil(t n) - 3 common tokens beyond them, and at least ceil(t n) are common).
    The matrix holds, for each token and group, the sizes of the group's sets that keep the token: the union of its members.
-4. *Bound.*  A set's kept tokens are looked up; a group that shares fewer than 3 with it can't hold a partner.
-5. *Open.*  The leader of a qualifying group is compared exactly with the set; where the two are still apart
+4. *Bound.*  A set's kept tokens are looked up.  A group that shares fewer of them than a partner of its members' sizes must (``least_hits``: at least 3, and
+   more the closer the sizes are) can't hold a partner.
+5. *Open.*  The document that a qualifying group is named by is compared exactly with the set; where the two are still apart
    after that, all its members whose size is possible are.
 6. Verified links between groups, contracted to groups, give the components.
 
@@ -23,9 +24,8 @@ from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalspark.llm.common import ODD, U64, as_long, chunks, count_rows, gram_hashes, join_ids, mix, read_table, split_words, stored, sum_counts
@@ -39,7 +39,14 @@ CELL = 256
 NEED = 3
 ROUNDS = 3
 
-PASS1 = "doc_id long, n long, s1 long, s2 long, m0 long, m1 long, m2 long, part int, counts binary"
+#: Bins of the minima by which the similarity of two sets is guessed, and how far under the threshold a guess may be.
+BINS, DOUBT = 32, 0.15
+#: Value of a bin without a hash.
+EMPTY = (1 << 16) - 1
+_BIN_STARTS = np.arange(BINS, dtype=U64) << U64(64 - (BINS - 1).bit_length())
+
+PASS1 = "doc_id long, n long, s1 long, s2 long, m0 long, m1 long, m2 long, minima binary, part int, counts binary"
+PASS2 = "doc_id long, n long, kept array<long>, tokens binary"
 
 
 def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -58,7 +65,7 @@ def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
 
 def _first_pass(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << SKETCH_BITS, np.int64)
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n", "s1", "s2", "m0", "m1", "m2")), ("part", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n", "s1", "s2", "m0", "m1", "m2")), ("minima", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
     for batch, texts in chunks(batches):
         rows = np.zeros((len(texts), 6), np.int64)
         sets = list(shingle_sets(texts, k))
@@ -68,10 +75,11 @@ def _first_pass(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.Record
                 rows[i] = as_long(np.array([len(x), x.sum(), other.sum(), (x * U64(ODD[0])).min(), (x * U64(ODD[1])).min(), (x * U64(ODD[4])).min()], U64))
         total += np.bincount((np.concatenate(sets) & U64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
         none = pa.nulls(len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(rows[:, j]) for j in range(6)), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+        minima = pa.array([bin_minima(x).tobytes() for x in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(rows[:, j]) for j in range(6)), minima, none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
     if total.any():
         part, counts = count_rows(total)
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), pa.int64()) for _ in range(7)), part, counts], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), pa.int64()) for _ in range(7)), pa.nulls(len(part), pa.binary()), part, counts], schema=schema)
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -83,6 +91,20 @@ def required(n, num: int, den: int):
     return -(-n * num // den)
 
 
+def least_hits(n: str, n_min: str, n_max: str, num: int, den: int) -> Column:
+    """Kept tokens that a set of ``n`` must share with one of ``n_min`` to ``n_max`` tokens (columns) to reach num / den with it.
+
+    Sets of n and m that reach t = num / den have ceil(t (n + m) / (1 + t)) tokens in common.  At most ceil(t n) - NEED of these are not among the kept
+    tokens of the set whose kept tokens end first (or the same with m); the others are kept by both.  The number grows with m up to n and falls
+    from there, so that of a range is that at one of its possible ends, there without the roundings.
+    """
+    size = F.col(n)
+    lo, hi = F.greatest(F.col(n_min), F.ceil(size * num / den)), F.least(F.col(n_max), F.floor(size * den / num))
+    exact = F.ceil((size + lo) * num / (num + den)) - F.greatest(F.ceil(F.greatest(size, lo) * num / den) - NEED, F.lit(0))
+    rough = lambda m: (size + m) * num / (num + den) - F.greatest(F.greatest(size, m) * num / den + 1 - NEED, F.lit(0))
+    return F.when(lo == hi, exact).otherwise(F.least(rough(lo), rough(hi)))
+
+
 def _second_pass(batches: Iterable[pa.RecordBatch], k: int, num: int, den: int, sketch) -> Iterator[pa.RecordBatch]:
     """Kept tokens of each set, and the whole set where it is marked."""
     counts = sketch.value
@@ -116,19 +138,52 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return both * den >= (len(x) + len(y) - both) * num
 
 
-def _cluster(rows: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Star clusters of one cell: each member that reaches a leader's threshold joins the first such leader."""
-    rows = rows.sort_values("doc_id")
-    leaders: list[tuple[int, np.ndarray]] = []
-    out = []
-    for doc, blob in zip(rows["doc_id"], rows["tokens"], strict=True):
-        x = np.frombuffer(blob, U64)
-        to = next((d for d, y in leaders if linked(x, y, num, den)), None)
-        if to is None:
-            leaders.append((doc, x))
-        else:
-            out.append((doc, to))
-    return pd.DataFrame(out, columns=["doc_id", "leader"]).astype("int64")
+def bin_minima(x: np.ndarray) -> np.ndarray:
+    """The least hash of a set in each of ``BINS`` bins (16 bits of it; ``EMPTY`` where there is none): sets share about as many as they are similar."""
+    y = np.sort(mix(x))
+    at = np.searchsorted(y, _BIN_STARTS)
+    has = np.diff(np.append(at, len(y))) > 0
+    out = np.full(BINS, EMPTY, np.uint16)
+    out[has] = (y[at[has]] >> U64(32)).astype(np.uint16) & np.uint16(EMPTY - 1)
+    return out
+
+
+def _stars(docs: np.ndarray, minima: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+    """Star clusters of one cell by bin minima: each member is paired with the two leaders that it seems most similar to; without one it leads."""
+    leaders: list[int] = []
+    for i, x in enumerate(minima):
+        y = minima[leaders]
+        filled = (y != EMPTY) | (x != EMPTY)
+        alike = ((y == x) & filled).sum(axis=1) / np.maximum(filled.sum(axis=1), 1)
+        best = [j for j in np.argsort(-alike, kind="stable")[:2] if alike[j] >= least]
+        yield from ((docs[i], docs[leaders[j]]) for j in best)
+        if not best:
+            leaders.append(i)
+
+
+def _cell_stars(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Star clusters of the cells, whose rows come one after another."""
+
+    def clusters(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        cell, docs = (table.column(c).to_numpy() for c in ("cell", "doc_id"))
+        minima = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint16).reshape(len(docs), BINS)
+        edges = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
+        pairs = [p for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1 for p in _stars(docs[a:b], minima[a:b], least)]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column(0).to_numpy()
+        cut = int(np.append(np.flatnonzero(cell != cell[-1]), -1).max()) + 1  # where the batch's last cell begins
+        if cut or (held and held[-1].column(0)[held[-1].num_rows - 1].as_py() != cell[0]):
+            yield clusters([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield clusters(held)
 
 
 def _verify(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -138,77 +193,72 @@ def _verify(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[p
         yield pa.RecordBatch.from_pydict({n: [v for v, good in zip(c[n], ok, strict=True) if good] for n in ("a", "b")}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
-def _groups(classes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``(doc_id, gid)`` for classes that joined a leader; gid is the leader that took no leader itself."""
-    spark = classes.sparkSession
-    left = classes.select("doc_id", "m0", "m1", "m2")
-    moved = spark.createDataFrame([], "doc_id long, gid long")
-    for r in range(ROUNDS):
-        sizes = stored(left.groupBy(f"m{r}").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-        cells = left.join(sizes, f"m{r}").select("doc_id", F.col(f"m{r}").alias("m"), F.pmod(F.xxhash64("doc_id", F.lit(r)), F.ceil(F.col("size") / CELL)).alias("cell"))
-        joined = stored(
-            cells.join(sets, "doc_id").groupBy("m", "cell").applyInPandas(partial(_cluster, num=num, den=den), "doc_id long, leader long"),
-            "joined",
-        )
-        moved = stored(
-            moved.join(joined.toDF("gid", "leader"), "gid", "left").select("doc_id", F.coalesce("leader", "gid").alias("gid")).union(joined),
-            "moved",
-        )
-        left = left.join(joined.select("doc_id"), "doc_id", "left_anti")
-    return moved
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The documents in pairs ``(a, b)``."""
+    return pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
+
+
+def _likely_pairs(open_: DataFrame, seen: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a document and a leader that seem to reach the threshold, from the cells of each minimum hash."""
+    each = open_.select("doc_id", F.explode(F.array(*(F.struct(F.lit(r).alias("r"), F.col(f"m{r}").alias("m")) for r in range(ROUNDS)))).alias("h")).select("doc_id", "h.*")
+    shared = stored(each.groupBy("r", "m").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    cells = each.join(shared, ["r", "m"]).select("doc_id", F.xxhash64("r", "m", F.pmod(F.xxhash64("doc_id", "r"), F.ceil(F.col("size") / CELL))).alias("cell"))
+    members = join_ids(seen.select("doc_id", "minima"), stored(cells, "cells"), "doc_id", "inner").select("cell", "doc_id", "minima")
+    pairs = members.repartition("cell").sortWithinPartitions("cell", "doc_id").mapInArrow(partial(_cell_stars, least=num / den - DOUBT), "a long, b long")
+    return stored(pairs.where("a <> b").distinct(), "likely")
 
 
 def similar_documents(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Components of the documents whose shingle sets have a Jaccard similarity of at least num / den (over 1 / 2).
 
-    ``docs``: ``doc_id`` (integer, unique) and ``text``; more columns are ignored.  Words are runs of bytes other than space
+    ``docs``: ``doc_id`` (integer) and ``text``; more columns are ignored.  Words are runs of bytes other than space
     and x09-x0D with A-Z lower-cased; a set holds the distinct shingles of k words of the whole text, or the whole sequence
     as one where there are fewer words.  Null, empty and blank texts have the empty set and link with nothing.  Rows
-    with a null ``doc_id`` are left out.  Returns ``doc_id, n_shingles, component_id`` for each document.
+    with a null ``doc_id`` are left out; one that is repeated with other texts is one document that links wherever one of its texts does.  Returns ``doc_id, n_shingles, component_id`` for each document.
     """
     spark = docs.sparkSession
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     first = stored(docs.mapInArrow(partial(_first_pass, k=k), PASS1), "first")
     seen = first.where("doc_id is not null").drop("part", "counts")
     classes = stored(
-        seen.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *(F.min(f"m{r}").alias(f"m{r}") for r in range(ROUNDS))),
+        seen.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), *(F.min(f"m{r}").alias(f"m{r}") for r in range(ROUNDS))),
         "classes",
     )
     # Sets that differ and reach t = num / den share at least t / (1 - t) tokens.
     open_ = classes.where(F.col("n") >= max(NEED, required(num, 1, den - num)))
-    each = open_.select("doc_id", F.explode(F.array(*(F.struct(F.lit(r).alias("r"), F.col(f"m{r}").alias("m")) for r in range(ROUNDS)))).alias("h")).select("doc_id", "h.*")
-    shared = stored(each.groupBy("r", "m").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("r", "m"), "shared")
-    grouped = stored(each.join(shared, ["r", "m"]).select("doc_id").distinct(), "grouped")
-    gone = seen.select("doc_id").join(open_.select("doc_id"), "doc_id", "left_anti")
-    marks = stored(grouped.withColumn("whole", F.lit(True)).union(gone.withColumn("whole", F.lit(None).cast("boolean")).withColumn("whole", F.lit(False))), "marks")
+    likely = _likely_pairs(open_, seen, num, den)
+    wanted = stored(_ends(likely).withColumn("whole", F.lit(True)), "wanted")
+    gone = stored(seen.select("doc_id").join(open_.select("doc_id"), "doc_id", "left_anti").distinct(), "gone")
     sketch = spark.sparkContext.broadcast(_sketch(first))
-    # A marked document is compared whole; an unmarked one has no partner by minimum hash; copies and tiny sets are left out.
-    texts = join_ids(docs, marks.withColumn("marked", F.lit(True)), "doc_id", "left").where("marked is null or whole").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"))
-    sets = stored(texts.mapInArrow(partial(_second_pass, k=k, num=num, den=den, sketch=sketch), "doc_id long, n long, kept array<long>, tokens binary"), "sets")
+    second = partial(_second_pass, k=k, num=num, den=den, sketch=sketch)
+    texts = join_ids(docs, wanted, "doc_id", "left")
+    sets = stored(join_ids(texts.mapInArrow(second, PASS2), gone, "doc_id", "left_anti"), "sets")  # copies and tiny sets have no links of their own
     whole = sets.where("tokens is not null").select("doc_id", "tokens")
-    moved = _groups(open_, whole, num, den)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold; whole sets are rebuilt from the texts of those that aren't at hand."""
+        lacking = stored(_ends(pairs).join(wanted, "doc_id", "left_anti"), "lacking")
+        more = join_ids(docs, lacking, "doc_id", "inner").withColumn("whole", F.lit(True)).mapInArrow(second, PASS2).select("doc_id", "tokens")
+        both = whole.union(stored(more, "more"))
+        return pairs.join(both.toDF("a", "ta"), "a").join(both.toDF("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
+
+    links = stored(verified(likely).distinct(), "links")
+    moved = stored(connected_components(links).toDF("doc_id", "gid"), "moved")
     kept = join_ids(sets.select("doc_id", "n", "kept"), moved, "doc_id", "left").select("doc_id", "n", F.coalesce("gid", "doc_id").alias("gid"), F.explode("kept").alias("token"))
     several = stored(kept.groupBy("token").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi")).where("lo <> hi").select("token"), "several")
     kept = stored(kept.join(several, "token"), "kept")
     matrix = kept.groupBy("token", "gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max")).toDF("token", "group", "n_min", "n_max")
     fits = (F.col("n") * den >= F.col("n_min") * num) & (F.col("n_max") * den >= F.col("n") * num)
-    opened = kept.join(matrix, "token").where((F.col("gid") > F.col("group")) & fits).groupBy("doc_id", "n", "group").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= NEED)
+    opened = kept.join(matrix, "token").where((F.col("gid") > F.col("group")) & fits).groupBy("doc_id", "n", "group")
+    opened = opened.agg(F.count(F.lit(1)).alias("hits"), F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max")).where(F.col("hits") >= least_hits("n", "n_min", "n_max", num, den))
     opened = stored(opened.select(F.col("doc_id").alias("a"), "n", "group"), "opened")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold; whole sets are rebuilt from the texts of those not grouped."""
-        lacking = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(grouped, "doc_id", "left_anti"), "lacking")
-        more = join_ids(docs, lacking, "doc_id", "inner").withColumn("whole", F.lit(True))
-        more = more.mapInArrow(partial(_second_pass, k=k, num=num, den=den, sketch=sketch), "doc_id long, n long, kept array<long>, tokens binary").select("doc_id", "tokens")
-        both = whole.union(stored(more, "more"))
-        return pairs.join(both.toDF("a", "ta"), "a").join(both.toDF("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(partial(_verify, num=num, den=den), "a long, b long")
-
-    # A group's leader is tried first.  All members of a group are linked, so one link settles the group, and only
+    # The document that a group is named by is tried first.  A group is connected, so one link settles it, and only
     # groups still apart from the set are compared member by member.
-    links = stored(moved.toDF("a", "b").union(verified(stored(opened.select("a", F.col("group").alias("b")), "leaders"))), "links")
+    links = stored(links.union(verified(stored(opened.select("a", F.col("group").alias("b")), "leaders"))), "links")
     near = stored(connected_components(links), "near")
     apart = opened.join(near.toDF("a", "ca"), "a", "left").join(near.toDF("group", "cg"), "group", "left").where(F.coalesce("ca", "a") != F.coalesce("cg", "group")).select("a", "n", "group")
-    members = open_.select("doc_id", "n").join(moved, "doc_id").select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("gid").alias("group"))
+    members = open_.select("doc_id", "n").join(moved, "doc_id").where("doc_id <> gid").select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("gid").alias("group"))
     pairs = apart.join(members, "group").where((F.col("n") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("n") * num)).select("a", "b")
     links = stored(links.union(verified(stored(pairs, "pairs"))), "links")
     labels = connected_components(links).toDF("doc_id", "component_id")

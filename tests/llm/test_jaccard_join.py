@@ -3,7 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from signalspark.llm import jaccard_join
+from signalspark.llm.common import stored
 from signalspark.llm.components import connected_components
 from signalspark.llm.jaccard_join import similar_documents
 from tests.llm import brute
@@ -38,6 +41,55 @@ def test_whole_table_equal_to_all_pairs(spark):
     assert got == brute.jaccard_components([(r.doc_id, r.text) for r in docs.collect()], 3, 90, 100)
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(5, base), (5, other), (7, base + " x"), (9, other + " y"), (11, "words of its own"), (11, None), (11, "")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == {(5, 38, 5), (7, 39, 5), (9, 39, 5), (11, 2, 11), (11, 0, 11)}
+
+
+def test_near_copies_under_the_threshold_open_few_pairs(spark, monkeypatch):
+    opened = []
+
+    def watched(df, name):
+        out = stored(df, name)
+        opened.append((name, out.count())) if name in ("leaders", "pairs", "likely") else None
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", watched)
+    rng = random.Random(4)
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [(i, edited(rng, base, 3)) for i in range(400)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == brute.jaccard_components(rows, 3, 90, 100)
+    assert sum(n for _, n in opened) <= 10 * len(rows)
+
+
+@pytest.mark.parametrize("size", [30, 100, 333])
+def test_least_hits_lose_no_link(spark, size):
+    """Sets at the threshold share as many kept tokens as is asked for, whatever the order of tokens."""
+    rng = random.Random(size)
+    rows, keep = [], lambda n: n - jaccard_join.required(n, 90, 100) + jaccard_join.NEED
+    for _ in range(300):
+        n = rng.randrange(jaccard_join.required(size, 90, 100), size * 100 // 90 + 1)
+        both = next(b for b in range(min(size, n), 0, -1) if b * 100 < (size + n - b) * 90) + 1
+        if both > min(size, n):
+            continue
+        order = list(range(size + n - both))
+        rng.shuffle(order)
+        a, b = set(order[:size]), set(order[size - both :])
+        if rng.random() < 0.5:  # all that differs first
+            rank = {x: (x in a and x in b, rng.random()) for x in order}
+        else:
+            rank = {x: rng.random() for x in order}
+        hits = len(set(sorted(a, key=rank.get)[: keep(size)]) & set(sorted(b, key=rank.get)[: keep(n)]))
+        rows.append((size, n, max(1, n - rng.randrange(3)), n + rng.randrange(3), hits))
+    df = spark.createDataFrame(rows, "n long, m long, lo long, hi long, hits int")
+    need = [jaccard_join.least_hits("n", *ends, 90, 100) for ends in (("m", "m"), ("lo", "hi"))]
+    assert len(rows) > 100 and df.where((F.col("hits") < need[0]) | (F.col("hits") < need[1])).count() == 0
+
+
 def test_empty_table(spark):
     assert similar_documents(spark.createDataFrame([], "doc_id long, text string"), 3, 90, 100).collect() == []
 
