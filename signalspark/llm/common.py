@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,17 +49,20 @@ def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str, max_rows: int =
 
 
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of Arrow batches holding about ``limit`` bytes of text at most (one row at least), null as b''."""
+    """Slices of Arrow batches holding about ``limit`` bytes of text at most (one row at least), null as b''.
+
+    A batch is cut before its texts become Python objects, so a task holds the objects of one slice at a time.
+    """
     for batch in batches:
-        values = [v or b"" for v in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        start, size = 0, 0
-        for i, v in enumerate(values):
-            if size and size + len(v) > limit:
-                yield batch.slice(start, i - start), values[start:i]
-                start, size = i, 0
-            size += len(v)
-        if values:
-            yield batch.slice(start), values[start:]
+        column = batch.column(batch.schema.get_field_index(text))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            upto = (ends[start - 1] if start else 0) + limit
+            stop = max(start + 1, int(np.searchsorted(ends, upto, side="right")))
+            part = column.slice(start, stop - start)
+            yield batch.slice(start, stop - start), [v or b"" for v in part.to_pylist()]
+            start = stop
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,25 +73,35 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-#: Random factor of each place in a word; longer words are hashed by themselves.
-_FACTORS = np.random.default_rng(20).integers(0, 2**64, 4096, dtype=U64) | U64(1)
+#: Bytes as they are compared: A-Z lower-cased, white space as one kind.
+_COMPARED = bytes(32 if _SPACE[c] else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: The first n bytes of a little-endian number of 8.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+#: Bytes of the longest word that is hashed 8 at a time beside others; longer ones are hashed by themselves.
+LONG_WORD = 64
 
 
-def _hash_block(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of some bytes, and where they start."""
-    word = ~_SPACE[raw]
-    edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
-    begin, size = edge[::2], edge[1::2] - edge[::2]
-    if not len(begin):
-        return np.empty(0, U64), begin
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(first, size)
-    h = np.add.reduceat((_LOWER[raw[word]].astype(U64) + U64(1)) * _FACTORS[place & 4095], first)
-    for i in np.flatnonzero(size > len(_FACTORS)):
-        h[i] = xxhash.xxh3_64_intdigest(_LOWER[raw[begin[i] : begin[i] + size[i]]].tobytes())
-    return mix(h + size.astype(U64) * U64(ODD[4])), begin
+    text = block.translate(_COMPARED) + b" " * 8
+    raw = np.frombuffer(text, np.uint8)
+    word = raw != 32
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        edge = np.append(0, edge)
+    begin = edge[::2]
+    size = edge[1::2] - begin
+    eights = np.ndarray((len(raw) - 7,), "<u8", text, strides=(1,))
+    h = mix((eights[begin] & _FIRST_BYTES[np.minimum(size, 8)]) + size.astype(U64) * U64(ODD[4]))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(more):
+        part = eights[begin[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)]
+        h[more] = mix((h[more] ^ part) * U64(ODD[3]) + U64(done))
+        done += 8
+        more = more[size[more] > done]
+    for i in np.flatnonzero(size > LONG_WORD):
+        h[i] = xxhash.xxh3_64_intdigest(text[begin[i] : begin[i] + size[i]])
+    return h, begin
 
 
 def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +109,8 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     A word is a run of bytes other than space and x09-x0D; A-Z are lower-cased.
     """
-    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    joined = b"\n".join(texts)
+    raw = np.frombuffer(joined, np.uint8)
     hashes, begins, at = [], [], 0
     while at < len(raw):
         end = at + BLOCK_BYTES
@@ -105,7 +120,7 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
                 end += int(gaps[0])
                 break
             end += BLOCK_BYTES
-        h, begin = _hash_block(raw[at:end])
+        h, begin = _hash_block(joined[at:end])
         hashes.append(h)
         begins.append(begin + at)
         at = end

@@ -20,7 +20,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from signalspark.llm.common import U64, chunks, count_rows, read_table, stored, sum_counts
 
@@ -36,6 +35,9 @@ SCALE = 10.0
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 #: Bytes of text that are looked up at a time.
 PREDICT_BYTES = 1 << 20
+#: Share of the documents that a common n-gram's bucket is in, the n-grams below which a text is too short to tell, and how far under
+#: the least share of common ones among the calibration texts a text of a learned language may be.
+COMMON, FEW_NGRAMS, SLACK = 0.001, 60, 0.9
 UNKNOWN = "und"
 
 
@@ -72,16 +74,20 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray  #: languages x buckets
     temperature: float = 1.0
+    common: np.ndarray | None = None  #: whether a bucket is in many documents that were learned from
+    least_cover: float = 0.0  #: least share of common n-grams of a text in a learned language
 
-    def logits(self, texts: list[str]) -> np.ndarray:
-        """Texts x languages."""
+    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts x languages, and the share of each text's longest n-grams that are common (1 where there are few)."""
         table = (self.weights * self.idf * SCALE).astype(np.float32)
         out, size = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         for h, starts in ngrams(texts):
-            size += np.diff(starts)
+            n = np.diff(starts)
+            size += n
             for k in range(len(self.langs)):
                 out[:, k] += np.add.reduceat(table[k][h], starts[:-1], dtype=np.float64)
-        return out / size[:, None]
+            cover = np.where(n < FEW_NGRAMS, 1.0, np.add.reduceat(self.common[h], starts[:-1], dtype=np.float64) / n)
+        return out / size[:, None], cover
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -141,7 +147,8 @@ def _train(rows: pd.DataFrame, langs: list[str], idf) -> pd.DataFrame:
 def _sample_logits(batches: Iterable[pd.DataFrame], model) -> Iterator[pd.DataFrame]:
     for rows in batches:
         if len(rows):
-            yield pd.DataFrame({"lang": rows["lang"], "logits": list(model.value.logits(list(rows["text"])))})
+            logits, cover = model.value.logits(list(rows["text"]))
+            yield pd.DataFrame({"lang": rows["lang"], "logits": list(logits), "cover": cover})
 
 
 def temperature(logits: np.ndarray, label: np.ndarray) -> float:
@@ -186,10 +193,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     weights = np.zeros((BUCKETS, len(langs)))
     for r in trained.select("bucket", F.posexplode("w").alias("k", "w")).groupBy("bucket", "k").agg(F.sum("w").alias("w")).collect():  # BUCKETS rows for a language at most
         weights[r["bucket"], r["k"]] = r["w"] / SHARDS
-    model = Model(langs, idf, np.ascontiguousarray(weights.T))
+    model = Model(langs, idf, np.ascontiguousarray(weights.T), common=df >= max(2, COMMON * n_docs))
     model_ = spark.sparkContext.broadcast(model)
-    kept = picked.where(F.col("fold") < SHARDS).mapInPandas(partial(_sample_logits, model=model_), "lang string, logits array<double>").collect()
+    kept = picked.where(F.col("fold") < SHARDS).mapInPandas(partial(_sample_logits, model=model_), "lang string, logits array<double>, cover double").collect()
     if kept:
+        model.least_cover = SLACK * min(r["cover"] for r in kept)
         model.temperature = temperature(np.array([r["logits"] for r in kept]), np.array([langs.index(r["lang"]) for r in kept]))
     return model
 
@@ -203,33 +211,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _predict(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    m = model.value
-    for batch, texts in chunks(batches, limit=PREDICT_BYTES):
-        known = np.array(batch.column(batch.schema.get_field_index("known")).to_pylist(), bool)
-        lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-        if known.any() and m is not None:
-            p = m.probabilities(m.logits([t.decode("utf-8", "replace") for t, k in zip(texts, known, strict=True) if k]))
-            lang[known], score[known] = np.array(m.langs, object)[p.argmax(axis=1)], p.max(axis=1)
-        drop = batch.schema.get_field_index("known")
-        cols = [(n, batch.column(i)) for i, n in enumerate(batch.schema.names) if i != drop]
-        yield pa.RecordBatch.from_arrays([*(c for _, c in cols), pa.array(lang, pa.string()), pa.array(score)], names=[*(n for n, _ in cols), "lang_pred", "score"])
+PREDICTION = "struct<lang_pred:string,score:double,known:boolean>"
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All rows and columns of ``docs`` with ``lang_pred`` and ``score`` (columns of these names are replaced).
+def prediction(text: Column, model: Model | None, spark: SparkSession) -> Column:
+    """``lang_pred``, ``score`` and whether the text is of a ``known`` language: not if it has no letter, or too few common n-grams.
 
-    ``score`` is the calibrated probability of ``lang_pred``.  A null text, one without a letter, or any text when nothing could be
-    learned gets ``und`` and score 0.  Only the text is looked at.
+    The bound for these comes from the calibration fold: ``SLACK`` of the least share that a labelled text has there, whatever the number of languages.
+    Only texts with a letter go to Python.
     """
-    rows = docs.drop("lang_pred", "score", "known").withColumn("known", has_letter(F.col("text")))
-    model_ = docs.sparkSession.sparkContext.broadcast(model)
-    schema = rows.drop("known").schema.add("lang_pred", "string").add("score", "double")
-    return rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(partial(_predict, model=model_), _binary_text(schema)).withColumn("text", F.col("text").cast("string"))
+    model_ = spark.sparkContext.broadcast(model)
+
+    def predict(texts: pa.Array) -> pa.Array:
+        m, parts = model_.value, []
+        for batch, some in chunks([pa.RecordBatch.from_arrays([texts.cast(pa.binary())], names=["text"])], limit=PREDICT_BYTES):
+            here = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            lang, score, known = np.full(len(some), UNKNOWN, object), np.zeros(len(some)), here.copy()
+            if here.any() and m is not None:
+                logits, cover = m.logits([t.decode("utf-8", "replace") for t, k in zip(some, here, strict=True) if k])
+                p = m.probabilities(logits)
+                lang[here], score[here], known[here] = np.array(m.langs, object)[p.argmax(axis=1)], p.max(axis=1), cover >= m.least_cover
+            parts.append(pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score), pa.array(known)], names=["lang_pred", "score", "known"]))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("known", pa.bool_())]))
+
+    return F.arrow_udf(predict, PREDICTION)(F.when(has_letter(text), text.cast("string")))
 
 
-def _binary_text(schema):
-    return StructType([StructField(f.name, BinaryType()) if f.name == "text" else f for f in schema])
+def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+    """All rows and columns of ``docs`` with ``lang_pred`` and ``score`` (columns of these names are replaced).
+
+    ``score`` is the calibrated probability of ``lang_pred``, and of two equal ones the first language in order is it.  A null text, one without a
+    letter, or any text when nothing could be learned gets ``und`` and score 0.  Only the text is looked at; rows that repeat an id or a text are
+    rows like any other.
+    """
+    rows = docs.drop("lang_pred", "score").withColumn("__language", prediction(F.col("text"), model, docs.sparkSession))
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")), "__language.lang_pred", "__language.score")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

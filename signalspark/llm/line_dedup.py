@@ -7,10 +7,10 @@ gram (few distinct words) chooses the least of its grams of ``PLAIN`` words.  So
 at the same place of it.
 
 Fingerprints that occur more than once are joined with their earliest position (smallest document id, then position).  Each later
-one is extended word by word both ways, over the windows that chose it; the extensions of one document, source and shift join up to the whole run.
-Where some later place of a fingerprint doesn't agree in all its windows with the earliest place, the windows of all places of that fingerprint are hashed whole
-and looked up by that hash, so that each finds its own earliest place.  Runs of ``MIN_WORDS`` words or more are deleted from the
-later place.  The earliest place stays.
+one is extended word by word both ways, over the windows that chose it; what agrees for ``MIN_WORDS`` words or more is deleted, and the spans join up to
+the whole run.  Windows of a later place that don't agree with the earliest one may be equal to each other: they are hashed whole and looked up by that
+hash, and all but the first place of each go.  (A place that agrees wholly with the earliest has no other windows than that one.)  So a word is
+deleted if, and only if, some window of ``MIN_WORDS`` words that holds it stands at an earlier place too.
 """
 
 from __future__ import annotations
@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import BROADCAST_IDS, ODD, U64, as_long, chunks, mix, read_table, split_words, stored
+from signalspark.llm.common import BROADCAST_IDS, CHUNK_BYTES, ODD, U64, as_long, chunks, mix, read_table, split_words, stored
 
 MIN_WORDS = 50
 GRAM_LINES = 3
-#: log2 of the bits of the filter that tells the second pass which fingerprints repeat (a false hit costs a row, nothing else).
-FILTER_BITS = 24
+#: Bits for each repeated fingerprint in the filter that tells the second pass which ones repeat, and log2 of its least and greatest
+#: number of bits (8 MB).  A false hit costs a row, nothing else.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 26
 
 #: Words of a plain gram, for windows without a gram of lines.
 PLAIN = 4
@@ -93,7 +94,8 @@ def fingerprints(flat: np.ndarray, starts: np.ndarray, size: int = MIN_WORDS) ->
     first, last, h, known = line_grams(flat, starts)
     # The grams in a window change only where a window loses a gram's line end or gains a gram's last word.
     at = np.concatenate((starts[:-1], known + 1, last - size + 1))
-    at = np.unique(at[(at >= 0) & (at < starts[-1])])
+    at = np.sort(at[(at >= 0) & (at < starts[-1])])
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
     end = starts[np.searchsorted(starts, at, side="right")] - size + 1 if len(at) else at
     upto = np.minimum(np.append(at[1:], starts[-1]), end)  # windows from at to upto - 1 hold the same grams
     at, upto = at[at < upto], upto[at < upto]
@@ -135,11 +137,11 @@ def _first_pass(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Rec
 
 def _second_pass(batches: Iterable[pa.RecordBatch], repeats, size: int) -> Iterator[pa.RecordBatch]:
     """Places of the fingerprints that the filter knows, with 16 bits of each word of the windows that chose them."""
-    bits = repeats.value
+    bits, mask = repeats.value, U64(8 * len(repeats.value) - 1)
     for batch, texts in chunks(batches):
         flat, starts = split_words(texts)
         at, h, w0, w1 = fingerprints(flat, starts, size)
-        low = (h & U64((1 << FILTER_BITS) - 1)).astype(np.int64)
+        low = (h & mask).astype(np.int64)
         known = (bits[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
         at, h, w0, w1 = at[known], h[known], w0[known], w1[known]
         text = np.searchsorted(starts, at, side="right") - 1
@@ -164,40 +166,42 @@ def _agree(x: list[bytes], y: list[bytes], backwards: bool, size: int) -> np.nda
     return np.minimum(n, [min(len(a), len(b)) // 2 for a, b in zip(x, y, strict=True)])
 
 
+FOUND = "doc_id long, first int, last int, key long"
+
+
 def _extend(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Spans that agree with the earliest place; ``whole`` where all windows of the place do."""
+    """Spans of ``size`` words or more that agree with the earliest place; of the windows that don't, the hashes and the first words."""
     for b in batches:
         if not b.num_rows:
             continue
         col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-        pos = col["pos"].to_numpy().astype(np.int32)
+        docs, pos = col["doc_id"].to_numpy(), col["pos"].to_numpy().astype(np.int64)
         before, after = col["before"].to_pylist(), col["after"].to_pylist()
         left = _agree(before, col["before0"].to_pylist(), True, size)
         right = _agree(after, col["after0"].to_pylist(), False, size)
-        whole = [2 * m == len(x) and 2 * n == len(y) for m, x, n, y in zip(left.tolist(), before, right.tolist(), after, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [col["gram"], col["doc_id"], col["doc0"], pa.array(pos - col["pos0"].to_numpy().astype(np.int32)), pa.array((pos - left).astype(np.int32)), pa.array((pos + right).astype(np.int32)), pa.array(whole, pa.bool_())],
-            names=["gram", "doc_id", "source", "shift", "first", "last", "whole"],
-        )
-
-
-def _windows(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Hash and first word of each window that chose the place."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        before, after = b.column(2).to_pylist(), b.column(3).to_pylist()
-        words = mix(np.frombuffer(b"".join(x for pair in zip(before, after, strict=True) for x in pair), "<u2").astype(U64) + U64(ODD[4]))
-        left, length = (np.array([len(x) for x in v]) // 2 for v in (before, [x + y for x, y in zip(before, after, strict=True)]))
-        n = length - size + 1
-        row = np.repeat(np.arange(len(n)), n)
-        off = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(np.cumsum(length) - length, n) + off
-        acc = np.zeros(len(at), U64)
-        for j in range(size):
-            acc = acc * U64(ODD[2]) + words[at + j]
-        pos = b.column(1).to_numpy()[row] - left[row] + off
-        yield pa.RecordBatch.from_arrays([pa.array(as_long(mix(acc))), b.column(0).take(pa.array(row)), pa.array(pos.astype(np.int32))], names=["key", "doc_id", "pos"])
+        n_before, n_after = (np.array([len(x) for x in v]) // 2 for v in (before, after))
+        long = left + right >= size
+        yield _found(docs[long], (pos - left)[long], (pos + right)[long], None)
+        part = np.flatnonzero((left < n_before) | (right < n_after))
+        if len(part):
+            words = mix(np.frombuffer(b"".join(x for i in part for x in (before[i], after[i])), "<u2").astype(U64) + U64(ODD[4]))
+            length = (n_before + n_after)[part]
+            n = length - size + 1
+            row = np.repeat(np.arange(len(n)), n)
+            off = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            agreed = (off >= (n_before - left)[part][row]) & (off + size <= (n_before + right)[part][row])
+            row, off = row[~agreed], off[~agreed]
+            at = (np.cumsum(length) - length)[row] + off
+            acc = np.zeros(len(at), U64)
+            for j in range(size):
+                acc = acc * U64(ODD[2]) + words[at + j]
+            first = (pos - n_before)[part][row] + off
+            yield _found(docs[part][row], first, first + size, as_long(mix(acc)))
+
+
+def _found(docs: np.ndarray, first: np.ndarray, last: np.ndarray, key: np.ndarray | None) -> pa.RecordBatch:
+    keys = pa.nulls(len(docs), pa.int64()) if key is None else pa.array(key)
+    return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), keys], names=["doc_id", "first", "last", "key"])
 
 
 def merged(group: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,18 +215,12 @@ def merged(group: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.n
     return base[at] >> 32, begin[at] - base[at], end[stop] - base[at]
 
 
-def _runs(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         places = b.column(1)
         flat = places.flatten()
-        source, shift, first, last = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("source", "shift", "first", "last"))
-        doc = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy())
-        _, group = np.unique(np.stack([doc, source, shift.astype(np.int64)]), axis=1, return_inverse=True)
-        of_group = np.zeros(int(group.max(initial=-1)) + 1, np.int64)
-        of_group[group] = doc
-        group, first, last = merged(group, first, last)
-        long = last - first >= min_words
-        doc, first, last = merged(of_group[group[long]], first[long], last[long])
+        first, last = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("first", "last"))
+        doc, first, last = merged(np.repeat(np.arange(len(places)), places.value_lengths().to_numpy()), first, last)
         keep, count = np.unique(doc, return_counts=True)
         spans = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=["first", "last"])
         runs = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), spans)
@@ -233,31 +231,31 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, runs`` (array of word positions ``first`` to ``last`` - 1) of the documents that repeat an earlier run."""
     spark = docs.sparkSession
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    low = F.col("gram").bitwiseAND((1 << FILTER_BITS) - 1)
-    repeats = texts.mapInArrow(partial(_first_pass, size=min_words), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeats = stored(texts.mapInArrow(partial(_first_pass, size=min_words), "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "repeats")
+    log2 = min(max((BITS_EACH * repeats.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    low = F.col("gram").bitwiseAND((1 << log2) - 1)
     masks = repeats.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, cast(gram & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("mask")).toArrow()
-    words = np.zeros(1 << (FILTER_BITS - 6), "<i8")  # 2 MB, and as many numbers for the driver, whatever the input
+    words = np.zeros(1 << (log2 - 6), "<i8")
     words[masks["at"].to_numpy()] = masks["mask"].to_numpy()
-    bits = words.view(np.uint8)
-    filter_ = spark.sparkContext.broadcast(bits)
+    filter_ = spark.sparkContext.broadcast(words.view(np.uint8))
     places = stored(texts.mapInArrow(partial(_second_pass, repeats=filter_, size=min_words), "gram long, doc_id long, pos int, before binary, after binary"), "places")
 
-    def later(rows: DataFrame, key: str, *others: str) -> DataFrame:
-        """Each place but the earliest of its key, beside that one."""
-        names = ["doc_id", "pos", *others]
-        first = rows.groupBy(key).agg(F.min(F.struct(*names)).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        first = stored(first.select(key, *(F.col(f"f.{c}").alias(c0) for c, c0 in zip(names, ["doc0", "pos0", *(f"{c}0" for c in others)], strict=True))), "first")
-        return rows.join(first, key).where((F.col("doc_id") != F.col("doc0")) | (F.col("pos") != F.col("pos0")))
+    def earliest(rows: DataFrame, key: str, place: str) -> DataFrame:
+        """Document and place where a repeated key stands first."""
+        least = rows.groupBy(key).agg(F.min(F.struct("doc_id", place)).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        return least.select(key, F.col("f.doc_id").alias("doc0"), F.col(f"f.{place}").alias("pos0"))
 
-    extended = later(places, "gram", "before", "after").mapInArrow(partial(_extend, size=min_words), "gram long, doc_id long, source long, shift int, first int, last int, whole boolean")
-    spans = stored(extended, "spans")
-    # Windows that don't agree with the earliest place of their gram may stand at another one: those grams' windows are looked up themselves.
-    split = stored(spans.where("not whole").select("gram").distinct(), "split")
-    windows = places.join(split, "gram", "left_semi").select("doc_id", "pos", "before", "after").mapInArrow(partial(_windows, size=min_words), "key long, doc_id long, pos int")
-    found = later(windows, "key").select("doc_id", F.col("doc0").alias("source"), (F.col("pos") - F.col("pos0")).alias("shift"), F.col("pos").alias("first"), (F.col("pos") + min_words).alias("last"))
-    spans = spans.select(found.columns).union(found)
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("source", "shift", "first", "last")).alias("places"))
-    return stored(by_doc.mapInArrow(partial(_runs, min_words=min_words), "doc_id long, runs array<struct<first:int,last:int>>"), "runs")
+    # Only the places' numbers are aggregated; the words around the earliest one come by a join, whose shuffle the next join uses too.
+    is_first = lambda place: (F.col("doc_id") == F.col("doc0")) & (F.col(place) == F.col("pos0"))
+    firsts = places.join(earliest(places, "gram", "pos"), "gram").where(is_first("pos")).groupBy("gram").agg(F.min(F.struct("doc0", "pos0", "before", "after")).alias("f"))
+    firsts = firsts.select("gram", "f.doc0", "f.pos0", F.col("f.before").alias("before0"), F.col("f.after").alias("after0"))
+    found = stored(places.join(firsts, "gram").where(~is_first("pos")).mapInArrow(partial(_extend, size=min_words), FOUND), "found")
+    # A window that doesn't agree with the earliest place of its gram may stand at another place that doesn't: those are looked up by themselves.
+    windows = found.where("key is not null")
+    again = windows.join(earliest(windows, "key", "first"), "key").where(~is_first("first"))
+    spans = found.where("key is null").select("doc_id", "first", "last").union(again.select("doc_id", "first", "last")).distinct()
+    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+    return stored(by_doc.mapInArrow(_runs, "doc_id long, runs array<struct<first:int,last:int>>"), "runs")
 
 
 def _cut(text: bytes, runs: list[dict]) -> bytes:
@@ -275,32 +273,48 @@ def _cut(text: bytes, runs: list[dict]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _delete(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        name = b.schema.names
-        texts, runs = b.column(name.index("text")).to_pylist(), b.column(name.index("runs")).to_pylist()
-        texts = [_cut((t or "").encode(), r).decode() if r else t for t, r in zip(texts, runs, strict=True)]
-        deleted = [sum(x["last"] - x["first"] for x in r or []) for r in runs]
-        cols = [pa.array(texts, pa.string()) if n == "text" else b.column(i) for i, n in enumerate(name) if n != "runs"]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(deleted, pa.int64())], names=[*(n for n in name if n != "runs"), "n_deleted"])
+def _cut_texts(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    """Texts without their runs, and the number of words deleted; null stays null.  About ``CHUNK_BYTES`` bytes are Python objects at a time."""
+    kind, done, some, size = pa.struct([("text", pa.string()), ("n_deleted", pa.int64())]), [], [], 0
+    for text, spans in zip(texts, runs, strict=True):
+        if text.is_valid and spans.is_valid:
+            cut = _cut(text.as_py().encode(), spans.as_py())
+            some.append({"text": cut.decode(), "n_deleted": sum(r["last"] - r["first"] for r in spans.as_py())})
+            size += len(cut)
+        else:
+            some.append(None)
+        if size > CHUNK_BYTES:
+            done.append(pa.array(some, kind))
+            some, size = [], 0
+    return pa.concat_arrays([*done, pa.array(some, kind)])
+
+
+def without_runs(docs: DataFrame, min_words: int, n_deleted: str) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its repeated runs, and a column ``n_deleted`` (the name is given) of deleted words."""
+    if min_words < MIN_WORDS:
+        raise ValueError(f"fingerprints are sure for runs of {MIN_WORDS} words or more")
+    runs = repeated_runs(docs, min_words)
+    size = runs.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0]
+    runs = runs.toDF("__run_doc", "__runs")
+    runs = F.broadcast(runs) if size <= BROADCAST_IDS else runs.hint("merge")
+    joined = docs.join(runs, F.col("doc_id") == F.col("__run_doc"), "left")
+    # Only texts with runs go to Python.
+    touched = F.when(F.col("__runs").isNotNull(), F.col("text"))
+    cut = F.arrow_udf(_cut_texts, "struct<text:string,n_deleted:long>")(touched, F.col("__runs"))
+    rows = joined.withColumn("__cut", cut)
+    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.col("__cut.text"))
+    kept = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != n_deleted]
+    return rows.select(*kept, F.coalesce("__cut.n_deleted", F.lit(0).cast("long")).alias(n_deleted))
 
 
 def delete_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows of ``docs`` with ``text`` less its repeated runs, and ``n_deleted`` words (a column of that name is replaced).
+    """All rows of ``docs`` with ``text`` less its repeated runs, and ``n_deleted`` words (a column of that name is replaced; see ``without_runs``).
 
     Words are runs of characters other than space and x09-x0D and are compared with A-Z lower-cased.  ``doc_id`` is an integer; rows that repeat an id
     count as one document's text each and lose the same runs.  Null texts, null ids and texts under ``min_words`` words
     come back as they are.  Runs are at least ``min_words`` (not under ``MIN_WORDS``) long.
     """
-    if min_words < MIN_WORDS:
-        raise ValueError(f"fingerprints are sure for runs of {MIN_WORDS} words or more")
-    docs = docs.drop("n_deleted", "runs")
-    runs = repeated_runs(docs, min_words)
-    size = runs.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0]
-    runs = F.broadcast(runs) if size <= BROADCAST_IDS else runs.hint("merge")
-    joined = docs.join(runs.withColumnRenamed("doc_id", "run_doc"), F.col("doc_id") == F.col("run_doc"), "left").drop("run_doc")
-    schema = joined.drop("runs").schema.add("n_deleted", "long")
-    return joined.mapInArrow(_delete, schema)
+    return without_runs(docs, min_words, "n_deleted")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
