@@ -12,12 +12,10 @@ from pyspark.sql import functions as F
 from signalspark.llm.common import join_ids, read_table, stored
 from signalspark.llm.decontaminate import benchmark_leaks
 from signalspark.llm.jaccard_join import similar_documents
-from signalspark.llm.langid import UNKNOWN, identify, train
-from signalspark.llm.line_dedup import delete_repeated
+from signalspark.llm.langid import prediction, train
+from signalspark.llm.line_dedup import MIN_WORDS, without_runs
 from signalspark.llm.packing import pack_documents
 
-#: Calibrated probability of the best language below which a text is in none of the learned ones.
-LEAST_SCORE = 0.3
 #: Words of a shingle and least similarity (in hundredths) of near duplicates.
 SHINGLE, SIMILARITY = 5, 80
 
@@ -28,18 +26,20 @@ def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, null ones, and those that fit no learned language go.  With no label at all nothing but the former go."""
-    model = train(docs)
-    known = identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)) if model else identify(docs, model).where(F.col("text").rlike(r"\p{L}"))
-    return known.select(docs.columns)
+    """Texts without a letter, null ones, and those with fewer common n-grams than texts of the learned languages have go.
+
+    With no label at all nothing but the former go.
+    """
+    known = docs.withColumn("__language", prediction(F.col("text"), train(docs), spark)).where("__language.known")
+    return known.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated passages are deleted from the texts; a document of which nothing is left goes."""
-    cut = delete_repeated(docs).where((F.col("n_deleted") == 0) | (F.trim("text") != ""))
+    cut = without_runs(docs, MIN_WORDS, "__n_deleted").where((F.col("__n_deleted") == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return cut.select(docs.columns)
+        cut = cut.withColumn("n_chars", F.when(F.col("__n_deleted") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return cut.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
