@@ -81,16 +81,26 @@ _FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 LONG_WORD = 64
 
 
+def _words(compared: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes, which end in a space, start and end."""
+    word = np.frombuffer(compared, np.uint8) != 32
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        edge = np.append(0, edge)
+    return edge[::2], edge[1::2]
+
+
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end."""
+    return _words(text.translate(_COMPARED) + b" ")
+
+
 def _hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of some bytes, and where they start."""
     text = block.translate(_COMPARED) + b" " * 8
     raw = np.frombuffer(text, np.uint8)
-    word = raw != 32
-    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-    if word[0]:
-        edge = np.append(0, edge)
-    begin = edge[::2]
-    size = edge[1::2] - begin
+    begin, end = _words(text)
+    size = end - begin
     eights = np.ndarray((len(raw) - 7,), "<u8", text, strides=(1,))
     h = mix((eights[begin] & _FIRST_BYTES[np.minimum(size, 8)]) + size.astype(U64) * U64(ODD[4]))
     more, done = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8

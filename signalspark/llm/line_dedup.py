@@ -15,7 +15,6 @@ deleted if, and only if, some window of ``MIN_WORDS`` words that holds it stands
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalspark.llm.common import BROADCAST_IDS, CHUNK_BYTES, ODD, U64, as_long, chunks, mix, read_table, split_words, stored
+from signalspark.llm.common import BROADCAST_IDS, CHUNK_BYTES, ODD, U64, as_long, chunks, mix, read_table, split_words, stored, word_spans
 
 MIN_WORDS = 50
 GRAM_LINES = 3
@@ -35,7 +34,6 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 16, 26
 #: Words of a plain gram, for windows without a gram of lines.
 PLAIN = 4
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 FINGERPRINT = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
 
 
@@ -182,7 +180,8 @@ def _extend(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         n_before, n_after = (np.array([len(x) for x in v]) // 2 for v in (before, after))
         long = left + right >= size
         yield _found(docs[long], (pos - left)[long], (pos + right)[long], None)
-        part = np.flatnonzero((left < n_before) | (right < n_after))
+        # Of two places in all, the later one's other windows are nowhere else.
+        part = np.flatnonzero(((left < n_before) | (right < n_after)) & (col["n"].to_numpy() > 2))
         if len(part):
             words = mix(np.frombuffer(b"".join(x for i in part for x in (before[i], after[i])), "<u2").astype(U64) + U64(ODD[4]))
             length = (n_before + n_after)[part]
@@ -243,12 +242,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def earliest(rows: DataFrame, key: str, place: str) -> DataFrame:
         """Document and place where a repeated key stands first."""
         least = rows.groupBy(key).agg(F.min(F.struct("doc_id", place)).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return least.select(key, F.col("f.doc_id").alias("doc0"), F.col(f"f.{place}").alias("pos0"))
+        return least.select(key, F.col("f.doc_id").alias("doc0"), F.col(f"f.{place}").alias("pos0"), "n")
 
     # Only the places' numbers are aggregated; the words around the earliest one come by a join, whose shuffle the next join uses too.
     is_first = lambda place: (F.col("doc_id") == F.col("doc0")) & (F.col(place) == F.col("pos0"))
-    firsts = places.join(earliest(places, "gram", "pos"), "gram").where(is_first("pos")).groupBy("gram").agg(F.min(F.struct("doc0", "pos0", "before", "after")).alias("f"))
-    firsts = firsts.select("gram", "f.doc0", "f.pos0", F.col("f.before").alias("before0"), F.col("f.after").alias("after0"))
+    firsts = places.join(earliest(places, "gram", "pos"), "gram").where(is_first("pos")).groupBy("gram").agg(F.min(F.struct("doc0", "pos0", "before", "after", "n")).alias("f"))
+    firsts = firsts.select("gram", "f.doc0", "f.pos0", F.col("f.before").alias("before0"), F.col("f.after").alias("after0"), "f.n")
     found = stored(places.join(firsts, "gram").where(~is_first("pos")).mapInArrow(partial(_extend, size=min_words), FOUND), "found")
     # A window that doesn't agree with the earliest place of its gram may stand at another place that doesn't: those are looked up by themselves.
     windows = found.where("key is not null")
@@ -260,15 +259,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def _cut(text: bytes, runs: list[dict]) -> bytes:
     """The text without the runs of words; a run goes with the white space after it, at the end with that before it."""
-    words = [m.span() for m in WORD.finditer(text)]
+    begin, end = word_spans(text)
     out, at = [], 0
     for r in runs:
         s, e = r["first"], r["last"]
-        if e < len(words):
-            out.append(text[at : words[s][0]])
-            at = words[e][0]
+        if e < len(begin):
+            out.append(text[at : begin[s]])
+            at = begin[e]
         else:
-            out.append(text[at : words[s - 1][1] if s else 0])
+            out.append(text[at : end[s - 1] if s else 0])
             at = len(text)
     return b"".join([*out, text[at:]])
 
