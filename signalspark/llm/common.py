@@ -39,6 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send at most ``rows`` rows at a time to the session's Python workers, if that is fewer than it does: for jobs whose rows are whole texts.
+
+    A batch is in memory twice over in the JVM and again in the worker, for each core of an executor.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str, max_rows: int = BROADCAST_IDS) -> DataFrame:
     """Join ``df`` with a stored table of small rows; broadcast only when its counted rows are at most ``max_rows``."""
     if ids.limit(max_rows + 1).count() <= max_rows:
@@ -63,6 +73,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             part = column.slice(start, stop - start)
             yield batch.slice(start, stop - start), [v or b"" for v in part.to_pylist()]
             start = stop
+        pa.default_memory_pool().release_unused()  # several workers share an executor's memory
 
 
 def mix(x: np.ndarray) -> np.ndarray:

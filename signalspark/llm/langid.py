@@ -34,7 +34,7 @@ SCALE = 10.0
 #: Learning rate (alpha, beta) and penalties of FTRL.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 #: Bytes of text that are looked up at a time.
-PREDICT_BYTES = 1 << 20
+PREDICT_BYTES = 1 << 19
 #: Share of the documents that a common n-gram's bucket is in, the n-grams below which a text is too short to tell, and how far under
 #: the least share of common ones among the calibration texts a text of a learned language may be.
 COMMON, FEW_NGRAMS, SLACK = 0.001, 60, 0.9
