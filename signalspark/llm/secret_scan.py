@@ -23,6 +23,8 @@ from signalspark.llm.common import join_ids, read_table, stored
 MOST_STRINGS = 64
 #: Trigrams in one 64-bit mask.
 MASK_BITS = 62
+#: Matches whose places are summed up at a time.
+STEPS = 64
 
 
 @dataclass(frozen=True)
@@ -136,29 +138,47 @@ def _java(rule: Rule) -> str:
     return f"(?i){rule.pattern}" if rule.ignore_case else rule.pattern
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is made once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _walk(steps: Column, rule: Rule, number: int) -> Column:
+    """Spans of matches from their lengths and the gaps before them.
+
+    Running sums go over blocks of ``STEPS`` matches and then within each, so the arrays that grow by a step at a time stay short.
+    """
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(steps) / STEPS).cast("int") - 1), lambda b: F.slice(steps, b * STEPS + 1, F.lit(STEPS)))
+
+    def starts(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["own"]))
+        none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts"))
+        return F.aggregate(sizes, none, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")))["starts"]
+
+    def within(block: Column, first: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start, end = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["own"]
+            span = F.struct(start.alias("start"), F.lit(number).alias("no"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+            return F.struct(end.alias("at"), F.when(x["size"] >= rule.least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+        return F.aggregate(block, F.struct(first.alias("at"), _no_spans().alias("spans")), step)["spans"]
+
+    return _let(blocks, lambda bs: F.flatten(F.zip_with(bs, starts(bs), within)))
+
+
 def _matches(text: Column, rule: Rule, number: int) -> Column:
     """Spans of a rule as structs (start, kind number, end, kind), in code points."""
     pattern = F.lit(_java(rule))
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    deciding = found if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    between = F.split(text, _java(rule), -1)
-    steps = F.arrays_zip(F.transform(found, F.length).alias("own"), F.transform(deciding, F.length).alias("size"), F.transform(F.slice(between, 1, F.size(found)), F.length).alias("gap"))
-    steps = F.transform(steps, lambda x: F.struct(x["own"].alias("own"), x["size"].alias("size"), x["gap"].alias("gap")))
-    empty = _no_spans()
-    walk = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["own"]).alias("at"),
-            F.when(
-                x["size"] >= rule.least,
-                F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(number).alias("no"), (acc["at"] + x["gap"] + x["own"]).alias("end"), F.lit(rule.kind).alias("kind")))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-    )
-    return F.when(text.rlike(_java(rule)), walk["spans"]).otherwise(empty)
+
+    def steps(found: Column) -> Column:
+        own = F.transform(found, F.length)
+        size = own if rule.group == 0 else F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
+        gap = F.transform(F.slice(F.split(text, _java(rule), -1), F.lit(1), F.size(found)), F.length)
+        zipped = F.arrays_zip(own.alias("own"), size.alias("size"), gap.alias("gap"))
+        return F.transform(zipped, lambda x: F.struct(x["own"].alias("own"), x["size"].alias("size"), x["gap"].alias("gap")))
+
+    spans = _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda found: _let(steps(found), lambda s: _walk(s, rule, number)))
+    return F.when(text.rlike(_java(rule)), spans).otherwise(_no_spans())
 
 
 def _no_spans() -> Column:
@@ -174,9 +194,10 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, dic
     queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern)) and frozenset() not in q}
     wanted = sorted({t for q in queries.values() for a in q for t in a})
     number = {t: i for i, t in enumerate(wanted)}
-    low = F.lower(F.col("text"))
-    held = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(i)) for t, i in number.items()))) if wanted else F.expr("cast(array() as array<int>)")
-    postings = docs.select("scan_id", F.explode(held).alias("trigram")).distinct()
+    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(i)) for t, i in number.items()))) if wanted else F.expr("cast(array() as array<int>)")
+    # The lowered text comes out of a generator, else each trigram would lower it anew.
+    lowered = docs.select("scan_id", F.explode(F.array(F.lower("text"))).alias("low"))
+    postings = lowered.select("scan_id", F.explode(held).alias("trigram")).distinct()
     words = range(-(-max(1, len(wanted)) // MASK_BITS))
     masks = postings.groupBy("scan_id").agg(
         *(F.bit_or(F.expr(f"case when trigram div {MASK_BITS} = {w} then shiftleft(1L, cast(trigram % {MASK_BITS} as int)) else 0L end")).alias(f"m{w}") for w in words)

@@ -60,3 +60,10 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "token=abcdefgh")], "doc_id long, text string")
     plan = scan_secrets(df)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["0123456789abcdef01234567 token=abcdefgh " * n for n in (1, 63, 64, 65, 4097, 50_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in scan_secrets(df).collect()), key=str)
+    assert got == sorted(((d, *brute(t)) for d, t in enumerate(texts)), key=str)
