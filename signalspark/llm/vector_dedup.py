@@ -183,15 +183,18 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pas
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors (vec_id, embedding)``.
 
     Vectors that are null, empty or zero, or hold a null or non-finite component, and rows with a null id, link with nothing and are their
-    own component.  Vectors of different lengths don't link.  Rows that repeat an id are vectors of their own.  Other columns are ignored.
+    own component (``kept`` is null for a null id).  Vectors of different lengths don't link.  Rows that repeat an id are vectors of their own;
+    a component is called by its smallest id, so two of them can have one name where an id repeats.  Other columns are ignored.
     ``passes`` is the least number of passes; larger tables get more.
     """
     rows = stored(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", good).withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.xxhash64("embedding", F.lit(1)))
-    classes = stored(rows.where("good").groupBy("h1", "h2").agg(F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "classes")
-    tie = F.pmod(F.xxhash64("cls"), F.lit(1 << TIE_BITS)).alias("tie")
+    classes = rows.where("good").groupBy("h1", "h2").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
+    # Ids can repeat, so classes are numbered; the numbers hold once they are written.
+    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    tie = F.pmod("h2", F.lit(1 << TIE_BITS)).alias("tie")
     plan = rows.sparkSession.sparkContext.broadcast(_plan(classes, threshold, window, passes))
     keyed = stored(classes.select("cls", tie, "embedding").mapInArrow(partial(_keys, passes=passes, plan=plan), SORTED), "keyed")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -205,9 +208,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pas
     paired = members.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).withColumn("lo", F.least("tile", "other")).withColumn("hi", F.greatest("tile", "other"))
     links = paired.drop("other", "tiles").groupBy("component", "lo", "hi").applyInPandas(partial(_count, threshold=threshold), "cls long, links long")
     links = links.groupBy("cls").agg(F.sum("links").alias("links"))
-    per_class = stored(classes.select("h1", "h2", "cls", "copies").join(links, "cls", "left").join(labels, "cls", "left"), "per-class")
+    names = labels.join(classes.select("cls", "least_id"), "cls").groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = labels.join(names, "component").select("cls", "component_id")
+    per_class = stored(classes.select("h1", "h2", "cls", "least_id", "copies").join(links, "cls", "left").join(named, "cls", "left").drop("cls"), "per-class")
     out = rows.join(per_class.withColumn("good", F.lit(True)), ["h1", "h2", "good"], "left")
-    component = F.coalesce("component", "cls", "vec_id")
+    component = F.coalesce("component_id", "least_id", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("links") + F.col("copies") - 1, F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
 
 

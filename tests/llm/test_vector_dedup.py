@@ -58,6 +58,13 @@ def test_null_ids_repeated_ids_and_empty_tables(spark):
     assert near_duplicate_vectors(df.limit(0)).collect() == []
 
 
+def test_ids_shared_by_different_vectors(spark):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (6, [1.0, 0.1, 0.0]), (7, [0.0, 1.0, 0.1]), (8, [0.0, 0.0, 1.0]), (8, [0.0, 0.0, 2.0]), (8, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = [(5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False), (8, 0, 8, True), (8, 1, 8, True), (8, 1, 8, True)]
+    assert sorted(map(tuple, near_duplicate_vectors(df).collect())) == want
+
+
 def planted(n, pairs, dim, common, seed):
     """Unit vectors whose mean cosine is about ``common``; row ``n + i`` is at cosine 0.95 to 0.97 of row ``i``."""
     rng = np.random.default_rng(seed)
