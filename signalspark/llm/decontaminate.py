@@ -8,7 +8,8 @@
    An item's capital first word is a name where the item stands within a sentence, so its first window is looked up in both forms.
 3. *Slots.*  Matched windows of one item and shift form a region.  Each value of the item's slots must stand for one value
    of the document's throughout; where it stands for several, only the places of the most frequent one count.
-4. An item is in a document when at least ``COVER`` of its words are in consistent places.
+4. An item is in a document when at least ``COVER`` of its words are in consistent places, or when ``STRETCH`` consecutive ones are:
+   a long item's question may be copied without its context.
 
 The items' windows are looked up in blocks of ``BLOCK_WINDOWS`` (one block in practice), so what a task holds is bounded.
 """
@@ -32,6 +33,7 @@ WINDOW = 6
 LITERALS = 3
 SHORTEST = 3
 COVER = 0.6
+STRETCH = 20
 BLOCK_WINDOWS = 1_000_000
 
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
@@ -147,13 +149,14 @@ class Items:
             self.known[w] = bits
 
     def in_text(self, plain: np.ndarray, hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, bool]]:
-        """(item, words covered, words, slots, renamed) of the items that ``hits`` (place, window width, hash) show in one text."""
+        """(item, words covered, words, slots, renamed, longest stretch) of the items that ``hits`` (place, window width, hash) show in one text."""
         shifts: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for p, width, h in hits:
             for k, q in self.at[width][h]:
                 shifts[k, p - q].append((q, width))
         covered: dict[int, set[int]] = defaultdict(set)
         renamed: set[int] = set()
+        longest: dict[int, int] = defaultdict(int)
         for (k, shift), windows in shifts.items():
             places = sorted({q + j for q, width in windows for j in range(width)})
             values: dict[int, Counter] = defaultdict(Counter)
@@ -163,12 +166,17 @@ class Items:
             stands = {v: min(c.items(), key=lambda x: (-x[1], x[0]))[0] for v, c in values.items()}
             good = {q for q in places if not self.slot[k][q] or stands[int(self.plain[k][q])] == int(plain[q + shift])}
             covered[k] |= good
+            run = 0
+            for q in places:
+                run = 0 if q not in good else run + 1 if q - 1 in good else 1
+                longest[k] = max(longest[k], run)
             if any(self.slot[k][q] and self.plain[k][q] != plain[q + shift] for q in good):
                 renamed.add(k)
-        return [(self.ids[k], len(c), self.sizes[k], int(self.slot[k].sum()), k in renamed) for k, c in covered.items() if len(c) >= COVER * self.sizes[k]]
+        found = [k for k, c in covered.items() if len(c) >= COVER * self.sizes[k] or longest[k] >= STRETCH]
+        return [(self.ids[k], len(covered[k]), self.sizes[k], int(self.slot[k].sum()), k in renamed, longest[k]) for k in found]
 
 
-LEAK = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_covered", pa.int32()), ("n_words", pa.int32()), ("n_slots", pa.int32()), ("renamed", pa.bool_())])
+LEAK = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_covered", pa.int32()), ("n_words", pa.int32()), ("n_slots", pa.int32()), ("renamed", pa.bool_()), ("n_stretch", pa.int32())])
 
 
 def _search(batches: Iterable[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
@@ -189,11 +197,12 @@ def _search(batches: Iterable[pa.RecordBatch], items) -> Iterator[pa.RecordBatch
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, n_covered, n_words, n_slots, renamed`` for each item that each document contains.
+    """``doc_id, item_id, n_covered, n_words, n_slots, renamed, n_stretch`` (longest run of consistent words) for each item that each document contains.
 
     ``docs (doc_id, text)`` and ``benchmark (item_id, text)`` have integer ids; other columns are ignored.  Words are split at space and x09-x0D.  Null and
     empty texts contain nothing and null or short items are in nothing.  Repeated items are reported each; repeated rows of ``docs`` (and
     rows with a null id) once for each equal result.  ``renamed``: some slot has another value than in the item.
+    Where an item's value stands for several values equally often, the one of smallest hash counts.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
@@ -205,7 +214,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "windows"), F.lit(blocks)) == k).collect()  # about BLOCK_WINDOWS windows
         held = spark.sparkContext.broadcast(Items(block))
-        part = texts.mapInArrow(partial(_search, items=held), "doc_id long, item_id long, n_covered int, n_words int, n_slots int, renamed boolean")
+        part = texts.mapInArrow(partial(_search, items=held), "doc_id long, item_id long, n_covered int, n_words int, n_slots int, renamed boolean, n_stretch int")
         found = part if found is None else found.union(part)
     return found.distinct()
 
