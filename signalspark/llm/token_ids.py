@@ -24,6 +24,13 @@ MEMO_ENTRIES = 250_000
 BYTE_LETTERS = dict(enumerate(byte_letters()))
 #: Letters below this are treated alike by Python and the library, but for the one whose small form is two characters.
 LATIN_END, TWO_CHARACTERS = "\u0250", "\u0130"
+#: Signs whose runs are words of their own beside letters; an apostrophe can begin a short form.
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != ord("'"))
+
+
+def _stays_letters(text: str) -> bool:
+    """Whether a word is letters alone after the normaliser too: some letters become a letter and a mark."""
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
 class PieceEncoder(dict):
@@ -55,13 +62,20 @@ class PieceEncoder(dict):
         return ids
 
     def __missing__(self, piece: bytes) -> bytes:
-        """A word that ends in a letter and one full stop or comma are two words for the splitter; ASCII letters are lower-cased."""
-        body, end = piece, b""
-        if piece[-1:] in (b".", b",") and (piece[:-1].isalpha() or (not piece.isascii() and piece[:-1].decode("utf-8", "replace")[-1:].isalpha())):
-            body, end = piece[:-1], piece[-1:]
-        ids = self._word(body.lower() if body.isalpha() else body)
-        if end:
-            ids += self._word(end)
+        """Letters with signs before or after them are two or three words for the splitter; ASCII letters are lower-cased."""
+        body = piece.lower() if piece.isalpha() else piece.strip(SIGNS)
+        if len(body) == len(piece):
+            ids = self._word(body)
+        elif body.isalpha() or (not body.isascii() and _stays_letters(body.decode("utf-8", "replace"))):
+            # A special string holds signs on both sides of letters alone; the library knows which.
+            start = piece.index(body)
+            end = start + len(body)
+            if start and piece[start - 2 : start] == b"<|":
+                ids = self._word(piece)
+            else:
+                ids = (self._word(piece[:start]) if start else b"") + self._word(body.lower() if body.isascii() else body) + (self._word(piece[end:]) if end < len(piece) else b"")
+        else:
+            ids = self._word(piece)
         self[piece] = ids
         return ids
 

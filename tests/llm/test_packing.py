@@ -1,5 +1,6 @@
 """Packing: exact ids, gapless places, few sequences."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -52,6 +53,14 @@ def test_latin_letters_equal_the_library():
         assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
 
 
+def test_signs_marks_and_special_strings_equal_the_library():
+    rng = random.Random(3)
+    bits = ["<|", "|>", "startoftext", "<|endoftext|>", "é", "É", "abc", "Don", "'s", "'", "'LL", "!", "&&&", ".", ",", "(", "-", "_", "2", "34", "²", "ß", "İ", "ı", "Σ", "\u0301", "\u0338", "\u0958", "=", ">", "日本", "\u00a0", "\u200b", " ", "\n", "…", "ŉ", "\x1c", "\x85", "$"]
+    texts = ["İ.", "(İ)", "क़.", "<|endoftext|>.", "é<|endoftext|>", *("".join(rng.choices(bits, k=rng.randrange(1, 9))) for _ in range(20_000))]
+    for text, ids in zip(texts, PieceEncoder("word_bpe_49k.json").encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)[:-1].tolist(), text
+
+
 def test_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs = {r.doc_id: r.text for r in table.collect()}
