@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import unicodedata
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import public_tokenizers
@@ -16,8 +17,9 @@ from tokenizers import Tokenizer
 
 from signalspark.llm.token_count import byte_letters
 
-#: Entries of the memo of pieces and of that of words; each is emptied when full.
-MEMO_ENTRIES = 250_000
+#: Entries of a generation of the memo of pieces and the words in them.  A full generation becomes the old one, whose
+#: entries are taken over as they are asked for; the one before it goes.
+MEMO_ENTRIES = 500_000
 
 
 #: The letters that stand for bytes in the vocabulary, by byte.
@@ -33,15 +35,26 @@ def _stays_letters(text: str) -> bool:
     return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
 
 
-class PieceEncoder(dict):
-    """texts (UTF-8 bytes) -> ids as little-endian unsigned 32-bit integers (bytes); as a dict, the ids of a piece."""
+class _Memo(dict):
+    """Values made by a function as they are asked for."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, make: Callable[[bytes], bytes]):
         super().__init__()
+        self.make = make
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
+class PieceEncoder:
+    """texts (UTF-8 bytes) -> ids as little-endian unsigned integers of 32 bits (``code`` I) or 16 (H), as bytes."""
+
+    def __init__(self, vocabulary: str, code: str = "I"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model = self.library.model
-        self.words: dict[bytes, bytes] = {}
+        self.model, self.code = self.library.model, code
+        self.memo, self.old = _Memo(self._piece), _Memo(self._piece)
 
     def _word(self, word: bytes) -> bytes:
         """Ids of a word.
@@ -49,48 +62,49 @@ class PieceEncoder(dict):
         The normaliser and the splitter leave a word of small Latin letters as it is, but for writing its bytes as
         letters; so the library's model is asked at once.
         """
-        ids = self.words.get(word)
-        if ids is None:
-            text = word.decode("utf-8", "replace")
-            if word.isalpha() and word.islower():
-                ids = [t.id for t in self.model.tokenize(text)]
-            elif text.isalpha() and max(text) < LATIN_END and TWO_CHARACTERS not in text and unicodedata.is_normalized("NFC", text):
-                ids = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTE_LETTERS))]
-            else:
-                ids = self.library.encode(text, add_special_tokens=False).ids
-            ids = self.words[word] = array("I", ids).tobytes()
-        return ids
-
-    def __missing__(self, piece: bytes) -> bytes:
-        """Letters with signs before or after them are two or three words for the splitter; ASCII letters are lower-cased."""
+        text = word.decode("utf-8", "replace")
+        if word.isalpha() and word.islower():
+            ids = [t.id for t in self.model.tokenize(text)]
+        elif text.isalpha() and max(text) < LATIN_END and TWO_CHARACTERS not in text and unicodedata.is_normalized("NFC", text):
+            ids = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTE_LETTERS))]
+        else:
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a piece.
+
+        Letters with signs before or after them are two or three words for the splitter; ASCII letters are lower-cased.
+        """
+        if piece in self.old:
+            return self.old[piece]
         body = piece.lower() if piece.isalpha() else piece.strip(SIGNS)
         if len(body) == len(piece):
-            ids = self._word(body)
-        elif body.isalpha() or (not body.isascii() and _stays_letters(body.decode("utf-8", "replace"))):
+            return self._word(body) if body == piece else self.memo[body]
+        if body.isalpha() or (not body.isascii() and _stays_letters(body.decode("utf-8", "replace"))):
             # A special string holds signs on both sides of letters alone; the library knows which.
             start = piece.index(body)
             end = start + len(body)
             if start and piece[start - 2 : start] == b"<|":
-                ids = self._word(piece)
-            else:
-                ids = (self._word(piece[:start]) if start else b"") + self._word(body.lower() if body.isascii() else body) + (self._word(piece[end:]) if end < len(piece) else b"")
-        else:
-            ids = self._word(piece)
-        self[piece] = ids
-        return ids
+                return self._word(piece)
+            return (self.memo[piece[:start]] if start else b"") + self.memo[body] + (self.memo[piece[end:]] if end < len(piece) else b"")
+        return self._word(piece)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for text in texts:
-            if len(self) > MEMO_ENTRIES:
-                self.clear()
-            if len(self.words) > MEMO_ENTRIES:
-                self.words.clear()
-            out.append(b"".join(map(self.__getitem__, text.split())))
+            if len(self.memo) > MEMO_ENTRIES:
+                self.memo, self.old = _Memo(self._piece), self.memo
+            out.append(b"".join(map(self.memo.__getitem__, text.split())))
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> PieceEncoder:
+def encoder(vocabulary: str, code: str = "I") -> PieceEncoder:
     """One encoder and memo for all the tasks of a worker."""
-    return PieceEncoder(vocabulary)
+    return PieceEncoder(vocabulary, code)
+
+
+def id_code(vocabulary: str) -> str:
+    """The narrowest ``code`` of an encoder that holds all ids."""
+    return "H" if max(Tokenizer.from_file(public_tokenizers.path(vocabulary)).get_vocab().values()) < 1 << 16 else "I"

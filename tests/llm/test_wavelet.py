@@ -4,11 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from signalspark.llm.wavelet import WaveletMatrix, from_file, read_ids, to_file, write_ids
+from signalspark.llm import wavelet
+from signalspark.llm.wavelet import CHUNK, WaveletMatrix, count_token, find_token, from_file, read_ids, to_file, write_ids
 from signalspark.session import scratch_dir
 
 
@@ -61,3 +63,48 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     path = scratch_dir(spark, "test-wavelet")
     write_ids(df.limit(0), path)
     assert read_ids(spark, path).collect() == []
+    assert count_token(spark, path, 2) == 0
+    assert find_token(spark, path, 2).collect() == []
+
+
+def test_file_of_several_chunks():
+    ids = np.random.default_rng(4).zipf(1.3, 2 * CHUNK + 7000).clip(max=40000).astype(np.uint32)
+    m = from_file(to_file([1, None], [CHUNK, len(ids) - CHUNK], ids))[2]
+    assert (m.decode() == ids).all()
+    for token in (1, 2, 77, 40000, 39999, 65535, 65536, -1):
+        at = np.flatnonzero(ids == token)
+        assert m.positions(token).tolist() == at.tolist()
+        assert m.positions(token, 3, 5).tolist() == at[3:5].tolist()
+        assert m.count(token, CHUNK - 5, CHUNK + 900) == ((at >= CHUNK - 5) & (at < CHUNK + 900)).sum()
+    for i in (0, CHUNK - 1, CHUNK, 2 * CHUNK, len(ids) - 1):
+        assert m[i] == ids[i]
+
+
+def test_lookup_opens_few_chunks(monkeypatch):
+    ids = np.random.default_rng(5).integers(0, 1 << 16, 8 * CHUNK).astype(np.uint32)
+    blob, opened = to_file([1], [len(ids)], ids), []
+    real = zstandard.ZstdDecompressor
+
+    class Counted:
+        def __init__(self):
+            self.unpacker = real()
+
+        def decompress(self, data):
+            opened.append(len(data))
+            return self.unpacker.decompress(data)
+
+    monkeypatch.setattr(wavelet.zstandard, "ZstdDecompressor", Counted)
+    assert from_file(blob)[2][12345] == ids[12345]
+    assert len(opened) <= 2 + 16  # of 2 + 16 * 8
+
+
+def test_lookups_over_a_folder(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    path = scratch_dir(spark, "test-wavelet")
+    write_ids(table.repartition(5), path, range_bytes=1 << 16)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    flat = [(r.doc_id, k, t) for r in sorted(table.collect(), key=lambda r: r.doc_id) for k, t in enumerate([*library.encode(r.text or "", add_special_tokens=False).ids, 2])]
+    for token in {2, flat[0][2], flat[len(flat) // 2][2], 49000, 1 << 20}:
+        want = [(d, k, i) for i, (d, k, t) in enumerate(flat) if t == token]
+        assert count_token(spark, path, token) == len(want)
+        assert sorted(map(tuple, find_token(spark, path, token).collect()), key=lambda r: r[2]) == want
