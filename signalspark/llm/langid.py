@@ -11,6 +11,7 @@ shards' weights are averaged.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
@@ -116,7 +117,7 @@ def _features(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _train(rows: pd.DataFrame, langs: list[str], idf) -> pd.DataFrame:
-    """FTRL over one shard; rows of the buckets that have a weight."""
+    """FTRL over one shard; a row for each language: its weights in all buckets, compressed."""
     rows = rows.sort_values("doc_id")
     label = [langs.index(x) for x in rows["lang"]]
     xs = [(at, SCALE * share * idf.value[at]) for at, share in _features(rows)]
@@ -140,8 +141,13 @@ def _train(rows: pd.DataFrame, langs: list[str], idf) -> pd.DataFrame:
             z[at] = zs + g - (np.sqrt(more) - np.sqrt(ns)) / ALPHA * w
             n[at] = more
     w = solved(z, n)
-    used = np.flatnonzero(w.any(axis=1))
-    return pd.DataFrame({"bucket": used, "w": pd.Series(list(w[used]), dtype=object)})
+    return pd.DataFrame({"shard": rows["fold"].iloc[0] % SHARDS, "k": range(len(langs)), "w": [zlib.compress(v.tobytes(), 1) for v in np.ascontiguousarray(w.T)]})
+
+
+def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+    """The shards' weights of one language, averaged in the shards' order."""
+    total = sum(np.frombuffer(zlib.decompress(w)) for w in rows.sort_values("shard")["w"])
+    return pd.DataFrame({"k": [rows["k"].iloc[0]], "w": [zlib.compress((total / SHARDS).tobytes(), 1)]})
 
 
 def _sample_logits(batches: Iterable[pd.DataFrame], model) -> Iterator[pd.DataFrame]:
@@ -189,11 +195,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     picked = labelled.where(draw < share[F.col("lang")]).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS * SHARDS)))
     picked = stored(picked, "langid-sample")
     learn = picked.where(F.col("fold") >= SHARDS)
-    trained = learn.groupBy((F.col("fold") % SHARDS).alias("shard")).applyInPandas(lambda rows: _train(rows, langs, idf_), "bucket long, w array<double>")
-    weights = np.zeros((BUCKETS, len(langs)))
-    for r in trained.select("bucket", F.posexplode("w").alias("k", "w")).groupBy("bucket", "k").agg(F.sum("w").alias("w")).collect():  # BUCKETS rows for a language at most
-        weights[r["bucket"], r["k"]] = r["w"] / SHARDS
-    model = Model(langs, idf, np.ascontiguousarray(weights.T), common=df >= max(2, COMMON * n_docs))
+    trained = learn.groupBy((F.col("fold") % SHARDS).alias("shard")).applyInPandas(lambda rows: _train(rows, langs, idf_), "shard int, k int, w binary")
+    weights = np.zeros((len(langs), BUCKETS))
+    for r in trained.groupBy("k").applyInPandas(_merge, "k int, w binary").collect():  # a row for each language
+        weights[r["k"]] = np.frombuffer(zlib.decompress(bytes(r["w"])))
+    model = Model(langs, idf, weights, common=df >= max(2, COMMON * n_docs))
     model_ = spark.sparkContext.broadcast(model)
     kept = picked.where(F.col("fold") < SHARDS).mapInPandas(partial(_sample_logits, model=model_), "lang string, logits array<double>, cover double").collect()
     if kept:
