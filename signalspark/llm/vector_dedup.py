@@ -34,6 +34,8 @@ KEY_BITS = 40
 WINDOW = 32
 TILE = 1024
 TIE_BITS = 22
+#: Bytes of vectors in a sorted partition of the passes.
+PARTITION_BYTES = 64 << 20
 
 SORTED = "pass int, dim int, key long, cls long, unit binary"
 FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32()), ("last", pa.bool_()), ("pass", pa.int32()), ("dim", pa.int32()), ("cls", pa.int64()), ("unit", pa.binary())])
@@ -197,7 +199,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, pas
     tie = F.pmod("h2", F.lit(1 << TIE_BITS)).alias("tie")
     plan = rows.sparkSession.sparkContext.broadcast(_plan(classes, threshold, window, passes))
     keyed = stored(classes.select("cls", tie, "embedding").mapInArrow(partial(_keys, passes=passes, plan=plan), SORTED), "keyed")
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept_bytes = keyed.agg(F.sum(24 + 8 * F.col("dim").cast("long"))).first()[0] or 0
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kept_bytes // PARTITION_BYTES))
     ordered = keyed.repartitionByRange(n, "pass", "dim", "key", "cls").sortWithinPartitions("pass", "dim", "key", "cls")
     found = stored(ordered.mapInArrow(partial(_slide, threshold=threshold, window=window), "a long, b long, edge int, last boolean, pass int, dim int, cls long, unit binary"), "found")
     across = found.where("cls is not null").groupBy("edge").applyInPandas(partial(_edges, threshold=threshold), "a long, b long")
