@@ -19,7 +19,7 @@ from signalspark.llm.token_count import byte_letters
 
 #: Entries of a generation of the memo of pieces and the words in them.  A full generation becomes the old one, whose
 #: entries are taken over as they are asked for; the one before it goes.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
 
 
 #: The letters that stand for bytes in the vocabulary, by byte.
@@ -50,10 +50,10 @@ class _Memo(dict):
 class PieceEncoder:
     """texts (UTF-8 bytes) -> ids as little-endian unsigned integers of 32 bits (``code`` I) or 16 (H), as bytes."""
 
-    def __init__(self, vocabulary: str, code: str = "I"):
+    def __init__(self, vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model, self.code = self.library.model, code
+        self.model, self.code, self.entries = self.library.model, code, entries
         self.memo, self.old = _Memo(self._piece), _Memo(self._piece)
 
     def _word(self, word: bytes) -> bytes:
@@ -93,16 +93,16 @@ class PieceEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for text in texts:
-            if len(self.memo) > MEMO_ENTRIES:
+            if len(self.memo) > self.entries:
                 self.memo, self.old = _Memo(self._piece), self.memo
             out.append(b"".join(map(self.memo.__getitem__, text.split())))
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str, code: str = "I") -> PieceEncoder:
+def encoder(vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES) -> PieceEncoder:
     """One encoder and memo for all the tasks of a worker."""
-    return PieceEncoder(vocabulary, code)
+    return PieceEncoder(vocabulary, code, entries)
 
 
 def id_code(vocabulary: str) -> str:
