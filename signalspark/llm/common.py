@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,7 @@ BLOCK_BYTES = 1 << 20
 #: Entries of a worker's memo of words; it is emptied when full.
 MEMO_WORDS = 400_000
 
+T = TypeVar("T")
 U64 = np.uint64
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -58,11 +62,34 @@ def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str, max_rows: int =
     return df.join(ids, key, how)
 
 
+#: glibc's function that gives free pages back, where there is one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+#: The memo that a worker keeps between tasks: {arguments: (the task that last asked for it, memo)}.
+_MEMO: dict[tuple, tuple] = {}
+
+
+def _task() -> int | None:
+    context = TaskContext.get()
+    return context and context.taskAttemptId()
+
+
+def worker_memo(make: Callable[..., T], *args) -> T:
+    """``make(*args)``, kept for the worker's next tasks until one of them asks for another, or calls ``chunks`` without asking for it."""
+    key = (make, *args)
+    if key not in _MEMO:
+        _MEMO.clear()
+        _MEMO[key] = None, make(*args)
+    _MEMO[key] = _task(), _MEMO[key][1]
+    return _MEMO[key][1]
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of Arrow batches holding about ``limit`` bytes of text at most (one row at least), null as b''.
 
     A batch is cut before its texts become Python objects, so a task holds the objects of one slice at a time.
     """
+    if not any(task == _task() for task, _ in _MEMO.values()):
+        _MEMO.clear()  # of an operator that ran in this worker earlier
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -73,7 +100,10 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
             part = column.slice(start, stop - start)
             yield batch.slice(start, stop - start), [v or b"" for v in part.to_pylist()]
             start = stop
-        pa.default_memory_pool().release_unused()  # several workers share an executor's memory
+        # Several workers share an executor's memory, so what is free goes back.
+        pa.default_memory_pool().release_unused()
+        if _TRIM is not None:
+            _TRIM(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -10,11 +10,11 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from signalspark.llm.common import worker_memo
 from signalspark.llm.token_count import byte_letters
 
 #: Entries of a generation of the memo of pieces and the words in them.  A full generation becomes the old one, whose
@@ -99,10 +99,9 @@ class PieceEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES) -> PieceEncoder:
     """One encoder and memo for all the tasks of a worker."""
-    return PieceEncoder(vocabulary, code, entries)
+    return worker_memo(PieceEncoder, vocabulary, code, entries)
 
 
 def id_code(vocabulary: str) -> str:
