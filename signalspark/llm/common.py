@@ -25,7 +25,7 @@ CHUNK_BYTES = 2 << 20
 #: Bytes that are hashed at a time.
 BLOCK_BYTES = 1 << 20
 #: Entries of a worker's memo of words; it is emptied when full.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 T = TypeVar("T")
 U64 = np.uint64

@@ -17,6 +17,7 @@ The items' windows are looked up in blocks of ``BLOCK_WINDOWS`` (one block in pr
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -65,9 +66,7 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.plain: list[int] = []
-        self.kind: list[int] = []
-        self.stops: list[bool] = []
+        self.plain, self.kind, self.stops = array("Q"), bytearray(), bytearray()
 
     def __missing__(self, word: bytes) -> int:
         w = word.decode("utf-8", "replace")
@@ -87,7 +86,7 @@ class Words(dict):
         starts = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=starts[1:])
         row = np.fromiter((self[w] for x in lists for w in x), np.int64, int(starts[-1]))
-        plain, kind, stops = np.array(self.plain, U64)[row], np.array(self.kind, np.int8)[row], np.array(self.stops, bool)[row]
+        plain, kind, stops = np.frombuffer(self.plain, U64)[row], np.frombuffer(self.kind, np.int8)[row], np.frombuffer(self.stops, bool)[row]
         begins = np.concatenate(([True], stops[:-1])) if len(row) else stops
         begins[starts[:-1][starts[:-1] < len(row)]] = True
         number = kind == IS_NUMBER
