@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from signalspark.llm import token_ids
 from signalspark.llm.packing import configurations, pack_documents, place_small
 from signalspark.llm.token_ids import PieceEncoder
 
@@ -53,6 +54,35 @@ def test_latin_letters_equal_the_library():
         assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
 
 
+def test_blocks_and_full_memos_equal_the_library(monkeypatch):
+    rng = random.Random(4)
+    bits = ["one", "Two", "É", "don't", "<|endoftext|>", "e\u0301", "12", "a7b", "日本", "\u00a0", "(", "!!", "'", "\x1c", " ", " ", "\n", "\t ", "\x0b", "\r"]
+    texts = ["", " ", "\n\n", *("".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(200)), "long" * 2000, "don't(" * 300]
+    for block, entries, code in ((1, 3, "I"), (64, 20, "H"), (1 << 20, 1, "I")):
+        monkeypatch.setattr(token_ids, "CHUNK_BYTES", block)
+        monkeypatch.setattr(token_ids, "LOOKED_UP", 2)
+        enc = PieceEncoder("word_bpe_49k.json", code, entries)
+        assert enc.encode([]) == []
+        for t, got in zip(texts, enc.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(got, "<u4" if code == "I" else "<u2").tolist() == ids_of(t)[:-1].tolist(), t
+
+
+def test_bytes_that_are_no_text_count_as_replaced_ones():
+    rng = random.Random(5)
+    texts = [b"caf\xc3", b"\xff", b"a\xffb c", b"\xc3(\xa9", *(bytes(rng.choices(b"ab .,'7<|\xc3\xa9\xff\xe2\x80", k=12)) for _ in range(300))]
+    want = [LIBRARY.encode(" ".join(p.decode("utf-8", "replace") for p in t.split()), add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in PieceEncoder("word_bpe_49k.json").encode(texts)] == want
+
+
+def test_memo_holds_words_once_whatever_stands_beside_them():
+    words = [f"{a}{b}" for a in ("ver", "tion", "ché", "on") for b in ("en", "ly", "ü", "st", "ing")]
+    texts = [f"{w} {w}, ({w}) {w}! {w}... -{w}- {w}{n} {n}.{w}" for w in words for n in range(10)]
+    enc = PieceEncoder("word_bpe_49k.json")
+    for t, got in zip(texts, enc.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == ids_of(t)[:-1].tolist(), t
+    assert len(enc.memo) <= len(words) + 20  # and digits and signs
+
+
 def test_signs_marks_and_special_strings_equal_the_library():
     rng = random.Random(3)
     bits = ["<|", "|>", "startoftext", "<|endoftext|>", "é", "É", "abc", "Don", "'s", "'", "'LL", "!", "&&&", ".", ",", "(", "-", "_", "2", "34", "²", "ß", "İ", "ı", "Σ", "\u0301", "\u0338", "\u0958", "=", ">", "日本", "\u00a0", "\u200b", " ", "\n", "…", "ŉ", "\x1c", "\x85", "$"]
