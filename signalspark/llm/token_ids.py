@@ -20,12 +20,14 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from signalspark.llm.common import CHUNK_BYTES, worker_memo
+from signalspark.llm.common import worker_memo
 from signalspark.llm.token_count import byte_letters
 
 #: Entries of a generation of the memo of words.  A full generation becomes the old one, whose entries are taken over as
 #: they are asked for; the one before it goes.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 150_000
+#: Bytes of text that are cut into words at a time (up to the next white space); the arrays made of them are some 20 times as large.
+BLOCK_BYTES = 1 << 19
 #: Words that are looked up before the memo's size is asked for again.
 LOOKED_UP = 10_000
 
@@ -60,10 +62,10 @@ class _Memo(dict):
 class PieceEncoder:
     """texts (UTF-8 bytes) -> ids as little-endian unsigned integers of 32 bits (``code`` I) or 16 (H), as bytes."""
 
-    def __init__(self, vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES):
+    def __init__(self, vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES, block: int = BLOCK_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.model, self.code, self.entries = self.library.model, code, entries
+        self.model, self.code, self.entries, self.block = self.library.model, code, entries, block
         self.memo, self.old = _Memo(self._make), _Memo(self._make)
 
     def _make(self, key: bytes) -> bytes | None:
@@ -132,7 +134,7 @@ class PieceEncoder:
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         parts, cuts, at, size = [], [], 0, 0
         while at < len(joined):
-            gap = _GAP.search(joined, at + CHUNK_BYTES)
+            gap = _GAP.search(joined, at + self.block)
             end = gap.end() if gap else len(joined)
             begin, ids = self._block(joined[at:end])
             offsets = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)
@@ -144,9 +146,9 @@ class PieceEncoder:
         return [out[a:b] for a, b in pairwise([*cuts, size])]
 
 
-def encoder(vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES) -> PieceEncoder:
+def encoder(vocabulary: str, code: str = "I", entries: int = MEMO_ENTRIES, block: int = BLOCK_BYTES) -> PieceEncoder:
     """One encoder and memo for all the tasks of a worker."""
-    return worker_memo(PieceEncoder, vocabulary, code, entries)
+    return worker_memo(PieceEncoder, vocabulary, code, entries, block)
 
 
 def id_code(vocabulary: str) -> str:

@@ -38,8 +38,8 @@ END_ID = 2
 BLOCK, CHUNK = 4096, 1 << 17
 #: Bytes of ids for which a range of documents is made.
 RANGE_BYTES = 8 << 20
-#: Entries of a generation of the encoder's memo: more than its default, as no other stage shares the workers.
-MEMO_ENTRIES = 500_000
+#: Entries of a generation of the encoder's memo, and bytes it cuts at a time: more than by default, as no other stage shares the workers.
+MEMO_ENTRIES, ENCODED_BYTES = 500_000, 2 << 20
 MAGIC = b"WMX2"
 
 
@@ -180,7 +180,7 @@ def from_file(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]
 
 
 def _encode(batches: Iterable[pa.RecordBatch], vocabulary: str, code: str) -> Iterator[pa.RecordBatch]:
-    enc, end = encoder(vocabulary, code, MEMO_ENTRIES), array(code, [END_ID])
+    enc, end = encoder(vocabulary, code, MEMO_ENTRIES, ENCODED_BYTES), array(code, [END_ID])
     for batch, texts in chunks(batches):
         ids = [i + end.tobytes() for i in enc.encode(texts)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) // end.itemsize for i in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])

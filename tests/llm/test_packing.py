@@ -59,9 +59,8 @@ def test_blocks_and_full_memos_equal_the_library(monkeypatch):
     bits = ["one", "Two", "É", "don't", "<|endoftext|>", "e\u0301", "12", "a7b", "日本", "\u00a0", "(", "!!", "'", "\x1c", " ", " ", "\n", "\t ", "\x0b", "\r"]
     texts = ["", " ", "\n\n", *("".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(200)), "long" * 2000, "don't(" * 300]
     for block, entries, code in ((1, 3, "I"), (64, 20, "H"), (1 << 20, 1, "I")):
-        monkeypatch.setattr(token_ids, "CHUNK_BYTES", block)
         monkeypatch.setattr(token_ids, "LOOKED_UP", 2)
-        enc = PieceEncoder("word_bpe_49k.json", code, entries)
+        enc = PieceEncoder("word_bpe_49k.json", code, entries, block)
         assert enc.encode([]) == []
         for t, got in zip(texts, enc.encode([t.encode() for t in texts]), strict=True):
             assert np.frombuffer(got, "<u4" if code == "I" else "<u2").tolist() == ids_of(t)[:-1].tolist(), t
